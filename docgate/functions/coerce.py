@@ -15,6 +15,10 @@ _ISO = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}"
     r"(?:[Tt _]\d{2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?(?:[Zz]|[+\-\u2212](?:[01]\d|2[0-3]):?[0-5]\d)?)?$"
 )
+# The usual form, which the engine's own cast reads in any session time zone.
+_PLAIN_ISO = (
+    r"^(?!0000)\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-](?:0\d|1[0-7]):[0-5]\d)$"
+)
 _ISO_TIME = r"[Tt _](\d{2}:\d{2}(?::\d{2})?)"
 _ISO_FRACTION = r"[.,](\d{1,6})"
 _ISO_OFFSET = r"[Tt _].*([+\-\u2212])(\d{2}):?(\d{2})$"
@@ -36,9 +40,13 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def text(value: Column) -> Column:
-    """JSON strings only; numbers and the rest are not turned into text."""
-    return F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+def text(value: Column, name: Column | None = None) -> Column:
+    """JSON strings only; numbers and the rest are not turned into text.
+
+    Here and below ``name`` is the value's :func:`kind`, for callers that have it already.
+    """
+    name = kind(value) if name is None else name
+    return F.when(name == "STRING", F.try_variant_get(value, "$", "string"))
 
 
 def shown(value: Column) -> Column:
@@ -46,18 +54,18 @@ def shown(value: Column) -> Column:
     return F.coalesce(text(value), F.to_json(value))
 
 
-def number(value: Column) -> Column:
+def number(value: Column, name: Column | None = None) -> Column:
     """JSON numbers as DECIMAL(38,9); other types and numbers out of range give NULL."""
-    name = kind(value)
+    name = kind(value) if name is None else name
     return F.when(
         (name == "BIGINT") | (name == "DOUBLE") | name.startswith("DECIMAL"),
         F.try_variant_get(value, "$", "decimal(38,9)"),
     )
 
 
-def whole(value: Column) -> Column:
+def whole(value: Column, name: Column | None = None) -> Column:
     """Whole numbers: JSON integers, integral decimals, booleans and integer-like text."""
-    name = kind(value)
+    name = kind(value) if name is None else name
     as_text = F.regexp_replace(
         F.try_variant_get(value, "$", "string"), r"(?U)^\s+|\s+$", ""
     )
@@ -101,14 +109,20 @@ def instant_of_text(as_text: Column) -> Column:
         as_text, _ISO_OFFSET, 3
     ).try_cast("int")
     shifted = F.timestamp_add("MINUTE", -sign * F.coalesce(minutes, F.lit(0)), parsed)
-    return F.when(as_text.rlike(_ISO), shifted).when(
-        as_text.rlike(_DECIMAL_TEXT), _from_epoch(as_text.try_cast("decimal(38,9)"))
+    return (
+        F.when(as_text.rlike(_PLAIN_ISO), as_text.try_cast("timestamp"))
+        .when(as_text.rlike(_ISO), shifted)
+        .when(as_text.rlike(_DECIMAL_TEXT), _from_epoch(as_text.try_cast("decimal(38,9)")))
     )
 
 
-def instant(value: Column) -> Column:
+def instant(value: Column, name: Column | None = None) -> Column:
     """Date-times from ISO text, epoch seconds or epoch milliseconds, as TIMESTAMP."""
-    return F.coalesce(instant_of_text(text(value)), _from_epoch(number(value)))
+    name = kind(value) if name is None else name
+    as_text = F.try_variant_get(value, "$", "string")
+    return F.when(name == "STRING", instant_of_text(as_text)).otherwise(
+        _from_epoch(number(value, name))
+    )
 
 
 def uuid_of_text(as_text: Column) -> Column:
@@ -125,11 +139,12 @@ def uuid_of_text(as_text: Column) -> Column:
     return F.when(as_text.rlike(_UUID), hyphenated)
 
 
-def text_list(value: Column) -> Column:
+def text_list(value: Column, name: Column | None = None) -> Column:
     """JSON lists of strings; a null or any other element makes the list unacceptable."""
+    name = kind(value) if name is None else name
     items = F.try_variant_get(value, "$", "array<string>")
     return F.when(
-        kind(value).isin("ARRAY<STRING>", "ARRAY<VOID>")
+        name.isin("ARRAY<STRING>", "ARRAY<VOID>")
         & ~F.exists(items, lambda item: item.isNull()),
         items,
     )

@@ -7,23 +7,18 @@ from pyspark.sql import functions as F
 
 from docgate.schemas import MAX_TEXT_LENGTH
 
-# White space as a regex class body, without and with the plain blank (fixed values).
-_WS_NOT_BLANK = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_WS = r"\x20" + _WS_NOT_BLANK
+# White space, Unicode and the four ASCII separators included (fixed pattern).
+_WS = r"[\s\x1c-\x1f]+"
 
 
 def squeeze(text: Column) -> Column:
-    """Collapse every run of white space to one blank and strip both ends.
-
-    Lone blanks, nearly all matches in real text, are left alone, so the regex replaces only runs
-    that change.
-    """
-    return F.trim(F.regexp_replace(text, rf"\x20[{_WS}]+|[{_WS_NOT_BLANK}][{_WS}]*", " "))
+    """Collapse every run of white space to one blank and strip both ends."""
+    return F.trim(F.regexp_replace(text, rf"(?U){_WS}", " "))
 
 
 def strip(text: Column) -> Column:
     """Strip white space from both ends and leave the inside alone."""
-    return F.regexp_replace(text, rf"\A[{_WS}]+|[{_WS}]+\z", "")
+    return F.regexp_replace(text, rf"(?U)\A{_WS}|{_WS}\z", "")
 
 
 def clip(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from docgate.functions import coerce
+from docgate.functions.once import with_once
 from docgate.operators.normalize import normalized
 from docgate.schemas import (
     AGENCIES,
@@ -33,28 +34,29 @@ def parse_contract(parsed: DataFrame) -> DataFrame:
     Gives the canonical columns, ``violations`` (empty when valid), ``unknown_fields`` among them
     as ``<field>:unknown``, and ``record_ref``, the id to name in messages. Other columns stay.
     """
-    # One projection coerces, the next one judges: values used by several rules are computed once.
+    # Types first, then values, then rules: nothing that several rules use is computed twice.
+    typed = parsed.withColumns(
+        {f"_k_{name}": coerce.kind(F.col(f"raw.{name}")) for name in RECORD_FIELDS}
+    )
     values = {
-        name: normalized(name, _COERCIONS.get(name, coerce.text)(F.col(f"raw.{name}")))
+        name: normalized(
+            name, _COERCIONS.get(name, coerce.text)(F.col(f"raw.{name}"), F.col(f"_k_{name}"))
+        )
         for name in RECORD_FIELDS
     }
-    kinds = {name: coerce.kind(F.col(f"raw.{name}")) for name in RECORD_FIELDS}
-    coerced = parsed.withColumns(
+    coerced = typed.withColumns(
         {
             **{f"_v_{name}": column for name, column in values.items()},
-            **{f"_k_{name}": column for name, column in kinds.items()},
             "record_ref": F.coalesce(coerce.shown(F.col("raw.record_id")), F.lit(UNKNOWN_ID)),
         }
-    )
+    ).drop("raw")
     unknown = F.filter(
         F.array_except(F.col("keys"), F.array(*[F.lit(name) for name in RECORD_FIELDS])),
         lambda key: ~key.startswith("_source_"),
     )
-    judged = coerced.withColumn(
-        "violations",
-        F.concat(_violations(), F.transform(unknown, lambda key: F.concat(key, F.lit(":unknown")))),
-    )
-    return _canonical(judged, drop=["raw", "keys", "malformed"])
+    unknown = F.transform(unknown, lambda key: F.concat(key, F.lit(":unknown")))
+    judged = coerced.withColumn("violations", F.concat(_violations(), unknown))
+    return _canonical(judged, drop=["keys", "malformed"])
 
 
 def check_contract(records: DataFrame) -> DataFrame:
@@ -132,7 +134,8 @@ def _canonical(judged: DataFrame, drop: list[str]) -> DataFrame:
     fields = {name: F.col(f"_v_{name}") for name in RECORD_FIELDS}
     fields["record_id"] = F.coalesce(coerce.uuid_of_text(fields["record_id"]), fields["record_id"])
     fields["flags"] = F.coalesce(fields["flags"], F.array().cast("array<string>"))
-    return judged.select(*[column.alias(name) for name, column in fields.items()], *carried)
+    fields["violations"] = F.col("violations")
+    return with_once(judged, fields).select(*RECORD_FIELDS, *carried)
 
 
 def _null_type(name: str) -> str:

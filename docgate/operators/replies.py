@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgate.functions import coerce
+from docgate.functions.once import with_once
 from docgate.schemas import ALIGNMENTS, REPLY_KEYS, RISK_TIERS
 
 _REPLY_SCHEMA = ", ".join(f"{key} VARIANT" for key in REPLY_KEYS) + ", _corrupt STRING"
@@ -51,55 +52,54 @@ def parse_envelopes(scored: DataFrame, response: str = "response") -> DataFrame:
     non-negative numbers). Absent counts are 0.
     """
     text = F.col(response)
-    parsed = scored.withColumns(
+    parsed = with_once(
+        scored,
         {
             "_env": F.from_json(text, _ENVELOPE_SCHEMA, _OPTIONS),
-            "_whole": _complete(text) & F.try_parse_json(text).isNotNull(),
-        }
+            "_complete": _complete(text),
+            "_any": F.try_parse_json(text).isNotNull(),
+        },
     )
     is_object = F.col("_env").isNotNull() & F.col("_env._corrupt").isNull()
-    block = F.try_variant_get("_env.content", "$[0].text", "variant")
-    parsed = parsed.withColumns(
+    opened = with_once(
+        parsed,
         {
-            "_block": F.when(is_object, block),
-            "_in": _count(F.col("_env.usage"), "input_tokens"),
-            "_out": _count(F.col("_env.usage"), "output_tokens"),
-            "_no_usage": F.coalesce(coerce.kind(F.col("_env.usage")), F.lit("VOID")).startswith(
-                "OBJECT"
-            )
-            | F.coalesce(coerce.kind(F.col("_env.usage")), F.lit("VOID")).isin("VOID"),
-        }
+            "_object": is_object,
+            "_block": F.when(is_object, F.try_variant_get("_env.content", "$[0].text", "variant")),
+            "_usage": F.coalesce(coerce.kind(F.col("_env.usage")), F.lit("VOID")),
+            "_in": F.try_variant_get("_env.usage", "$.input_tokens", "variant"),
+            "_out": F.try_variant_get("_env.usage", "$.output_tokens", "variant"),
+        },
     )
-    return (
-        parsed.withColumn(
-            "envelope_error",
-            F.when(text.isNull(), F.lit("envelope"))
-            .when(~(F.col("_whole") | (is_object & _complete(text))), F.lit("envelope"))
+    counted = with_once(
+        opened,
+        {"reply": coerce.shown(F.col("_block")), "_in": _count("_in"), "_out": _count("_out")},
+    )
+    readable = F.col("_complete") & (F.col("_object") | F.col("_any"))
+    usage_kept = (F.col("_usage") == "VOID") | F.col("_usage").startswith("OBJECT")
+    counts_kept = F.coalesce((F.col("_in") >= 0) & (F.col("_out") >= 0), F.lit(False))
+    judged = with_once(
+        counted,
+        {
+            "envelope_error": F.when(text.isNull() | ~readable, F.lit("envelope"))
             .when(F.col("_block").isNull(), F.lit("content"))
-            .when(
-                ~F.col("_no_usage")
-                | F.col("_in").isNull()
-                | F.col("_out").isNull()
-                | (F.col("_in") < 0)
-                | (F.col("_out") < 0),
-                F.lit("usage"),
-            ),
-        )
-        .withColumns(
-            {
-                "reply": coerce.shown(F.col("_block")),
-                "input_tokens": F.when(F.col("envelope_error").isNull(), F.col("_in")),
-                "output_tokens": F.when(F.col("envelope_error").isNull(), F.col("_out")),
-            }
-        )
-        .drop("_env", "_whole", "_block", "_in", "_out", "_no_usage")
+            .when(~usage_kept | ~counts_kept, F.lit("usage"))
+        },
     )
+    good = F.col("envelope_error").isNull()
+    return judged.withColumns(
+        {
+            "input_tokens": F.when(good, F.col("_in")),
+            "output_tokens": F.when(good, F.col("_out")),
+        }
+    ).drop("_env", "_complete", "_any", "_object", "_block", "_usage", "_in", "_out")
 
 
-def _count(usage: Column, key: str) -> Column:
-    value = F.try_variant_get(usage, f"$.{key}", "variant")
+def _count(column: str) -> Column:
+    """A token count: absent is 0, not a number is NULL."""
+    value = F.col(column)
     name = coerce.kind(value)
-    number = (
+    return (
         F.when(name.isNull(), F.lit(0))
         .when(name == "BIGINT", F.try_variant_get(value, "$", "int"))
         .when(name == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("int"))
@@ -113,7 +113,6 @@ def _count(usage: Column, key: str) -> Column:
             F.regexp_replace(F.try_variant_get(value, "$", "string"), r"[\s_]", "").try_cast("int"),
         )
     )
-    return number
 
 
 def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
@@ -123,16 +122,18 @@ def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
     NULL when ``reply_error`` is set.
     """
     text = F.col(reply)
-    parsed = enveloped.withColumns(
+    parsed = with_once(
+        enveloped,
         {
             "_r": F.from_json(text, _REPLY_SCHEMA, _OPTIONS),
             "_keys": F.json_object_keys(text),
             "_whole": _complete(text),
-            "_any": coerce.kind(F.try_parse_json(text)),
-        }
+            "_any": F.try_parse_json(text).isNotNull(),
+        },
     )
     is_object = F.col("_r").isNotNull() & F.col("_r._corrupt").isNull() & F.col("_keys").isNotNull()
-    parsed = parsed.withColumns(
+    parsed = with_once(
+        parsed,
         {
             "_object": is_object,
             "_score": _score(F.col("_r.compliance_score")),
@@ -141,12 +142,12 @@ def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
             "_reasoning": F.when(
                 coerce.kind(F.col("_r.reasoning")) != "VOID", coerce.shown(F.col("_r.reasoning"))
             ),
-        }
+        },
     )
     wanted = F.array(*[F.lit(key) for key in REPLY_KEYS])
     error = (
         F.when(text.isNull() | ~F.col("_whole"), F.lit("non_json"))
-        .when(~F.col("_object") & F.col("_any").isNull(), F.lit("non_json"))
+        .when(~F.col("_object") & ~F.col("_any"), F.lit("non_json"))
         .when(~F.col("_object"), F.lit("not_object"))
         .when(F.size(F.array_except(wanted, F.col("_keys"))) > 0, F.lit("missing"))
         .when(~F.coalesce(F.col("_tier").isin(RISK_TIERS), F.lit(False)), F.lit("bad_tier"))
@@ -157,7 +158,7 @@ def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
         .when(F.isnan("_score") | ~F.col("_score").between(0.0, 1.0), F.lit("score_range"))
         .when(F.col("_reasoning").isNull(), F.lit("bad_reasoning"))
     )
-    judged = parsed.withColumn("reply_error", error)
+    judged = with_once(parsed, {"reply_error": error})
     fields = {
         "compliance_score": "_score",
         "risk_tier": "_tier",

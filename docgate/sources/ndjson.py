@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docgate.functions.once import with_once
 from docgate.schemas import RECORD_FIELDS
 from docgate.session import ensure_checkpoint_dir, path_exists
 
@@ -105,12 +106,13 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     text = F.col(value)
     # A second key after the line proves that the parser reached the end of the line.
     closed = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit(f',"{_END_KEY}":0}}')))
-    parsed = lines.withColumns(
+    parsed = with_once(
+        lines,
         {
             "raw": F.from_json(text, _RAW_SCHEMA, _RAW_OPTIONS),
             "keys": F.json_object_keys(text),
             "closed": closed,
-        }
+        },
     )
     malformed = (
         F.col("raw").isNull()
