@@ -652,7 +652,8 @@ def audit_rows(spark, sf_dir):
 def audit_retry(spark, sf_dir):
     """Half of the rows, then twice all of them; ids stay unique."""
     path = scratch_path(v.utc(spark), "tables")
-    rows = _audited(spark, sf_dir)
+    _audited(spark, sf_dir).write.parquet(f"{path}-staged")
+    rows = spark.read.parquet(f"{path}-staged")
     audit.write_audit(rows.where(F.col("doc_id") % 2 == 0), path, RUN, ["doc_id"])
     for _ in range(2):
         audit.write_audit(rows, path, RUN, ["doc_id"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -27,7 +28,7 @@ from docgate.sinks.audit import (
     write_audit,
 )
 from docgate.sinks.dead_letter import raw_line_json, write_dead_letters
-from docgate.sinks.tables import write_bronze, write_gold
+from docgate.sinks.tables import run_dir, write_bronze, write_gold
 from docgate.sources.ndjson import (
     SOURCE_ORDER,
     malformed_lines,
@@ -36,6 +37,8 @@ from docgate.sources.ndjson import (
     well_formed,
 )
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class GateResult:
@@ -128,9 +131,11 @@ def run_batch(
     bronze = write_bronze(good, out, run_id, SOURCE_ORDER) if keep_bronze else 0
     gold = write_gold(good, out, run_id, SOURCE_ORDER, gate.passed)
     sources = run_sources(staged, run_id).drop("pipeline_run_id")
-    sources.write.mode("overwrite").parquet(f"{out}/run_sources/pipeline_run_id={run_id}")
+    sources.write.mode("overwrite").parquet(run_dir(f"{out}/run_sources", run_id))
     audited = audit_staged(staged, out, run_id, scoring, gate.passed, prompt_hash)
     billed = staged.where(F.col("billed"))
+    spent = run_cost(billed, scoring.model_id, scoring.prices).head().asDict()
+    logger.info("run %s cost %s", run_id, spent)
     return BatchReport(
         run_id=run_id,
         gate=gate,
@@ -138,7 +143,7 @@ def run_batch(
         gold_rows=gold,
         audit_rows=audited,
         dead_letters=dead_letter_failures(staged, out, run_id),
-        cost=run_cost(billed, scoring.model_id, scoring.prices).head().asDict(),
+        cost=spent,
     )
 
 

@@ -21,6 +21,7 @@ from docgate.schemas import CHUNK_ROWS, DEFAULT_MODEL, DEFAULT_PROMPT, PROMPTS
 from docgate.session import path_exists
 from docgate.sinks.audit import input_fingerprint
 from docgate.sinks.dead_letter import raw_line_json, record_json, write_dead_letters
+from docgate.sinks.tables import align, run_dir
 from docgate.sources.ndjson import SOURCE_ORDER
 
 STAGING_SCHEMA = (
@@ -131,17 +132,17 @@ def stage(parsed: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFr
         pending = (
             parsed.withColumn("row_key", row_key()).join(done, "row_key", "left_anti").drop("row_key")
         )
-    columns = [part.split()[0] for part in STAGING_SCHEMA.split(", ")]
-    rows = judge(pending, scoring).withColumn("pipeline_run_id", F.lit(run_id)).select(*columns)
-    rows.write.mode("append").partitionBy("pipeline_run_id").parquet(path)
+    rows = align(judge(pending, scoring).withColumn("pipeline_run_id", F.lit(run_id)), STAGING_SCHEMA)
+    rows.drop("pipeline_run_id").write.mode("append").parquet(run_dir(path, run_id))
     return staged_run(spark, path, run_id)
 
 
 def staged_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     """The staged rows of one run."""
-    if not path_exists(spark, path):
+    if not path_exists(spark, run_dir(path, run_id)):
         return spark.createDataFrame([], STAGING_SCHEMA)
-    return spark.read.schema(STAGING_SCHEMA).parquet(path).where(F.col("pipeline_run_id") == run_id)
+    rows = spark.read.schema(STAGING_SCHEMA).parquet(run_dir(path, run_id))
+    return rows.withColumn("pipeline_run_id", F.lit(run_id))
 
 
 def results(staged: DataFrame) -> DataFrame:

@@ -36,8 +36,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+def _filesystem(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on whatever filesystem it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    filesystem, hadoop_path = _filesystem(spark, path)
     return filesystem.exists(hadoop_path)
+
+
+def child_names(spark: SparkSession, path: str) -> set[str]:
+    """Names of the visible files and folders directly in ``path``; none when it does not exist."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    if not filesystem.exists(hadoop_path):
+        return set()
+    names = (status.getPath().getName() for status in filesystem.listStatus(hadoop_path))
+    return {name for name in names if not name.startswith(("_", "."))}

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgate.functions.text import fingerprint
 from docgate.operators.cost import source_counts, with_row_cost
 from docgate.operators.ordering import last_per_key
 from docgate.schemas import AUDIT_NULLABLE, AUDIT_SCHEMA, RECORD_FIELDS, field_types
-from docgate.session import path_exists
-from docgate.sinks.tables import insert_absent
+from docgate.session import child_names
+from docgate.sinks.tables import insert_absent, run_dir
 
 #: Up to this many source keys are joined into one label; beyond it each row names its own key
 #: and the ``run_sources`` table lists them all.
@@ -112,17 +112,32 @@ def write_audit(rows: DataFrame, path: str, run_id: str, order: Sequence[str]) -
     """Insert audit rows; pairs (run, record) already there stay as they are.
 
     The rows go in with one commit. ``audit_id`` is unique and grows from write to write; like any
-    sequence it may leave gaps.
+    sequence it may leave gaps. The last id of every run is kept next to the table in
+    ``<path>_last_ids``, so finding the next one never scans the table.
     """
     spark = rows.sparkSession
-    last = 0
-    if path_exists(spark, path):
-        ids = spark.read.schema("audit_id BIGINT").parquet(path)
-        last = ids.agg(F.coalesce(F.max("audit_id"), F.lit(0))).head()[0]
     numbered = _asserted(rows).withColumn(
-        "audit_id", F.monotonically_increasing_id() + F.lit(last + 1)
+        "audit_id", F.monotonically_increasing_id() + F.lit(_last_id(spark, path) + 1)
     )
-    return insert_absent(numbered, path, run_id, order, AUDIT_SCHEMA)
+    inserted = insert_absent(numbered, path, run_id, order, AUDIT_SCHEMA)
+    ids = spark.read.schema("audit_id BIGINT").parquet(run_dir(path, run_id))
+    last = ids.agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("last_id"))
+    last.write.mode("overwrite").parquet(run_dir(f"{path}_last_ids", run_id))
+    return inserted
+
+
+def _last_id(spark: SparkSession, path: str) -> int:
+    noted, written = child_names(spark, f"{path}_last_ids"), child_names(spark, path)
+    found = [0]
+    if noted:
+        table = spark.read.schema("last_id BIGINT").parquet(f"{path}_last_ids")
+        found.append(table.agg(F.max("last_id")).head()[0])
+    # A write that stopped between the rows and its note left a run without one.
+    unnoted = [f"{path}/{name}" for name in sorted(written - noted)]
+    if unnoted:
+        ids = spark.read.schema("audit_id BIGINT").parquet(*unnoted)
+        found.append(ids.agg(F.coalesce(F.max("audit_id"), F.lit(0))).head()[0])
+    return max(found)
 
 
 def run_sources(records: DataFrame, run_id: str) -> DataFrame:

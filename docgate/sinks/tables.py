@@ -1,12 +1,13 @@
 """Insert-only tables keyed by (pipeline_run_id, record_id).
 
-Parquet tables are partitioned by ``pipeline_run_id``, so a write looks only at its own run. One
-job at a time may write a run. Catalog tables that support row-level changes use MERGE instead.
+Parquet tables have one folder per ``pipeline_run_id``, so a write lists and reads only its own
+run, however many runs the table holds. One job at a time may write a table. Catalog tables that support row-level changes use MERGE instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,11 @@ def read_table(spark: SparkSession, path: str, schema: str = RESULT_SCHEMA) -> D
     return spark.read.schema(schema).parquet(path).select(*[n for n, _ in field_types(schema)])
 
 
+def run_dir(path: str, run_id: str) -> str:
+    """The partition folder of one run."""
+    return f"{path}/{PARTITION}={quote(run_id, safe='')}"
+
+
 def insert_absent(
     rows: DataFrame,
     path: str,
@@ -50,23 +56,16 @@ def insert_absent(
     to compare with and skips the anti join; retries read one column of one partition.
     """
     spark = rows.sparkSession
-    new = first_per_key(rows.withColumn(PARTITION, F.lit(run_id)), [PARTITION, "record_id"], order)
-    before = _run_rows(spark, path, run_id)
-    if before:
-        new = new.join(_run(spark, path, run_id).select("record_id"), "record_id", "left_anti")
-    align(new, schema).write.mode("append").partitionBy(PARTITION).parquet(path)
-    return _run_rows(spark, path, run_id) - before
-
-
-def _run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    return spark.read.schema("record_id STRING, pipeline_run_id STRING").parquet(path).where(
-        F.col(PARTITION) == run_id
-    )
-
-
-def _run_rows(spark: SparkSession, path: str, run_id: str) -> int:
-    # Counts come from file footers.
-    return _run(spark, path, run_id).count() if path_exists(spark, path) else 0
+    target = run_dir(path, run_id)
+    new = first_per_key(rows, ["record_id"], order)
+    before = 0
+    if path_exists(spark, target):
+        there = spark.read.schema("record_id STRING").parquet(target)
+        before = there.count()
+        new = new.join(there, "record_id", "left_anti")
+    align(new, schema).drop(PARTITION).write.mode("append").parquet(target)
+    # Both counts come from file footers.
+    return spark.read.schema("record_id STRING").parquet(target).count() - before
 
 
 def merge_absent(rows: DataFrame, table: str, run_id: str, order: Sequence[str]) -> None:
