@@ -17,7 +17,7 @@ def prompt_table(prompts: DataFrame) -> DataFrame:
 
 def prompts_from_dir(spark: SparkSession, path: str) -> DataFrame:
     """One prompt per ``<version>.txt`` file in ``path``."""
-    files = spark.read.option("wholetext", "true").option("pathGlobFilter", "*.txt").text(path)
+    files = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.txt$", 1)
     return prompt_table(files.select(name.alias("version"), F.col("value").alias("text")))
 

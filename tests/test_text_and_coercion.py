@@ -1,0 +1,129 @@
+"""Text cleaning and JSON coercion against Python's and pydantic's own behaviour."""
+
+from __future__ import annotations
+
+import json
+import re
+from datetime import datetime, timezone
+from uuid import UUID
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from docgate.functions import coerce
+from docgate.functions.text import clip, squeeze, strip
+
+pydantic = pytest.importorskip("pydantic")
+
+SPACES = [chr(i) for i in range(0x3100) if chr(i).isspace()]
+TEXT = st.lists(st.sampled_from(["a", "é", "😀", "​", "\x00x", *SPACES]), max_size=12).map("".join)
+UUID_TEXT = "12345678-1234-5678-1234-56781234567a"
+
+
+def frame(spark, values, schema):
+    return spark.createDataFrame(list(enumerate(values)), f"i INT, x {schema}")
+
+
+def values_of(spark, values, column_of, schema="STRING"):
+    rows = frame(spark, values, schema).select("i", column_of(F.col("x")).alias("y"))
+    return [row["y"] for row in rows.orderBy("i").collect()]
+
+
+def json_values(spark, values, column_of):
+    texts = [json.dumps({"x": value}) for value in values]
+    return values_of(spark, texts, lambda c: column_of(F.from_json(c, "x VARIANT")["x"]))
+
+
+def accepted(kind, value):
+    try:
+        return pydantic.TypeAdapter(kind).validate_python(value)
+    except Exception:
+        return None
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=60))
+def test_squeeze_and_strip_like_python(spark, texts):
+    assert values_of(spark, texts, squeeze) == [re.sub(r"\s+", " ", t).strip() for t in texts]
+    assert values_of(spark, texts, strip) == [t.strip() for t in texts]
+
+
+def test_every_space_counts(spark):
+    texts = [f"{s}a{s}{s}b{s}" for s in SPACES]
+    assert values_of(spark, texts, squeeze) == ["a b"] * len(texts)
+
+
+def test_clip_counts_characters(spark):
+    texts = ["A" * 15_000, "😀" * 10_001, "x" * 9_999 + " y"]
+    assert values_of(spark, texts, clip) == [t[:10_000] for t in texts]
+
+
+INTS = [
+    "3", " 3 ", "+3", "3.0", "3.", "3.00", "003", "1_0", "1__0", "_1", "1_", "--3", "-3", "3.5",
+    "3e0", "", "+", "1_0.0", "3.0_0", "٣", "\xa03\xa0", "\n3", ".0", "-0.0", "- 3", 3, 3.0, 3.5,
+    True, False, 1e20, -0.0, None, [], "x", 1500.0, {"a": 1}, 2**62,
+]
+DATES = [
+    "2025-06-15T10:30:00+00:00", "2025-06-15T10:30Z", "2025-06-15t10:30z", "2025-06-15_10:30",
+    "2025-06-15 10:30", "2025-06-15", "2025-06-15T10", "2025-06-15T10:30:00.1",
+    "2025-06-15T10:30:00.1234567", "2025-06-15T10:30:00,123", "2025-06-15T10:30:00+0530",
+    "2025-06-15T10:30:00+05", "2025-06-15T10:30:00-23:59", "2025-06-15T10:30:00+24:00",
+    "2025-06-15T24:00:00", "2025-06-15T23:59:60", "2025-02-30", "2024-02-29", "0000-01-01",
+    "0001-01-01", "9999-12-31T23:59:59.999999", "2025-06-15T10:30:00−01:00", "1718447400",
+    "1718447400.5", "1718447400123", "-1", "+1718447400", " 2025-06-15", "2025-06-15 ",
+    "20000000000", "20000000001", "1e9", "", ".5", "5.", "-1.5", "2025-6-5T1:2:3", 1718447400,
+    1718447400.25, 1718447400123, True, -1, 1e20, 0, None, [1], "2025-13-01",
+    "2025-06-15T10:30:00.5+01:00",
+]
+UUIDS = [
+    UUID_TEXT, UUID_TEXT.upper(), UUID_TEXT.replace("-", ""), "{" + UUID_TEXT + "}",
+    "urn:uuid:" + UUID_TEXT, "URN:UUID:" + UUID_TEXT, "{" + UUID_TEXT.replace("-", "") + "}",
+    "urn:uuid:" + UUID_TEXT.replace("-", ""), UUID_TEXT + " ", " " + UUID_TEXT, UUID_TEXT[:-1], 3,
+    None,
+]
+
+
+def utc_text(moment):
+    if moment is None:
+        return None
+    aware = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+    return aware.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f").rjust(26, "0")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_instants(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = json_values(spark, DATES, lambda c: F.unix_micros(coerce.instant(c)))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    for value, micros in zip(DATES, got, strict=True):
+        moment = accepted(datetime, value)
+        if moment is not None:
+            aware = moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+            gap = aware - epoch
+            moment = (gap.days * 86_400 + gap.seconds) * 1_000_000 + gap.microseconds
+        assert (value, micros) == (value, moment)
+
+
+def test_whole_numbers(spark):
+    assert json_values(spark, INTS, coerce.whole) == [accepted(int, value) for value in INTS]
+
+
+def test_uuids(spark):
+    expected = [None if (u := accepted(UUID, v)) is None else str(u) for v in UUIDS]
+    assert json_values(spark, UUIDS, lambda c: coerce.uuid_of_text(coerce.text(c))) == expected
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text("0123456789+-._ ", max_size=7), min_size=1, max_size=60))
+def test_integer_text_like_pydantic(spark, texts):
+    assert json_values(spark, texts, coerce.whole) == [accepted(int, text) for text in texts]
+
+
+def test_text_lists(spark):
+    values = [["a", "b"], [], [None], ["a", None], ["a", 1], "a", None, {"a": "b"}]
+    assert json_values(spark, values, coerce.text_list) == [["a", "b"], [], *[None] * 6]
