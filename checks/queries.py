@@ -394,7 +394,7 @@ def token_estimate(spark, sf_dir):
 
 def _scored(spark, sf_dir, chunk_rows=25):
     asked = requests.with_requests(_canonical(spark, sf_dir), PROMPT)
-    return replies.classify(scoring.score(asked, scoring.rule_client, chunk_rows), DEFAULT_MODEL)
+    return replies.classify(scoring.score(asked, scoring.rule_scorer(), chunk_rows), DEFAULT_MODEL)
 
 
 def score_deterministic(spark, sf_dir):
@@ -757,7 +757,7 @@ def _screened(spark, sf_dir, records: DataFrame, **options) -> tuple[str, object
         root,
         "federal-documents/",
         out,
-        Scoring(scoring.rule_client),
+        Scoring(scoring.rule_scorer()),
         run_id=RUN,
         **options,
     )
@@ -789,7 +789,7 @@ def batch_reject(spark, sf_dir):
     out = scratch_path(spark, "batch")
     try:
         run_batch(
-            spark, root, "federal-documents/", out, Scoring(scoring.rule_client), run_id=RUN
+            spark, root, "federal-documents/", out, Scoring(scoring.rule_scorer()), run_id=RUN
         )
     except GateRejected:
         pass
@@ -809,7 +809,7 @@ def stream_pipeline(spark, sf_dir):
         read_line_stream(spark, f"{root}/federal-documents"),
         out,
         f"{out}/checkpoint",
-        Scoring(scoring.rule_client),
+        Scoring(scoring.rule_scorer()),
         stream_name="documents",
         every=None,
     )

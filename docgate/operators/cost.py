@@ -4,28 +4,32 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgate.schemas import DEFAULT_PRICES
 
 
-def price_table(spark: SparkSession, prices=None) -> DataFrame:
-    """(model_id, input_usd_per_1k, output_usd_per_1k) from a dict, a frame, or the defaults.
+def _priced(rows: DataFrame, prices=None) -> DataFrame:
+    """Add ``input_usd_per_1k`` and ``output_usd_per_1k``, NULL for models without a price.
 
-    A dict lives on the driver, so its table is small for certain and is broadcast; a frame is
-    joined the way its size asks for.
+    ``prices`` is a dict ``model -> (input, output)``, which becomes a literal lookup in the
+    projection, or a frame (model_id, input_usd_per_1k, output_usd_per_1k), which is joined the way
+    its size asks for. None means the default prices.
     """
     if isinstance(prices, DataFrame):
-        return prices
-    rows = [
-        (model, Decimal(str(given)), Decimal(str(taken)))
-        for model, (given, taken) in (DEFAULT_PRICES if prices is None else prices).items()
-    ]
-    schema = (
-        "model_id STRING, input_usd_per_1k DECIMAL(12,6), output_usd_per_1k DECIMAL(12,6)"
-    )
-    return F.broadcast(spark.createDataFrame(rows, schema))
+        return rows.join(prices, "model_id", "left")
+    table = DEFAULT_PRICES if prices is None else prices
+    found = {"input_usd_per_1k": 0, "output_usd_per_1k": 1}
+    columns = {}
+    for name, side in found.items():
+        pairs = [
+            F.lit(part)
+            for model, price in table.items()
+            for part in (model, Decimal(str(price[side])).quantize(Decimal("0.000001")))
+        ]
+        columns[name] = F.create_map(*pairs)[F.col("model_id")] if pairs else F.lit(None)
+    return rows.withColumns({n: c.cast("decimal(12,6)") for n, c in columns.items()})
 
 
 def _usd(tokens: Column, per_thousand: Column) -> Column:
@@ -58,7 +62,7 @@ def cost_summary(totals: DataFrame, prices=None) -> DataFrame:
 
     Both parts are rounded to 6 places; the total is rounded from the unrounded sum.
     """
-    priced = totals.join(price_table(totals.sparkSession, prices), "model_id", "left")
+    priced = _priced(totals, prices)
     missing = F.concat(F.lit("No pricing configured for model "), F.col("model_id"))
     price_in = F.when(
         F.col("input_usd_per_1k").isNull(), F.raise_error(missing).cast("decimal(12,6)")
@@ -90,8 +94,8 @@ def run_cost(billed: DataFrame, model_id: str, prices=None) -> DataFrame:
 
 def unknown_models(rows: DataFrame, prices=None) -> DataFrame:
     """Models without a price, to be asked before anything is paid for."""
-    table = price_table(rows.sparkSession, prices).select("model_id")
-    return rows.select("model_id").distinct().join(table, "model_id", "left_anti")
+    models = rows.select("model_id").distinct()
+    return _priced(models, prices).where(F.col("input_usd_per_1k").isNull()).select("model_id")
 
 
 def with_row_cost(results: DataFrame, prices=None) -> DataFrame:
@@ -99,7 +103,7 @@ def with_row_cost(results: DataFrame, prices=None) -> DataFrame:
 
     The total adds the rounded parts. Models without a price cost 0.
     """
-    priced = results.join(price_table(results.sparkSession, prices), "model_id", "left")
+    priced = _priced(results, prices)
     zero = F.lit(Decimal("0.000000")).cast("decimal(12,6)")
     parts = {
         "cost_input_usd": _usd(F.col("input_tokens"), F.col("input_usd_per_1k")),

@@ -38,6 +38,18 @@ ERROR_CODES = [
     "bad_reasoning",
 ]
 
+_ENVELOPE_COLUMNS = ["reply", "input_tokens", "output_tokens", "envelope_error"]
+_REPLY_COLUMNS = [*REPLY_KEYS, "reply_error"]
+_RESULT_COLUMNS = [
+    *REPLY_KEYS,
+    "input_tokens",
+    "output_tokens",
+    "tokens_used",
+    "model_id",
+    "error_code",
+    "billed",
+]
+
 
 def _complete(text: Column) -> Column:
     """True when ``text`` is one JSON value and nothing after it."""
@@ -51,40 +63,39 @@ def parse_envelopes(scored: DataFrame, response: str = "response") -> DataFrame:
     Codes: ``envelope`` (not JSON), ``content`` (no first text block), ``usage`` (counts that are no
     non-negative numbers). Absent counts are 0.
     """
+    return _fixed(_envelopes(scored, response), _ENVELOPE_COLUMNS)
+
+
+def _envelopes(scored: DataFrame, response: str) -> DataFrame:
     text = F.col(response)
-    parsed = with_once(
-        scored,
+    parsed = scored.withColumns(
         {
             "_env": F.from_json(text, _ENVELOPE_SCHEMA, _OPTIONS),
             "_complete": _complete(text),
             "_any": F.try_parse_json(text).isNotNull(),
-        },
+        }
     )
     is_object = F.col("_env").isNotNull() & F.col("_env._corrupt").isNull()
-    opened = with_once(
-        parsed,
+    opened = parsed.withColumns(
         {
             "_object": is_object,
             "_block": F.when(is_object, F.try_variant_get("_env.content", "$[0].text", "variant")),
             "_usage": F.coalesce(coerce.kind(F.col("_env.usage")), F.lit("VOID")),
             "_in": F.try_variant_get("_env.usage", "$.input_tokens", "variant"),
             "_out": F.try_variant_get("_env.usage", "$.output_tokens", "variant"),
-        },
+        }
     )
-    counted = with_once(
-        opened,
-        {"reply": coerce.shown(F.col("_block")), "_in": _count("_in"), "_out": _count("_out")},
+    counted = opened.withColumns(
+        {"reply": coerce.shown(F.col("_block")), "_in": _count("_in"), "_out": _count("_out")}
     )
     readable = F.col("_complete") & (F.col("_object") | F.col("_any"))
     usage_kept = (F.col("_usage") == "VOID") | F.col("_usage").startswith("OBJECT")
     counts_kept = F.coalesce((F.col("_in") >= 0) & (F.col("_out") >= 0), F.lit(False))
-    judged = with_once(
-        counted,
-        {
-            "envelope_error": F.when(text.isNull() | ~readable, F.lit("envelope"))
-            .when(F.col("_block").isNull(), F.lit("content"))
-            .when(~usage_kept | ~counts_kept, F.lit("usage"))
-        },
+    judged = counted.withColumn(
+        "envelope_error",
+        F.when(text.isNull() | ~readable, F.lit("envelope"))
+        .when(F.col("_block").isNull(), F.lit("content"))
+        .when(~usage_kept | ~counts_kept, F.lit("usage")),
     )
     good = F.col("envelope_error").isNull()
     return judged.withColumns(
@@ -121,19 +132,21 @@ def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
     A reply must be one JSON object with the four keys; more keys are tolerated. The fields are
     NULL when ``reply_error`` is set.
     """
+    return _fixed(_replies(enveloped, reply), _REPLY_COLUMNS)
+
+
+def _replies(enveloped: DataFrame, reply: str) -> DataFrame:
     text = F.col(reply)
-    parsed = with_once(
-        enveloped,
+    parsed = enveloped.withColumns(
         {
             "_r": F.from_json(text, _REPLY_SCHEMA, _OPTIONS),
             "_keys": F.json_object_keys(text),
             "_whole": _complete(text),
             "_any": F.try_parse_json(text).isNotNull(),
-        },
+        }
     )
     is_object = F.col("_r").isNotNull() & F.col("_r._corrupt").isNull() & F.col("_keys").isNotNull()
-    parsed = with_once(
-        parsed,
+    parsed = parsed.withColumns(
         {
             "_object": is_object,
             "_score": _score(F.col("_r.compliance_score")),
@@ -142,7 +155,7 @@ def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
             "_reasoning": F.when(
                 coerce.kind(F.col("_r.reasoning")) != "VOID", coerce.shown(F.col("_r.reasoning"))
             ),
-        },
+        }
     )
     wanted = F.array(*[F.lit(key) for key in REPLY_KEYS])
     error = (
@@ -158,7 +171,7 @@ def parse_replies(enveloped: DataFrame, reply: str = "reply") -> DataFrame:
         .when(F.isnan("_score") | ~F.col("_score").between(0.0, 1.0), F.lit("score_range"))
         .when(F.col("_reasoning").isNull(), F.lit("bad_reasoning"))
     )
-    judged = with_once(parsed, {"reply_error": error})
+    judged = parsed.withColumn("reply_error", error)
     fields = {
         "compliance_score": "_score",
         "risk_tier": "_tier",
@@ -197,8 +210,8 @@ def classify(scored: DataFrame, model_id: str) -> DataFrame:
     ``billed`` marks rows whose envelope could be read: they cost tokens even when the reply is
     no good.
     """
-    parsed = parse_replies(parse_envelopes(scored))
-    return parsed.withColumns(
+    parsed = _replies(_envelopes(scored, "response"), "reply")
+    judged = parsed.withColumns(
         {
             "error_code": F.when(F.col("score_error").isNotNull(), F.lit("invoke")).otherwise(
                 F.coalesce("envelope_error", "reply_error")
@@ -208,3 +221,9 @@ def classify(scored: DataFrame, model_id: str) -> DataFrame:
             "model_id": F.lit(model_id),
         }
     ).drop("envelope_error", "reply_error", "reply")
+    return _fixed(judged, _RESULT_COLUMNS)
+
+
+def _fixed(rows: DataFrame, names: list[str]) -> DataFrame:
+    # Results are fixed once, at the end: filters on them must not drag the parsing along.
+    return with_once(rows, {name: F.col(name) for name in names})

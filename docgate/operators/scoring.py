@@ -75,29 +75,33 @@ def score_from_table(requests: DataFrame, responses: DataFrame, key: str = "reco
     )
 
 
-def rule_client() -> Client:
-    """A deterministic client for tests and dry runs: the verdict follows from the page count."""
-    import json
-    import re
-
-    page_line = re.compile(r"^pages: (\d+)$", re.MULTILINE)
-    tiers = ["low", "medium", "high"]
-    alignments = ["aligned", "partial", "non_compliant"]
-
-    def answer(body: str) -> str:
-        message = json.loads(body)["messages"][0]["content"][0]["text"]
-        pages = int(page_line.search(message).group(1))
-        verdict = {
-            "compliance_score": (pages % 100) / 100,
-            "risk_tier": tiers[pages % 3],
-            "policy_alignment": alignments[pages % 3],
-            "reasoning": f"{pages} pages",
-        }
-        return json.dumps(
-            {
-                "content": [{"type": "text", "text": json.dumps(verdict)}],
-                "usage": {"input_tokens": len(message) // 4, "output_tokens": 40 + pages % 100},
+def rule_scorer() -> Callable[[], Client]:
+    """``make_client`` of a deterministic client for tests and dry runs.
+
+    The verdict follows from the page count.
+    """
+
+    def make_client():
+        import json
+        import re
+
+        page_line = re.compile(r"^pages: (\d+)$", re.MULTILINE)
+        tiers = ["low", "medium", "high"]
+        alignments = ["aligned", "partial", "non_compliant"]
+
+        def answer(body):
+            message = json.loads(body)["messages"][0]["content"][0]["text"]
+            pages = int(page_line.search(message).group(1))
+            verdict = {
+                "compliance_score": (pages % 100) / 100,
+                "risk_tier": tiers[pages % 3],
+                "policy_alignment": alignments[pages % 3],
+                "reasoning": f"{pages} pages",
             }
-        )
+            usage = {"input_tokens": len(message) // 4, "output_tokens": 40 + pages % 100}
+            content = [{"type": "text", "text": json.dumps(verdict)}]
+            return json.dumps({"content": content, "usage": usage})
+
+        return lambda bodies: [answer(body) for body in bodies]
 
-    return lambda bodies: [answer(body) for body in bodies]
+    return make_client

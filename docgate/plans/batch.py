@@ -102,7 +102,7 @@ def run_batch(
     scoring: Scoring,
     *,
     run_id: str | None = None,
-    prompt_hash: str = "unknown",
+    prompt_hash: str | None = None,
     expectations: Sequence[Expectation] | None = None,
     gate_after_normalize: bool = False,
     stop_on_reject: bool = True,
@@ -153,7 +153,7 @@ def audit_staged(
     run_id: str,
     scoring: Scoring,
     gate_passed: bool,
-    prompt_hash: str,
+    prompt_hash: str | None = None,
     source_bucket: str | None = None,
 ) -> int:
     """Write the audit rows of a staged run."""
@@ -162,7 +162,7 @@ def audit_staged(
         staged_for_audit(valid, SOURCE_ORDER),
         run_id=run_id,
         gate_passed=gate_passed,
-        prompt_hash=prompt_hash,
+        prompt_hash=prompt_hash or scoring.prompt_hash,
         source_bucket=source_bucket,
         source_key=source_label(staged),
         prices=scoring.prices,

@@ -6,8 +6,9 @@ gold, audit and dead letters all read staging. A restarted run scores only lines
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,18 @@ from docgate.operators.cost import unknown_models
 from docgate.operators.replies import classify
 from docgate.operators.requests import with_requests
 from docgate.operators.scoring import Client, score
-from docgate.schemas import CHUNK_ROWS, DEFAULT_MODEL, DEFAULT_PROMPT, PROMPTS
+from docgate.schemas import (
+    CHUNK_ROWS,
+    DEFAULT_MODEL,
+    DEFAULT_PROMPT,
+    MAX_REPLY_TOKENS,
+    PROMPTS,
+    TEMPERATURE,
+)
 from docgate.session import path_exists
 from docgate.sinks.audit import input_fingerprint
 from docgate.sinks.dead_letter import raw_line_json, record_json, write_dead_letters
 from docgate.sinks.tables import align, run_dir
-from docgate.sources.ndjson import SOURCE_ORDER
 
 STAGING_SCHEMA = (
     "row_key STRING, source_bucket STRING, source_key STRING, source_block BIGINT, "
@@ -39,7 +46,11 @@ FAILURE_STAGES = {"malformed": "ingestion", "contract": "normalization"}
 
 @dataclass(frozen=True)
 class Scoring:
-    """How records are scored: client factory, model, prompt, prices, limits."""
+    """How records are scored: client factory, model, prompt, prices, limits.
+
+    ``callers`` bounds the tasks that call at the same time (see ``caller_budget``). ``strict`` stops
+    the job at the first line that fails instead of dead-lettering it.
+    """
 
     make_client: Callable[[], Client]
     model_id: str = DEFAULT_MODEL
@@ -47,8 +58,14 @@ class Scoring:
     prices: object = None
     chunk_rows: int = CHUNK_ROWS
     callers: int | None = None
+    max_tokens: int = MAX_REPLY_TOKENS
+    temperature: float = TEMPERATURE
     strict: bool = False
-    extra: dict = field(default_factory=dict)
+
+    @property
+    def prompt_hash(self) -> str:
+        """SHA-256 of the prompt, as in the prompt table."""
+        return hashlib.sha256(self.system_prompt.strip().encode()).hexdigest()
 
 
 def check_price(spark: SparkSession, scoring: Scoring) -> None:
@@ -63,9 +80,9 @@ def judge(parsed: DataFrame, scoring: Scoring) -> DataFrame:
     keyed = parsed.withColumn("row_key", row_key())
     checked = parse_contract(keyed.withColumn("_malformed", F.col("malformed")))
     checked = checked.withColumn("_valid", (F.size("violations") == 0) & ~F.col("_malformed"))
-    requests = with_requests(checked, scoring.system_prompt, **scoring.extra).withColumn(
-        "request_body", F.when(F.col("_valid"), F.col("request_body"))
-    )
+    requests = with_requests(
+        checked, scoring.system_prompt, scoring.max_tokens, scoring.temperature
+    ).withColumn("request_body", F.when(F.col("_valid"), F.col("request_body")))
     if scoring.callers:
         requests = requests.repartition(scoring.callers)
     judged = classify(
@@ -128,7 +145,8 @@ def stage(parsed: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFr
     check_price(spark, scoring)
     pending = parsed
     if not staged_run(spark, path, run_id).isEmpty():
-        done = staged_run(spark, path, run_id).select("row_key")
+        # Equal lines share a key; one of each is enough to know them by.
+        done = staged_run(spark, path, run_id).select("row_key").distinct()
         pending = (
             parsed.withColumn("row_key", row_key()).join(done, "row_key", "left_anti").drop("row_key")
         )
@@ -173,6 +191,3 @@ def dead_letter_failures(staged: DataFrame, root: str, run_id: str) -> dict[str,
         )
         for name in [*FAILURE_STAGES.values(), "classification"]
     }
-
-
-__all__ = ["SOURCE_ORDER", "Scoring", "failures", "judge", "results", "stage", "staged_run"]

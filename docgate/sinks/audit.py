@@ -46,7 +46,7 @@ def attach_inputs(results: DataFrame, inputs: DataFrame, order: Sequence[str]) -
 
 def results_without_input(results: DataFrame, inputs: DataFrame) -> DataFrame:
     """Results that have no input record with a submission time."""
-    known = inputs.where(F.col("submitted_at").isNotNull()).select("record_id")
+    known = inputs.where(F.col("submitted_at").isNotNull()).select("record_id").distinct()
     return results.join(known, "record_id", "left_anti")
 
 

@@ -26,7 +26,7 @@ def screen_batch(
     scoring: Scoring,
     *,
     stream_name: str,
-    prompt_hash: str = "unknown",
+    prompt_hash: str | None = None,
     expectations: Sequence[Expectation] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The function to give to ``foreachBatch``.
@@ -75,7 +75,7 @@ def start_stream(
     *,
     stream_name: str,
     every: str | None = "5 minutes",
-    prompt_hash: str = "unknown",
+    prompt_hash: str | None = None,
     expectations: Sequence[Expectation] | None = None,
 ) -> StreamingQuery:
     """Start the stream job. ``every=None`` works off what is there and stops."""

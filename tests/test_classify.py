@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from docgate.operators.contract import parse_contract
 from docgate.operators.replies import classify, parse_envelopes, parse_replies
 from docgate.operators.requests import with_requests
-from docgate.operators.scoring import rule_client, score, score_from_table
+from docgate.operators.scoring import rule_scorer, score, score_from_table
 from docgate.sources.ndjson import parse_lines
 from tests.helpers import lines, record
 
@@ -57,14 +57,14 @@ def test_message_and_body(spark):
 @pytest.mark.parametrize("chunk", [1, 3, 25, 1000])
 def test_one_answer_per_row_whatever_the_chunk(spark, chunk):
     rows = [record(pages=i + 1) for i in range(40)]
-    scored = classify(score(requests_of(spark, *rows), rule_client, chunk), "m")
+    scored = classify(score(requests_of(spark, *rows), rule_scorer(), chunk), "m")
     got = {r["record_id"]: r["reasoning"] for r in scored.collect()}
     assert got == {r["record_id"]: f"{r['pages']} pages" for r in rows}
 
 
 def test_chunk_must_be_positive(spark):
     with pytest.raises(ValueError, match="positive"):
-        score(requests_of(spark, record()), rule_client, 0)
+        score(requests_of(spark, record()), rule_scorer(), 0)
 
 
 def test_failing_calls_are_rows(spark):
