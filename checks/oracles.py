@@ -229,7 +229,7 @@ _SCREENED = f"""WITH {_REC}, fixed AS (SELECT doc_id, record_id, submitted_at,
     substr({_squeeze("concat('Document text: ', document_text)")}, 1, 10000) AS dt FROM rec), {_ruled("fixed")},
     costed AS (SELECT *, {_COSTS} FROM ruled)"""
 
-ORACLES = {
+_ORACLES = {
     "ndjson_scan": f"SELECT {_ID} AS record_id, {_TEXT_MD5} FROM documents",
     "ndjson_scan_day": f"""SELECT {_ID} AS record_id, {_TEXT_MD5},
         concat('2024-01-0', cast(doc_id % 3 + 1 AS varchar)) AS day FROM documents""",
@@ -281,8 +281,8 @@ ORACLES = {
     "score_chunked": f"""{_RULES}, {_ruled("canon")} SELECT risk_tier, count(*) AS records,
         cast(sum(input_tokens + output_tokens) AS bigint) AS tokens_used FROM ruled GROUP BY risk_tier""",
     "score_table": f"""{_RULES}, {_ENV} SELECT canon.record_id, error_code, risk_tier FROM canon JOIN classified USING (doc_id)""",
-    "envelope_parse": f"""WITH {_ENV} SELECT doc_id, md5(reply) AS reply_md5, CASE WHEN reply IS NOT NULL THEN input_tokens END AS input_tokens,
-        CASE WHEN reply IS NOT NULL THEN output_tokens END AS output_tokens, CASE WHEN reply IS NULL THEN 'content' END AS envelope_error FROM opened""",
+    "envelope_parse": f"""WITH {_ENV} SELECT doc_id, md5(reply) AS reply_md5, CASE WHEN reply IS NOT NULL THEN input_tokens ELSE -1 END AS input_tokens,
+        CASE WHEN reply IS NOT NULL THEN output_tokens ELSE -1 END AS output_tokens, CASE WHEN reply IS NULL THEN 'content' END AS envelope_error FROM opened""",
     "reply_parse": f"""WITH {_RESP}, j AS (SELECT doc_id, response_text AS t, {_reply_error("response_text")} AS reply_error FROM resp)
         SELECT doc_id, cast(json_extract_string(CASE WHEN reply_error IS NULL THEN t END, '$.compliance_score') AS decimal(4,3)) AS score,
         json_extract_string(CASE WHEN reply_error IS NULL THEN t END, '$.risk_tier') AS risk_tier,
@@ -291,7 +291,7 @@ ORACLES = {
     "reply_errors": f"""WITH {_RESP} SELECT coalesce({_reply_error("response_text")}, 'ok') AS error, count(*) AS replies
         FROM resp GROUP BY 1""",
     "classify_results": f"""WITH {_ENV} SELECT doc_id, error_code, reply IS NOT NULL AS billed, score, risk_tier,
-        CASE WHEN reply IS NOT NULL THEN tokens_used END AS tokens_used, 'us.anthropic.claude-sonnet-4-6' AS model_id FROM classified""",
+        CASE WHEN reply IS NOT NULL THEN tokens_used ELSE -1 END AS tokens_used, 'us.anthropic.claude-sonnet-4-6' AS model_id FROM classified""",
     "cost_totals": f"""WITH {_USAGE} SELECT model_id, cast(sum(input_tokens) AS bigint) AS input_tokens,
         cast(sum(output_tokens) AS bigint) AS output_tokens, count(*) AS requests FROM usage GROUP BY model_id""",
     "cost_summary": f"""WITH {_USAGE}, {_PRICES}, t AS (SELECT model_id, cast(sum(input_tokens) AS bigint) AS i,
@@ -337,8 +337,8 @@ ORACLES = {
         SELECT k AS record_id, 'run-1' AS pipeline_run_id, {_TABLE} FROM keyed
         QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id) = 1""",
     "schema_migration": f"""WITH {_ENV} SELECT record_id, CASE WHEN risk_tier <> 'low' THEN 'run-1' END AS pipeline_run_id, score, risk_tier,
-        policy_alignment, reasoning, CASE WHEN risk_tier <> 'low' THEN input_tokens END AS input_tokens,
-        CASE WHEN risk_tier <> 'low' THEN output_tokens END AS output_tokens, tokens_used FROM good""",
+        policy_alignment, reasoning, CASE WHEN risk_tier <> 'low' THEN input_tokens ELSE -1 END AS input_tokens,
+        CASE WHEN risk_tier <> 'low' THEN output_tokens ELSE -1 END AS output_tokens, tokens_used FROM good""",
     "audit_rows": f"""{_RULES}, {_ENV}, keys AS (SELECT string_agg(source_key, ', ' ORDER BY source_key) AS k FROM (SELECT DISTINCT source_key FROM canon))
         SELECT canon.record_id, 'run-1' AS pipeline_run_id, score AS compliance_score, risk_tier, policy_alignment, input_tokens, output_tokens,
         tokens_used, {_COSTS}, true AS quality_gate_passed, 'raw' AS source_bucket, (SELECT k FROM keys) AS source_key,
@@ -371,3 +371,35 @@ ORACLES = {
         FROM costed GROUP BY risk_tier UNION ALL
         SELECT 'normalization', '', false, count(*), cast(0 AS decimal(18,6)) FROM norm WHERE NOT ({_KEEPS})""",
 }
+
+# Decimal columns by query, turned into doubles as the queries do.
+_COSTED = ["cost_input_usd", "cost_output_usd", "cost_usd"]
+_SUMMED = ["input_cost_usd", "output_cost_usd", "total_cost_usd"]
+_DECIMALS = {
+    "score_deterministic": ["score"],
+    "reply_parse": ["score"],
+    "classify_results": ["score"],
+    "cost_summary": _SUMMED,
+    "cost_custom_prices": _SUMMED,
+    "cost_per_row": _COSTED,
+    "bronze_merge": ["score"],
+    "gold_merge": ["score"],
+    "merge_retry": ["score"],
+    "merge_dedupe": ["score"],
+    "schema_migration": ["score"],
+    "audit_rows": ["compliance_score", *_COSTED],
+    "audit_retry": ["cost_usd"],
+    "batch_pipeline": ["score_sum", "cost_usd"],
+    "batch_run": ["score_sum", "cost_usd"],
+    "stream_pipeline": ["cost_usd"],
+}
+
+
+def _doubles(name: str, sql: str) -> str:
+    if name not in _DECIMALS:
+        return sql
+    casts = ", ".join(f"cast({column} AS double) AS {column}" for column in _DECIMALS[name])
+    return f"SELECT * REPLACE ({casts}) FROM ({sql}) AS exact"
+
+
+ORACLES = {name: _doubles(name, sql) for name, sql in _ORACLES.items()}

@@ -102,12 +102,32 @@ def _table_rows(rows: DataFrame) -> DataFrame:
         "risk_tier",
         "policy_alignment",
         "reasoning",
-        "input_tokens",
-        "output_tokens",
+        _or_minus("input_tokens"),
+        _or_minus("output_tokens"),
         "tokens_used",
     )
 
 
+def _or_minus(column: str):
+    """A count, -1 for none: whole numbers stay whole in every client."""
+    return F.coalesce(F.col(column), F.lit(-1)).alias(column)
+
+
+def _doubles(query):
+    """Exact decimals as doubles, which every client compares alike."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = query(spark, sf_dir)
+        return rows.select(
+            *[
+                F.col(name).cast("double").alias(name) if kind.startswith("decimal") else F.col(name)
+                for name, kind in rows.dtypes
+            ]
+        )
+
+    return run
+
+
 # -- sources -----------------------------------------------------------------
 
 
@@ -432,7 +452,11 @@ def score_table(spark, sf_dir):
 def envelope_parse(spark, sf_dir):
     rows = replies.parse_envelopes(v.env(spark, sf_dir))
     return rows.select(
-        "doc_id", F.md5("reply").alias("reply_md5"), "input_tokens", "output_tokens", "envelope_error"
+        "doc_id",
+        F.md5("reply").alias("reply_md5"),
+        _or_minus("input_tokens"),
+        _or_minus("output_tokens"),
+        "envelope_error",
     )
 
 
@@ -462,7 +486,7 @@ def classify_results(spark, sf_dir):
         "billed",
         F.col("compliance_score").cast("decimal(4,3)").alias("score"),
         "risk_tier",
-        "tokens_used",
+        _or_minus("tokens_used"),
         "model_id",
     )
 
@@ -523,14 +547,14 @@ def _demand(spark, sf_dir):
 
 def admission_single_bucket(spark, sf_dir):
     rows = admission.single_bucket_schedule(
-        admission.feasible(_demand(spark, sf_dir), TPM), ["run"], "seq", "tokens", TPM, block_rows=300
+        admission.feasible(_demand(spark, sf_dir), TPM), ["run"], "seq", "tokens", TPM, block_rows=500
     )
     return rows.withColumn("admit_at_s", F.round("admit_at_s", 6))
 
 
 def admission_schedule(spark, sf_dir):
     rows = admission.dual_bucket_schedule(
-        admission.feasible(_demand(spark, sf_dir), TPM), ["run"], "seq", "tokens", RPM, TPM, block_rows=300
+        admission.feasible(_demand(spark, sf_dir), TPM), ["run"], "seq", "tokens", RPM, TPM, block_rows=500
     )
     return rows.withColumn("admit_at_s", F.round("admit_at_s", 6))
 
@@ -836,7 +860,7 @@ def stream_pipeline(spark, sf_dir):
     )
 
 
-QUERIES = {
+_QUERIES = {
     "ndjson_scan": ndjson_scan,
     "ndjson_scan_day": ndjson_scan_day,
     "ndjson_provenance": ndjson_provenance,
@@ -898,3 +922,5 @@ QUERIES = {
     "batch_reject": batch_reject,
     "stream_pipeline": stream_pipeline,
 }
+
+QUERIES = {name: _doubles(query) for name, query in _QUERIES.items()}
