@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docgate.functions.text import UNICODE_SPACES, strip
+
 # Patterns of accepted text forms (fixed values).
 _ISO = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}"
@@ -23,7 +25,10 @@ _ISO_TIME = r"[Tt _](\d{2}:\d{2}(?::\d{2})?)"
 _ISO_FRACTION = r"[.,](\d{1,6})"
 _ISO_OFFSET = r"[Tt _].*([+\-\u2212])(\d{2}):?(\d{2})$"
 _DECIMAL_TEXT = r"^[+-]?(?:\d+\.?\d*|\.\d+)$"
-_INT_TEXT = r"^[+-]?\d+(?:_\d+)*(?:\.0+)?$"
+# Digits with single underscores between them. Character classes only: the regex engine recurses on
+# repeated groups, and hostile text must not exhaust its stack.
+DIGITS = r"\d[\d_]*(?<!_)"
+_INT_TEXT = rf"^(?!.*__)[+-]?{DIGITS}(?:\.0+)?$"
 _HEX = "[0-9A-Fa-f]"
 _UUID_HYPHENS = f"{_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}}"
 _UUID = rf"^(?:{_UUID_HYPHENS}|{_HEX}{{32}}|\{{{_UUID_HYPHENS}\}}|urn:uuid:{_UUID_HYPHENS})$"
@@ -66,9 +71,7 @@ def number(value: Column, name: Column | None = None) -> Column:
 def whole(value: Column, name: Column | None = None) -> Column:
     """Whole numbers: JSON integers, integral decimals, booleans and integer-like text."""
     name = kind(value) if name is None else name
-    as_text = F.regexp_replace(
-        F.try_variant_get(value, "$", "string"), r"(?U)^\s+|\s+$", ""
-    )
+    as_text = strip(F.try_variant_get(value, "$", "string"), UNICODE_SPACES)
     digits = F.regexp_replace(F.regexp_replace(as_text, r"\.0+$", ""), "_", "")
     decimal = F.try_variant_get(value, "$", "decimal(38,9)")
     return (

@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 from docgate.schemas import MAX_TEXT_LENGTH
 
-# White space, Unicode and the four ASCII separators included (fixed pattern).
-_WS = r"[\s\x1c-\x1f]+"
+# White space (fixed values): Unicode's, and the four ASCII separators that text cleaning adds.
+UNICODE_SPACES = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACES = UNICODE_SPACES + "\x1c\x1d\x1e\x1f"
 
 
 def squeeze(text: Column) -> Column:
     """Collapse every run of white space to one blank and strip both ends."""
-    return F.trim(F.regexp_replace(text, rf"(?U){_WS}", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
-def strip(text: Column) -> Column:
+def strip(text: Column, characters: str = SPACES) -> Column:
     """Strip white space from both ends and leave the inside alone."""
-    return F.regexp_replace(text, rf"(?U)\A{_WS}|{_WS}\z", "")
+    return F.btrim(text, F.lit(characters))
 
 
 def clip(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docgate.functions import coerce
 from docgate.functions.once import with_once
+from docgate.functions.text import strip
 from docgate.schemas import ALIGNMENTS, REPLY_KEYS, RISK_TIERS
 
 _REPLY_SCHEMA = ", ".join(f"{key} VARIANT" for key in REPLY_KEYS) + ", _corrupt STRING"
@@ -18,8 +19,10 @@ _OPTIONS = {
 }
 # Text forms of numbers (fixed patterns).
 _FLOAT_TEXT = (
-    r"^[+-]?(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+(?:_\d+)*)?$"
+    rf"^(?!.*__)[+-]?(?:{coerce.DIGITS}(?:\.(?:{coerce.DIGITS})?)?|\.{coerce.DIGITS})"
+    rf"(?:[eE][+-]?{coerce.DIGITS})?$"
 )
+_COUNT_TEXT = rf"^(?!.*__)[+-]?{coerce.DIGITS}$"
 _NOT_FINITE_TEXT = r"(?i)^[+-]?(?:inf|infinity|nan)$"
 
 #: Error codes in the order they are looked for; the first that applies is reported.
@@ -110,6 +113,7 @@ def _count(column: str) -> Column:
     """A token count: absent is 0, not a number is NULL."""
     value = F.col(column)
     name = coerce.kind(value)
+    text = strip(F.try_variant_get(value, "$", "string"))
     return (
         F.when(name.isNull(), F.lit(0))
         .when(name == "BIGINT", F.try_variant_get(value, "$", "int"))
@@ -119,9 +123,8 @@ def _count(column: str) -> Column:
             F.try_variant_get(value, "$", "double").try_cast("int"),
         )
         .when(
-            (name == "STRING")
-            & F.try_variant_get(value, "$", "string").rlike(r"^\s*[+-]?\d+(?:_\d+)*\s*$"),
-            F.regexp_replace(F.try_variant_get(value, "$", "string"), r"[\s_]", "").try_cast("int"),
+            (name == "STRING") & text.rlike(_COUNT_TEXT),
+            F.regexp_replace(text, "_", "").try_cast("int"),
         )
     )
 
@@ -188,7 +191,7 @@ def _replies(enveloped: DataFrame, reply: str) -> DataFrame:
 
 def _score(value: Column) -> Column:
     name = coerce.kind(value)
-    text = F.regexp_replace(F.try_variant_get(value, "$", "string"), r"(?U)^\s+|\s+$", "")
+    text = strip(F.try_variant_get(value, "$", "string"))
     return (
         F.when(
             (name == "BIGINT") | (name == "DOUBLE") | name.startswith("DECIMAL"),

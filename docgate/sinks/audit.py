@@ -116,10 +116,16 @@ def write_audit(rows: DataFrame, path: str, run_id: str, order: Sequence[str]) -
     ``<path>_last_ids``, so finding the next one never scans the table.
     """
     spark = rows.sparkSession
-    numbered = _asserted(rows).withColumn(
-        "audit_id", F.monotonically_increasing_id() + F.lit(_last_id(spark, path) + 1)
+    next_id = F.monotonically_increasing_id() + F.lit(_last_id(spark, path) + 1)
+    inserted = insert_absent(
+        _asserted(rows),
+        path,
+        run_id,
+        order,
+        AUDIT_SCHEMA,
+        # Numbered by the writing tasks, whose output counts as a whole or not at all.
+        last_step=lambda new: new.withColumn("audit_id", next_id),
     )
-    inserted = insert_absent(numbered, path, run_id, order, AUDIT_SCHEMA)
     ids = spark.read.schema("audit_id BIGINT").parquet(run_dir(path, run_id))
     last = ids.agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("last_id"))
     last.write.mode("overwrite").parquet(run_dir(f"{path}_last_ids", run_id))

@@ -6,7 +6,7 @@ run, however many runs the table holds. One job at a time may write a table. Cat
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +48,14 @@ def insert_absent(
     run_id: str,
     order: Sequence[str],
     schema: str = RESULT_SCHEMA,
+    last_step: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> int:
     """Insert the rows whose record id the run does not have yet; give the number inserted.
 
     The first of several rows of one record id in ``order`` wins, and rows already there are never
     touched, so writing the same batch again changes nothing. The first write of a run has nothing
     to compare with and skips the anti join; retries read one column of one partition.
+    ``last_step`` sees exactly the new rows, in the tasks that write them.
     """
     spark = rows.sparkSession
     target = run_dir(path, run_id)
@@ -63,7 +65,7 @@ def insert_absent(
         there = spark.read.schema("record_id STRING").parquet(target)
         before = there.count()
         new = new.join(there, "record_id", "left_anti")
-    align(new, schema).drop(PARTITION).write.mode("append").parquet(target)
+    align(last_step(new), schema).drop(PARTITION).write.mode("append").parquet(target)
     # Both counts come from file footers.
     return spark.read.schema("record_id STRING").parquet(target).count() - before
 

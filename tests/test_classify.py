@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docgate.operators.contract import parse_contract
@@ -203,3 +205,41 @@ def test_failed_replies_are_billed(spark):
         ("envelope", False, None),
         ("invoke", False, None),
     ]
+
+
+FLOAT_TEXT = st.text("0123456789+-._eE infat\x1c\xa0", max_size=8)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(FLOAT_TEXT, min_size=1, max_size=60))
+def test_score_text_like_python(spark, texts):
+    frame = spark.createDataFrame(
+        [(i, changed(compliance_score=text)) for i, text in enumerate(texts)], "i INT, reply STRING"
+    )
+    for row, text in zip(parse_replies(frame).orderBy("i").collect(), texts, strict=True):
+        try:
+            value = float(text)
+            expected = None if 0.0 <= value <= 1.0 else "score_range"
+        except ValueError:
+            value, expected = None, "bad_score"
+        assert (text, row["reply_error"]) == (text, expected)
+        if expected is None:
+            assert row["compliance_score"] == value
+
+
+@pytest.mark.parametrize(
+    ("text", "error"),
+    [
+        ("1" * 200_000 + "x", "bad_score"),
+        ("1_" * 200_000, "bad_score"),
+        ("0_" * 200_000 + "0", None),
+        (" " * 200_000 + "0.5", None),
+        ("." + "0" * 200_000, None),
+    ],
+)
+def test_long_number_text_is_judged(spark, text, error):
+    frame = spark.createDataFrame([(changed(compliance_score=text),)], "reply STRING")
+    assert parse_replies(frame).head()["reply_error"] == error
+    body = envelope("a", {"input_tokens": text})
+    parsed = parse_envelopes(spark.createDataFrame([(body,)], "response STRING")).head()
+    assert parsed["envelope_error"] == (None if text.strip("0_") == "" else "usage")

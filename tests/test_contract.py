@@ -128,3 +128,17 @@ def test_filter_on_violations_does_not_copy_the_parsing(spark):
     valid, _ = split_contract(parse_contract(parse_lines(lines(spark, [record()]))))
     plan = valid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [
+        {"pages": "1_" * 100_000},
+        {"pages": " " * 100_000},
+        {"submitted_at": "2025-06-15T10:30:00." + "1" * 100_000 + "x"},
+        {"submitted_at": "1" * 100_000},
+        {"record_id": "a-" * 100_000},
+    ],
+)
+def test_hostile_text_is_invalid_and_nothing_more(spark, changes):
+    assert violations(spark, **changes) == [f"{next(iter(changes))}:invalid"]
