@@ -120,6 +120,9 @@ def _ruled(source: str) -> str:
 
 _USAGE = f"""{_RESP}, usage AS (SELECT doc_id, concat('model-', ['a', 'b', 'c'][doc_id % 3 + 1]) AS model_id,
     input_tokens, output_tokens FROM resp)"""
+_ALL_PRICES = """prices AS (SELECT 'model-a' AS model_id, 0.003::decimal(12,6) AS pin, 0.015::decimal(12,6) AS pout
+    UNION ALL SELECT 'model-b', 0.0008::decimal(12,6), 0.004::decimal(12,6)
+    UNION ALL SELECT 'model-c', 0.00025::decimal(12,6), 0.00125::decimal(12,6))"""
 _PRICES = """prices AS (SELECT 'model-a' AS model_id, 0.003::decimal(12,6) AS pin, 0.015::decimal(12,6) AS pout
     UNION ALL SELECT 'model-b', 0.0008::decimal(12,6), 0.004::decimal(12,6))"""
 
@@ -294,7 +297,7 @@ _ORACLES = {
         CASE WHEN reply IS NOT NULL THEN tokens_used ELSE -1 END AS tokens_used, 'us.anthropic.claude-sonnet-4-6' AS model_id FROM classified""",
     "cost_totals": f"""WITH {_USAGE} SELECT model_id, cast(sum(input_tokens) AS bigint) AS input_tokens,
         cast(sum(output_tokens) AS bigint) AS output_tokens, count(*) AS requests FROM usage GROUP BY model_id""",
-    "cost_summary": f"""WITH {_USAGE}, {_PRICES}, t AS (SELECT model_id, cast(sum(input_tokens) AS bigint) AS i,
+    "cost_summary": f"""WITH {_USAGE}, {_ALL_PRICES}, t AS (SELECT model_id, cast(sum(input_tokens) AS bigint) AS i,
         cast(sum(output_tokens) AS bigint) AS o, count(*) AS requests FROM usage GROUP BY model_id)
         SELECT model_id, i AS input_tokens, o AS output_tokens, cast(i * pin * 0.001 AS decimal(18,6)) AS input_cost_usd,
         cast(o * pout * 0.001 AS decimal(18,6)) AS output_cost_usd,

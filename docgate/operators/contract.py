@@ -134,8 +134,8 @@ def _canonical(judged: DataFrame, drop: list[str]) -> DataFrame:
     fields = {name: F.col(f"_v_{name}") for name in RECORD_FIELDS}
     fields["record_id"] = F.coalesce(coerce.uuid_of_text(fields["record_id"]), fields["record_id"])
     fields["flags"] = F.coalesce(fields["flags"], F.array().cast("array<string>"))
-    fields["violations"] = F.col("violations")
-    return with_once(judged, fields).select(*RECORD_FIELDS, *carried)
+    checked = judged.select(*[c.alias(name) for name, c in fields.items()], *carried)
+    return with_once(checked, {"violations": F.col("violations")})
 
 
 def _null_type(name: str) -> str:

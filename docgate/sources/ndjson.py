@@ -106,13 +106,12 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     text = F.col(value)
     # A second key after the line proves that the parser reached the end of the line.
     closed = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit(f',"{_END_KEY}":0}}')))
-    parsed = with_once(
-        lines,
+    parsed = lines.withColumns(
         {
             "raw": F.from_json(text, _RAW_SCHEMA, _RAW_OPTIONS),
             "keys": F.json_object_keys(text),
             "closed": closed,
-        },
+        }
     )
     malformed = (
         F.col("raw").isNull()
@@ -123,7 +122,7 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             F.col("closed") == F.array(F.lit("r"), F.lit(_END_KEY)), F.lit(False)
         )
     )
-    return parsed.withColumn("malformed", F.coalesce(malformed, F.lit(True))).drop("closed")
+    return with_once(parsed, {"malformed": F.coalesce(malformed, F.lit(True))}).drop("closed")
 
 
 def well_formed(parsed: DataFrame, strict: bool = False) -> DataFrame:
