@@ -48,8 +48,9 @@ FAILURE_STAGES = {"malformed": "ingestion", "contract": "normalization"}
 class Scoring:
     """How records are scored: client factory, model, prompt, prices, limits.
 
-    ``callers`` bounds the tasks that call at the same time (see ``caller_budget``). ``strict`` stops
-    the job at the first line that fails instead of dead-lettering it.
+    ``callers`` bounds the tasks that call at the same time (see ``caller_budget``). ``waves`` cuts a
+    run into that many staging writes: a job that dies keeps, and never pays again for, the waves it
+    has finished. ``strict`` stops the job at the first line that fails instead of dead-lettering it.
     """
 
     make_client: Callable[[], Client]
@@ -58,6 +59,7 @@ class Scoring:
     prices: object = None
     chunk_rows: int = CHUNK_ROWS
     callers: int | None = None
+    waves: int = 1
     max_tokens: int = MAX_REPLY_TOKENS
     temperature: float = TEMPERATURE
     strict: bool = False
@@ -76,9 +78,8 @@ def check_price(spark: SparkSession, scoring: Scoring) -> None:
 
 
 def judge(parsed: DataFrame, scoring: Scoring) -> DataFrame:
-    """Contract, scoring and reply checks for parsed lines: the rows of the staging table."""
-    keyed = parsed.withColumn("row_key", row_key())
-    checked = parse_contract(keyed.withColumn("_malformed", F.col("malformed")))
+    """Contract, scoring and reply checks for parsed lines with their ``row_key``."""
+    checked = parse_contract(parsed.withColumn("_malformed", F.col("malformed")))
     checked = checked.withColumn("_valid", (F.size("violations") == 0) & ~F.col("_malformed"))
     requests = with_requests(
         checked, scoring.system_prompt, scoring.max_tokens, scoring.temperature
@@ -143,15 +144,17 @@ def stage(parsed: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFr
     """Score the lines that ``path`` lacks for the run, append them, and read the run back."""
     spark = parsed.sparkSession
     check_price(spark, scoring)
-    pending = parsed
+    pending = parsed.withColumn("row_key", row_key())
     if not staged_run(spark, path, run_id).isEmpty():
         # Equal lines share a key; one of each is enough to know them by.
         done = staged_run(spark, path, run_id).select("row_key").distinct()
-        pending = (
-            parsed.withColumn("row_key", row_key()).join(done, "row_key", "left_anti").drop("row_key")
-        )
-    rows = align(judge(pending, scoring).withColumn("pipeline_run_id", F.lit(run_id)), STAGING_SCHEMA)
-    rows.drop("pipeline_run_id").write.mode("append").parquet(run_dir(path, run_id))
+        pending = pending.join(done, "row_key", "left_anti")
+    for wave in range(scoring.waves):
+        # The share is taken before the parsing, so a line is parsed in its own wave only.
+        share = pending.where(F.pmod(F.xxhash64("row_key"), F.lit(scoring.waves)) == wave)
+        judged = judge(share, scoring).withColumn("pipeline_run_id", F.lit(run_id))
+        rows = align(judged, STAGING_SCHEMA).drop("pipeline_run_id")
+        rows.write.mode("append").parquet(run_dir(path, run_id))
     return staged_run(spark, path, run_id)
 
 

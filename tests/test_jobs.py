@@ -70,6 +70,31 @@ def test_restart_scores_only_what_is_missing(spark, tmp_path):
     assert (calls(log), report.bronze_rows, report.audit_rows) == (3, 1, 1)
 
 
+def test_finished_waves_are_kept(spark, tmp_path):
+    log, out = tmp_path / "calls", str(tmp_path / "out")
+    records = [record(pages=i + 1) for i in range(40)]
+    write_lines(tmp_path / "in", "a.ndjson", records)
+
+    def make():
+        answer = reply_client(calls=str(log))()
+        refuse = reply_client("no json")()
+        return lambda bodies: [
+            (refuse if "pages: 7\\n" in body else answer)([body])[0] for body in bodies
+        ]
+
+    with pytest.raises(PySparkException, match="Failed to classify"):
+        run_batch(
+            spark, str(tmp_path / "in"), "", out, Scoring(make, waves=8, strict=True), run_id="r"
+        )
+    kept = spark.read.parquet(f"{out}/staging").count() if (tmp_path / "out/staging").exists() else 0
+    before = calls(log)
+    scoring = Scoring(reply_client(calls=str(log)), waves=8)
+    report = run_batch(spark, str(tmp_path / "in"), "", out, scoring, run_id="r")
+    assert (report.bronze_rows, report.audit_rows) == (40, 40)
+    assert calls(log) - before == 40 - kept
+    assert spark.read.parquet(f"{out}/staging").count() == 40
+
+
 def test_rejected_batch_is_dead_lettered_whole(spark, tmp_path):
     write_lines(tmp_path / "in", "a.ndjson", [record(), record(agency="NASA"), "broken"])
     out, log = str(tmp_path / "out"), tmp_path / "calls"
