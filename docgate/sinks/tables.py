@@ -1,7 +1,8 @@
 """Insert-only tables keyed by (pipeline_run_id, record_id).
 
-Parquet tables have one folder per ``pipeline_run_id``, so a write lists and reads only its own
-run, however many runs the table holds. One job at a time may write a table. Catalog tables that support row-level changes use MERGE instead.
+Parquet tables have one folder per ``pipeline_run_id``, so a write lists and reads only its own run,
+however many runs the table holds. One job at a time may write a table. Catalog tables that support
+row-level changes use MERGE instead.
 """
 
 from __future__ import annotations

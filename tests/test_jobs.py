@@ -238,3 +238,29 @@ def test_payload_batches(spark):
     batch = spark.createDataFrame([(data,)], "data STRING")
     row = parse_batch(batch, "feed").head()
     assert (row["malformed"], row["source_bucket"], row["source_key"]) == (False, "feed", None)
+
+
+def test_payload_stream(spark, tmp_path):
+    """A connector's stream of base64 payloads; here the connector is the text format."""
+    import base64
+
+    from docgate.streaming.source import read_payload_stream
+
+    (tmp_path / "in").mkdir()
+    texts = [json.dumps(record()), json.dumps(record(agency="NASA")), "broken"]
+    lines = [base64.b64encode(text.encode()).decode() for text in texts]
+    (tmp_path / "in/a.txt").write_text("\n".join([*lines, "%%%"]) + "\n")
+    out = str(tmp_path / "out")
+    query = start_stream(
+        read_payload_stream(spark, "text", {"path": str(tmp_path / "in")}),
+        out,
+        f"{out}/checkpoint",
+        Scoring(reply_client()),
+        stream_name="feed",
+        every=None,
+    )
+    query.awaitTermination()
+    rows = read_table(spark, f"{out}/audit", AUDIT_SCHEMA).collect()
+    assert [(r["source_bucket"], r["source_key"]) for r in rows] == [("feed", "unknown")]
+    stages = [stage for stage, _ in letters(spark, out)]
+    assert stages == ["ingestion", "ingestion", "normalization"]
