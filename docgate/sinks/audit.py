@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docgate.functions.text import fingerprint
 from docgate.operators.cost import source_counts, with_row_cost
-from docgate.operators.ordering import last_per_key
+from docgate.operators.ordering import first_per_key, last_per_key
 from docgate.schemas import AUDIT_NULLABLE, AUDIT_SCHEMA, RECORD_FIELDS, field_types
 from docgate.session import child_names
 from docgate.sinks.tables import insert_absent, run_dir
@@ -152,23 +152,12 @@ def run_sources(records: DataFrame, run_id: str) -> DataFrame:
 
 
 def staged_for_audit(staged: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One audit-ready row per record id of staged rows, in a single aggregate.
+    """One audit-ready row per record id of staged rows.
 
     The first classified row of a record id counts, with the submission time of its last input row.
-    Copies are combined inside each task, so a record id with many copies is no hot spot.
+    Both sides are reduced to one row per record id before they meet, inside each task before the
+    shuffle, so a record id with many copies is no hot spot; the join reuses their partitioning.
     """
-    position = F.struct(*order)
-    carried = [
-        name for name in staged.columns if name not in ("record_id", "submitted_at", *order)
-    ]
-    return (
-        staged.groupBy("record_id")
-        .agg(
-            F.min_by(
-                F.struct(*carried, *order), F.when(F.col("error_code").isNull(), position)
-            ).alias("first"),
-            F.max_by("submitted_at", position).alias("submitted_at"),
-        )
-        .where(F.col("first").isNotNull())
-        .select("record_id", "submitted_at", "first.*")
-    )
+    first = first_per_key(staged.where(F.col("error_code").isNull()), ["record_id"], order)
+    last = last_per_key(staged.select("record_id", *order, "submitted_at"), ["record_id"], order)
+    return first.drop("submitted_at").join(last.drop(*order), "record_id")

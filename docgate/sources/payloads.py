@@ -13,9 +13,15 @@ def decode_payloads(records: DataFrame, data: str = "data") -> DataFrame:
     """Turn ``data`` into JSON text and parse it: bytes are taken as they are, text is base64.
 
     Payloads that are not base64 or not one JSON object come out ``malformed``, with all other
-    columns (such as the sequence number) kept to name them.
+    columns (such as the sequence number) kept to name them. ``value`` is the decoded text, or the
+    payload as it came when it cannot be decoded, so that nothing is lost to the dead letter.
     """
     payload = F.col(data)
     if not isinstance(records.schema[data].dataType, BinaryType):
         payload = F.try_to_binary(payload, F.lit("base64"))
-    return parse_lines(records.withColumn("value", payload.cast("string")).drop(data))
+    given = F.col(data).cast("string")
+    decoded = records.withColumns(
+        {"value": F.coalesce(payload.cast("string"), given), "_decoded": payload.isNotNull()}
+    )
+    parsed = parse_lines(decoded.drop(data))
+    return parsed.withColumn("malformed", F.col("malformed") | ~F.col("_decoded")).drop("_decoded")

@@ -264,3 +264,5 @@ def test_payload_stream(spark, tmp_path):
     assert [(r["source_bucket"], r["source_key"]) for r in rows] == [("feed", "unknown")]
     stages = [stage for stage, _ in letters(spark, out)]
     assert stages == ["ingestion", "ingestion", "normalization"]
+    lost = read_dead_letters(spark, out, "ingestion").collect()
+    assert {json.loads(r["record"])["_raw_line"] for r in lost} == {"broken", "%%%"}

@@ -101,11 +101,16 @@ def test_strict_read_names_the_file(spark):
 def test_payloads(spark):
     text = json.dumps(record())
     encoded = base64.b64encode(text.encode()).decode()
-    rows = [(1, encoded), (2, "%%%"), (3, base64.b64encode(b"nope").decode())]
+    rows = [(1, encoded), (2, "%%%"), (3, base64.b64encode(b"nope").decode()), (4, text), (5, None)]
     decoded = decode_payloads(spark.createDataFrame(rows, "sequence INT, data STRING"))
     got = {r["sequence"]: (r["malformed"], r["value"]) for r in decoded.collect()}
     assert got[1] == (False, text)
-    assert got[2][0] and got[3][0]
+    assert [got[i] for i in (2, 3, 4, 5)] == [
+        (True, "%%%"),
+        (True, "nope"),
+        (True, text),
+        (True, None),
+    ]
     raw = spark.createDataFrame([(1, bytearray(text.encode()))], "sequence INT, data BINARY")
     assert not decode_payloads(raw).head()["malformed"]
 
