@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from checks.queries import QUERIES
 from tests.test_oracles import SF_DIR, pytestmark  # noqa: F401
 
 # Queries whose result is a stored table carry no plan worth a look.
@@ -34,9 +34,9 @@ def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - STORED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STORED))
 def test_no_cross_join_and_no_needless_python(spark, name):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     in_python = "Python" in plan or "Pandas" in plan
     assert in_python == (name in IN_PYTHON)
@@ -52,10 +52,10 @@ def test_no_cross_join_and_no_needless_python(spark, name):
     ],
 )
 def test_scans_read_only_what_is_used(spark, name, columns):
-    plan = plan_of(queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     assert set(re.findall(r"ReadSchema: (struct<.*>)", plan)) == {columns}
 
 
 def test_aggregates_share_one_scan(spark):
-    plan = plan_of(queries()["gate_counts"](spark, SF_DIR))
+    plan = plan_of(QUERIES["gate_counts"](spark, SF_DIR))
     assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
