@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, mixing, naming, sharding
+from docgate.llm import chat, mixing, naming, packing, sharding
 
 SHARDS = 8
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer file, in the same place on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -49,6 +56,14 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2,048 tokens."""
+    out = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return out.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards by key, and in nine."""
     out = sharding.assign_shards(
@@ -65,6 +80,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
     "op5_chat": op5_chat,
+    "op7_packing": op7_packing,
     "op9_sharding": op9_sharding,
 }
 
