@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, mixing, naming, packing, sharding
+from docgate.llm import chat, mixing, naming, packing, quality, sharding
 
 SHARDS = 8
 
@@ -76,12 +76,29 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with base counts and the divergence verdict."""
+    return quality.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        F.round("char_distance", 9).alias("char_distance"),
+        F.round("word_distance", 9).alias("word_distance"),
+    )
+
+
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
     "op5_chat": op5_chat,
     "op7_packing": op7_packing,
     "op9_sharding": op9_sharding,
+    "op10_quality": op10_quality,
 }
 
 ORACLES = {
