@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, mixing, naming, packing, quality, sharding
+from docgate.llm import chat, mixing, naming, packing, quality, sharding, simhash
 
 SHARDS = 8
 
@@ -21,6 +21,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and class of near copies."""
+    return simhash.near_copies(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id", "n_links"
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by weights 1, 2, 3 at most three times over."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -93,6 +100,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
     "op5_chat": op5_chat,
