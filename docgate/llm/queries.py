@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, mixing, naming, packing, quality, sharding, simhash
+from docgate.llm import chat, mixing, naming, packing, quality, repeats, sharding, simhash
 
 SHARDS = 8
 
@@ -28,6 +28,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 35-word windows that also start elsewhere."""
+    return repeats.drop_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by weights 1, 2, 3 at most three times over."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -101,6 +108,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_repeats": op2_repeats,
     "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
     "op5_chat": op5_chat,
