@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, mixing, naming, packing, quality, repeats, sharding, simhash
+from docgate.llm import chat, language, mixing, naming, packing, quality, repeats, sharding, simhash
 
 SHARDS = 8
 
@@ -70,6 +70,16 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from three quarters of the labels."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = language.in_holdout(F.col("doc_id"))
+    model = language.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2,048 tokens."""
     out = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
@@ -112,6 +122,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_exact": op4_exact,
     "op5_chat": op5_chat,
+    "op6_language": op6_language,
     "op7_packing": op7_packing,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
