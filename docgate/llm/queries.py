@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, language, mixing, naming, packing, quality, repeats, sharding, simhash
+from docgate.llm import chat, extract, language, mixing, naming, packing, quality, repeats, sharding, simhash
 
 SHARDS = 8
 
@@ -88,6 +88,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards by key, and in nine."""
     out = sharding.assign_shards(
@@ -124,6 +129,7 @@ QUERIES = {
     "op5_chat": op5_chat,
     "op6_language": op6_language,
     "op7_packing": op7_packing,
+    "op8_extract": op8_extract,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
 }
