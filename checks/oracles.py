@@ -118,6 +118,22 @@ def _ruled(source: str) -> str:
       FROM {source})"""
 
 
+def _audit(source_key: str) -> str:
+    hashed = _HASH.replace("'record_id': record_id", "'record_id': canon.record_id")
+    return f"""{_RULES}, {_ENV}
+        SELECT canon.record_id, 'run-1' AS pipeline_run_id, score AS compliance_score, risk_tier, policy_alignment, input_tokens, output_tokens,
+        tokens_used, {_COSTS}, true AS quality_gate_passed, 'raw' AS source_bucket, {source_key} AS source_key,
+        {hashed} AS input_record_hash, 'p1' AS prompt_hash, {_STAMP}, '2024-02-01 00:00:00' AS classified_at
+        FROM canon JOIN good USING (doc_id)"""
+
+
+def _stream(passed: str) -> str:
+    return f"""{_RULES}, {_ruled("canon")}, costed AS (SELECT *, {_COSTS} FROM ruled)
+        SELECT 'audited' AS outcome, risk_tier, {passed} AS quality_gate_passed, count(*) AS records, cast(sum(cost_usd) AS decimal(18,6)) AS cost_usd
+        FROM costed GROUP BY risk_tier UNION ALL
+        SELECT 'normalization', '', false, count(*), cast(0 AS decimal(18,6)) FROM norm WHERE NOT ({_KEEPS})"""
+
+
 _USAGE = f"""{_RESP}, usage AS (SELECT doc_id, concat('model-', ['a', 'b', 'c'][doc_id % 3 + 1]) AS model_id,
     input_tokens, output_tokens FROM resp)"""
 _ALL_PRICES = """prices AS (SELECT 'model-a' AS model_id, 0.003::decimal(12,6) AS pin, 0.015::decimal(12,6) AS pout
@@ -314,19 +330,9 @@ _ORACLES = {
         cast(i * 0.00001 + o * 0.00005 AS decimal(18,6)) AS total_cost_usd, requests FROM t""",
     "source_keys": """SELECT CASE WHEN doc_id % 11 > 0 THEN source ELSE 'unknown' END AS source_key, count(*) AS records
         FROM documents GROUP BY 1""",
-    "admission_single_bucket": f"""WITH {_DEMAND} SELECT run, seq, tokens, round(cast(greatest(sum(tokens) OVER (PARTITION BY run ORDER BY seq)
-        - {TPM}, 0) AS double) * 60 / {TPM}, 6) AS admit_at_s FROM demand WHERE tokens BETWEEN 0 AND {TPM}""",
-    "admission_schedule": f"""WITH RECURSIVE {_DEMAND}, d AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY seq) AS rn
-        FROM demand WHERE tokens BETWEEN 0 AND {TPM}),
-      r AS (SELECT run, seq, tokens, rn, cast(0 AS bigint) AS t, cast({TPM} AS bigint) AS x, tokens * {RPM} AS y FROM d WHERE rn = 1
-        UNION ALL SELECT run, seq, tokens, rn, t, greatest(x0, t) + {TPM} AS x, greatest(y0, t) + tokens * {RPM} AS y FROM (
-          SELECT d.run, d.seq, d.tokens, d.rn, r.x AS x0, r.y AS y0,
-            greatest(r.t, r.x - {(RPM - 1) * TPM}, r.y - ({TPM} - d.tokens) * {RPM}) AS t
-          FROM r JOIN d ON d.run = r.run AND d.rn = r.rn + 1))
-      SELECT run, seq, tokens, round(cast(t AS double) * 60 / {RPM * TPM}, 6) AS admit_at_s FROM r""",
     "admission_infeasible": f"""WITH {_DEMAND}, s AS (SELECT run, seq, CASE WHEN seq % 13 = 0 THEN -tokens ELSE tokens END AS tokens FROM demand)
-        SELECT *, CASE WHEN tokens < 0 THEN 'estimated_tokens must be non-negative'
-          ELSE 'estimated_tokens exceeds limiter token bucket capacity' END AS reason FROM s WHERE tokens < 0 OR tokens > 1000""",
+        SELECT *, CASE WHEN tokens < 0 THEN 'negative token estimate'
+          ELSE 'token estimate above the limit per minute' END AS reason FROM s WHERE tokens < 0 OR tokens > 1000""",
     "budget_split": f"""WITH {_DEMAND} SELECT seq % {CALLERS} AS caller, count(*) AS requests, cast(sum(tokens) AS bigint) AS tokens,
         cast({RPM / CALLERS} AS double) AS rpm_share, cast({TPM / CALLERS} AS double) AS tpm_share,
         round(greatest(count(*) / cast({RPM / CALLERS} AS double), cast(sum(tokens) AS double) / {TPM / CALLERS}), 6) AS minutes
@@ -342,11 +348,10 @@ _ORACLES = {
     "schema_migration": f"""WITH {_ENV} SELECT record_id, CASE WHEN risk_tier <> 'low' THEN 'run-1' END AS pipeline_run_id, score, risk_tier,
         policy_alignment, reasoning, CASE WHEN risk_tier <> 'low' THEN input_tokens ELSE -1 END AS input_tokens,
         CASE WHEN risk_tier <> 'low' THEN output_tokens ELSE -1 END AS output_tokens, tokens_used FROM good""",
-    "audit_rows": f"""{_RULES}, {_ENV}, keys AS (SELECT string_agg(source_key, ', ' ORDER BY source_key) AS k FROM (SELECT DISTINCT source_key FROM canon))
-        SELECT canon.record_id, 'run-1' AS pipeline_run_id, score AS compliance_score, risk_tier, policy_alignment, input_tokens, output_tokens,
-        tokens_used, {_COSTS}, true AS quality_gate_passed, 'raw' AS source_bucket, (SELECT k FROM keys) AS source_key,
-        {_HASH.replace("record_id}", "canon.record_id}").replace("'record_id': record_id", "'record_id': canon.record_id")} AS input_record_hash, 'p1' AS prompt_hash, {_STAMP}, '2024-02-01 00:00:00' AS classified_at
-        FROM canon JOIN good USING (doc_id)""",
+    "audit_rows": _audit("source_key"),
+    "audit_many_sources": _audit("concat('key-', cast(doc_id AS varchar))"),
+    "audit_two_runs": f"""{_RULES}, {_ENV} SELECT risk_tier, 2 * count(*) AS rows, 2 * count(*) AS ids, cast(2 AS bigint) AS runs
+        FROM canon JOIN good USING (doc_id) GROUP BY risk_tier""",
     "audit_retry": f"""{_RULES}, {_ENV}, a AS (SELECT risk_tier, canon.record_id, {_COSTS} FROM canon JOIN good USING (doc_id))
         SELECT risk_tier, count(*) AS rows, count(*) AS ids, count(DISTINCT record_id) AS records,
         cast(sum(cost_usd) AS decimal(18,6)) AS cost_usd FROM a GROUP BY risk_tier""",
@@ -366,13 +371,33 @@ _ORACLES = {
     "batch_run": f"""{_SCREENED} SELECT risk_tier, true AS quality_gate_passed, count(*) AS records, cast(sum(score) AS decimal(18,3)) AS score_sum,
         cast(sum(input_tokens + output_tokens) AS bigint) AS tokens_used, cast(sum(cost_usd) AS decimal(18,6)) AS cost_usd
         FROM costed GROUP BY risk_tier""",
-    "batch_reject": f"""WITH {_REC}, g AS ({_gate_rows("rec", _BAD)}), message AS (SELECT concat('Quality gate failed: ',
-          cast(sum(unexpected_count) AS varchar), '/', cast(max(total) AS varchar), ' records') AS error FROM g)
+    "batch_reject": f"""WITH {_REC}, g AS ({_gate_rows("rec", _BAD)}), message AS (SELECT concat('gate closed: ',
+          cast(sum(unexpected_count) AS varchar), ' defects in ', cast(max(total) AS varchar), ' records') AS error FROM g)
         SELECT record_id, 'quality_gate' AS failure_stage, (SELECT error FROM message) AS error FROM rec""",
-    "stream_pipeline": f"""{_RULES}, {_ruled("canon")}, costed AS (SELECT *, {_COSTS} FROM ruled)
-        SELECT 'audited' AS outcome, risk_tier, false AS quality_gate_passed, count(*) AS records, cast(sum(cost_usd) AS decimal(18,6)) AS cost_usd
-        FROM costed GROUP BY risk_tier UNION ALL
-        SELECT 'normalization', '', false, count(*), cast(0 AS decimal(18,6)) FROM norm WHERE NOT ({_KEEPS})""",
+    "stream_pipeline": _stream("true"),
+    "stream_gated": _stream("false"),
+    "ndjson_prefix": f"WITH {_REC} SELECT record_id, md5(document_text) AS text_md5 FROM rec WHERE doc_id % 5 <> 2",
+    "score_isolated": f"""{_RULES}, {_ruled("canon")} SELECT record_id, CASE WHEN doc_id % 13 = 0 THEN 'invoke' END AS error_code,
+        CASE WHEN doc_id % 13 <> 0 THEN risk_tier END AS risk_tier FROM ruled""",
+    "score_retry": f"""{_RULES}, {_ruled("canon")} SELECT record_id, cast(NULL AS varchar) AS error_code, risk_tier,
+        CASE WHEN doc_id % 13 = 0 THEN 2 ELSE 1 END AS attempt FROM ruled""",
+    "scoring_limits": f"""{_RULES}, {_ruled("canon")}, n AS (SELECT *, greatest(length({_MESSAGE}) // 4, 1) + 512 > 1500 AS big FROM ruled)
+        SELECT record_id, CASE WHEN big THEN 'oversize' END AS error_code, CASE WHEN NOT big THEN risk_tier END AS risk_tier,
+        NOT big AS billed FROM n""",
+    "reply_codes": """WITH c(k, error_code, billed, reasoning, tokens_used) AS (VALUES (0, NULL, true, 'why', 7), (1, 'invoke', false, NULL, -1),
+        (2, 'envelope', false, NULL, -1), (3, 'content', false, NULL, -1), (4, 'usage', false, NULL, -1), (5, NULL, true, 'why', 0),
+        (6, NULL, true, 'why', 0), (7, NULL, true, 'why', 0), (8, NULL, true, 'why', 0), (9, 'non_json', true, NULL, 7),
+        (10, 'not_object', true, NULL, 7), (11, 'missing', true, NULL, 7), (12, 'bad_tier', true, NULL, 7), (13, 'bad_alignment', true, NULL, 7),
+        (14, 'bad_score', true, NULL, 7), (15, 'score_range', true, NULL, 7), (16, NULL, true, 'None', 7))
+        SELECT doc_id, error_code, billed, reasoning, tokens_used FROM documents JOIN c ON doc_id % 17 = k""",
+    "cost_price_frame": f"""WITH {_USAGE}, {_PRICES} SELECT doc_id, model_id, input_tokens, output_tokens,
+        cast(coalesce(input_tokens * pin * 0.001, 0) AS decimal(12,6)) AS cost_input_usd,
+        cast(coalesce(output_tokens * pout * 0.001, 0) AS decimal(12,6)) AS cost_output_usd,
+        cast(cast(coalesce(input_tokens * pin * 0.001, 0) AS decimal(12,6)) + cast(coalesce(output_tokens * pout * 0.001, 0) AS decimal(12,6)) AS decimal(12,6)) AS cost_usd
+        FROM usage LEFT JOIN prices USING (model_id)""",
+    "dead_letter_rerun": f"""{_RULES}, failed AS (SELECT record_id FROM norm WHERE NOT ({_KEEPS}))
+        SELECT 'batch' AS job, record_id, 'normalization' AS failure_stage, true AS key_ok, true AS line_ok FROM failed
+        UNION ALL SELECT 'stream', record_id, 'normalization', true, NULL FROM failed""",
 }
 
 # Decimal columns by query, turned into doubles as the queries do.
@@ -385,16 +410,19 @@ _DECIMALS = {
     "cost_summary": _SUMMED,
     "cost_custom_prices": _SUMMED,
     "cost_per_row": _COSTED,
+    "cost_price_frame": _COSTED,
     "bronze_merge": ["score"],
     "gold_merge": ["score"],
     "merge_retry": ["score"],
     "merge_dedupe": ["score"],
     "schema_migration": ["score"],
     "audit_rows": ["compliance_score", *_COSTED],
+    "audit_many_sources": ["compliance_score", *_COSTED],
     "audit_retry": ["cost_usd"],
     "batch_pipeline": ["score_sum", "cost_usd"],
     "batch_run": ["score_sum", "cost_usd"],
     "stream_pipeline": ["cost_usd"],
+    "stream_gated": ["cost_usd"],
 }
 
 

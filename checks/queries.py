@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
+from checks.clients import failing_client, rule_scorer
 from docgate.errors import GateRejected
 from docgate.operators import admission, contract, cost, gate, replies, requests, scoring
 from docgate.operators.normalize import normalize
 from docgate.plans.batch import run_batch
-from docgate.plans.staging import Scoring, failures, results
+from docgate.plans.staging import Scoring, failures, results, stage
 from docgate.schemas import DEFAULT_MODEL, PROMPTS, RESULT_SCHEMA
-from docgate.session import scratch_path
+from docgate.session import copy_file, matches, scratch_path
 from docgate.functions.text import clip, squeeze
 from docgate.sinks import audit, dead_letter, tables
 from docgate.sinks.ndjson import write_ndjson
@@ -23,7 +24,7 @@ from docgate.sources import ndjson
 from docgate.sources.payloads import decode_payloads
 from docgate.sources.prompts import prompt_table
 from docgate.sources.synthetic import synth_records
-from docgate.streaming.job import start_stream
+from docgate.streaming.job import screen_batch, start_stream
 from docgate.streaming.source import read_line_stream
 
 PROMPT = PROMPTS["compliance_v1"]
@@ -151,6 +152,20 @@ def ndjson_scan_day(spark, sf_dir):
     return scan
 
 
+def ndjson_prefix(spark, sf_dir):
+    """Keys that start with a text that ends inside a folder name, odd file names included."""
+    root = scratch_path(v.utc(spark), "ndjson")
+    records = _plain(spark, sf_dir)
+    for share, day in enumerate(("01", "02", "11", "hidden1", "hidden2")):
+        rows = records.where(F.col("doc_id") % 5 == share).drop("doc_id", "source_key")
+        folder = f"{root}/docs/2024/01/{day}" if share < 3 else f"{root}-{day}"
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
+    for share, name in ((3, "03/_b"), (4, "04/.c")):
+        for number, (path, _) in enumerate(matches(spark, f"{root}-hidden{share - 2}/part-*")):
+            copy_file(spark, path, f"{root}/docs/2024/01/{name}{number}.ndjson")
+    return _seen(_parsed(spark, ndjson.read_ndjson(spark, root, "docs/2024/01/0")))
+
+
 def ndjson_provenance(spark, sf_dir):
     lines = v.json_lines(v.rec(spark, sf_dir)).withColumns(
         {
@@ -415,7 +430,7 @@ def token_estimate(spark, sf_dir):
 
 def _scored(spark, sf_dir, chunk_rows=25):
     asked = requests.with_requests(_canonical(spark, sf_dir), PROMPT)
-    return replies.classify(scoring.score(asked, scoring.rule_scorer(), chunk_rows), DEFAULT_MODEL)
+    return replies.classify(scoring.score(asked, rule_scorer(), chunk_rows), DEFAULT_MODEL)
 
 
 def score_deterministic(spark, sf_dir):
@@ -438,6 +453,40 @@ def score_chunked(spark, sf_dir):
     )
 
 
+def score_isolated(spark, sf_dir):
+    """A client that raises on some records: only those fail, not the chunks they are in."""
+    asked = requests.with_requests(_canonical(spark, sf_dir), PROMPT)
+    scored = scoring.score(asked, failing_client(13))
+    return replies.classify(scored, DEFAULT_MODEL).select("record_id", "error_code", "risk_tier")
+
+
+def _staged(spark, sf_dir, *attempts: Scoring) -> DataFrame:
+    root = _folder(spark, _plain(spark, sf_dir))
+    parsed = _parsed(spark, ndjson.read_ndjson(spark, root, "federal-documents/"))
+    path = scratch_path(spark, "staging")
+    for attempt in attempts:
+        staged = stage(parsed, path, RUN, attempt)
+    return staged
+
+
+def score_retry(spark, sf_dir):
+    """The model is down, then partly up, then up, under one run id: every record has one verdict."""
+    staged = _staged(
+        spark, sf_dir, Scoring(failing_client(1)), Scoring(failing_client(13)), Scoring(rule_scorer())
+    )
+    return staged.where("error_code is distinct from 'contract'").select(
+        "record_id", "error_code", "risk_tier", "attempt"
+    )
+
+
+def scoring_limits(spark, sf_dir):
+    """Requests above the token limit are refused without a call."""
+    staged = _staged(spark, sf_dir, Scoring(rule_scorer(), tokens_per_minute=1_500, paced=False))
+    return staged.where("error_code is distinct from 'contract'").select(
+        "record_id", "error_code", "risk_tier", "billed"
+    )
+
+
 def score_table(spark, sf_dir):
     answers = (
         v.env(spark, sf_dir)
@@ -480,6 +529,21 @@ def reply_errors(spark, sf_dir):
     )
 
 
+def reply_codes(spark, sf_dir):
+    """Every error code, and the odd forms that are no errors."""
+    cases = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(e).alias("e")) for r, e in v.ODD_REPLIES])
+    case = F.get(cases, (F.col("doc_id") % len(v.ODD_REPLIES)).cast("int"))
+    rows = v.documents(spark, sf_dir).select(
+        "doc_id",
+        case["r"].alias("response"),
+        case["e"].alias("score_error"),
+        F.lit("2024-02-01 00:00:00").cast("timestamp").alias("classified_at"),
+    )
+    return replies.classify(rows, DEFAULT_MODEL).select(
+        "doc_id", "error_code", "billed", "reasoning", _or_minus("tokens_used")
+    )
+
+
 def classify_results(spark, sf_dir):
     return _result_rows(spark, sf_dir).select(
         "doc_id",
@@ -525,6 +589,15 @@ def cost_custom_prices(spark, sf_dir):
     return cost.run_cost(usage, "model-a", CUSTOM_PRICES)
 
 
+def cost_price_frame(spark, sf_dir):
+    rows = [(model, *price) for model, price in PRICES.items()]
+    kinds = "model_id string, input_usd_per_1k decimal(12,6), output_usd_per_1k decimal(12,6)"
+    return cost.with_row_cost(_usage(spark, sf_dir), spark.createDataFrame(rows, kinds)).select(
+        "doc_id", "model_id", "input_tokens", "output_tokens",
+        "cost_input_usd", "cost_output_usd", "cost_usd",
+    )
+
+
 def source_keys(spark, sf_dir):
     return cost.source_counts(
         v.rec(spark, sf_dir).withColumn(
@@ -545,20 +618,6 @@ def _demand(spark, sf_dir):
     )
 
 
-def admission_single_bucket(spark, sf_dir):
-    rows = admission.single_bucket_schedule(
-        admission.feasible(_demand(spark, sf_dir), TPM), ["run"], "seq", "tokens", TPM, block_rows=500
-    )
-    return rows.withColumn("admit_at_s", F.round("admit_at_s", 6))
-
-
-def admission_schedule(spark, sf_dir):
-    rows = admission.dual_bucket_schedule(
-        admission.feasible(_demand(spark, sf_dir), TPM), ["run"], "seq", "tokens", RPM, TPM, block_rows=500
-    )
-    return rows.withColumn("admit_at_s", F.round("admit_at_s", 6))
-
-
 def admission_infeasible(spark, sf_dir):
     demand = _demand(spark, sf_dir).withColumn(
         "tokens", F.when(F.col("seq") % 13 == 0, -F.col("tokens")).otherwise(F.col("tokens"))
@@ -628,17 +687,16 @@ def schema_migration(spark, sf_dir):
     return _table_rows(tables.read_table(spark, f"{path}/bronze"))
 
 
-def _audited(spark, sf_dir) -> DataFrame:
+def _audited(spark, sf_dir, source_key: str = "source_key") -> DataFrame:
     good = results(_result_rows(spark, sf_dir))
     inputs = _canonical(spark, sf_dir)
-    known = good.join(inputs.select("record_id"), "record_id", "left_semi")
+    keys = inputs.select("record_id", F.expr(source_key).alias("source_key"))
     return audit.audit_rows(
-        audit.attach_inputs(known, inputs, ["doc_id"]),
+        audit.attach_inputs(good.join(keys, "record_id"), inputs, ["doc_id"]),
         run_id=RUN,
         gate_passed=True,
         prompt_hash="p1",
         source_bucket="raw",
-        source_key=audit.source_label(inputs),
     )
 
 
@@ -673,6 +731,29 @@ def audit_rows(spark, sf_dir):
     return _audit_table(spark, path)
 
 
+def audit_many_sources(spark, sf_dir):
+    """Every record from a source of its own: each audit row names it, however many there are."""
+    path = scratch_path(v.utc(spark), "tables")
+    own = "concat('key-', cast(doc_id as string))"
+    audit.write_audit(_audited(spark, sf_dir, own), path, RUN, ["doc_id"])
+    return _audit_table(spark, path)
+
+
+def audit_two_runs(spark, sf_dir):
+    """Two runs written by turns: ids need no order between them and are unique over both."""
+    path = scratch_path(v.utc(spark), "tables")
+    _audited(spark, sf_dir).write.parquet(f"{path}-staged")
+    rows = spark.read.parquet(f"{path}-staged")
+    for run, part in ((RUN, F.col("risk_tier") == "low"), ("run-2", F.lit(True)), (RUN, F.lit(True))):
+        audit.write_audit(rows.where(part), path, run, ["doc_id"])
+    written = tables.read_table(spark, path, audit.AUDIT_SCHEMA)
+    return written.groupBy("risk_tier").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("audit_id").alias("ids"),
+        F.countDistinct("pipeline_run_id").alias("runs"),
+    )
+
+
 def audit_retry(spark, sf_dir):
     """A write that stopped after some tiers, then twice all rows; ids stay unique."""
     path = scratch_path(v.utc(spark), "tables")
@@ -737,6 +818,34 @@ def dead_letter_replay(spark, sf_dir):
     )
 
 
+def dead_letter_rerun(spark, sf_dir):
+    """Both jobs run twice over the same records: each failed record has one letter, with its source."""
+    root = _folder(spark, _plain(spark, sf_dir))
+    scans = ndjson.read_ndjson(spark, root, "federal-documents/")
+    letters = []
+    for job in ("batch", "stream"):
+        out = scratch_path(spark, job)
+        for _ in range(2):
+            if job == "batch":
+                run_batch(
+                    spark, root, "federal-documents/", out, Scoring(rule_scorer()),
+                    run_id=RUN, stop_on_reject=False,
+                )
+            else:
+                lines = scans.select("value", F.col("source_key").alias("source_path"), "source_block")
+                screen_batch(out, Scoring(rule_scorer()), stream_name="documents")(lines, 7)
+        found = dead_letter.read_dead_letters(spark, out)
+        letters.append(found.withColumn("job", F.lit(job)))
+    field = lambda name: F.get_json_object("record", f"$.{name}")
+    return letters[0].unionByName(letters[1]).select(
+        "job",
+        field("record_id").alias("record_id"),
+        "failure_stage",
+        field("_source_key").startswith("federal-documents/").alias("key_ok"),
+        (field("_source_line_number").cast("long") >= 1).alias("line_ok"),
+    )
+
+
 def classified_split(spark, sf_dir):
     failed = failures(_result_rows(spark, sf_dir))
     return failed.groupBy("failure_stage", "error_code").agg(F.count(F.lit(1)).alias("records"))
@@ -781,7 +890,7 @@ def _screened(spark, sf_dir, records: DataFrame, **options) -> tuple[str, object
         root,
         "federal-documents/",
         out,
-        Scoring(scoring.rule_scorer()),
+        Scoring(rule_scorer()),
         run_id=RUN,
         **options,
     )
@@ -813,7 +922,7 @@ def batch_reject(spark, sf_dir):
     out = scratch_path(spark, "batch")
     try:
         run_batch(
-            spark, root, "federal-documents/", out, Scoring(scoring.rule_scorer()), run_id=RUN
+            spark, root, "federal-documents/", out, Scoring(rule_scorer()), run_id=RUN
         )
     except GateRejected:
         pass
@@ -821,21 +930,21 @@ def batch_reject(spark, sf_dir):
     return letters.select(
         F.get_json_object("record", "$.record_id").alias("record_id"),
         "failure_stage",
-        F.regexp_extract("error_message", r"^(.*?) — ", 1).alias("error"),
+        F.regexp_extract("error_message", r"^(.*?) \(", 1).alias("error"),
     )
 
 
-def stream_pipeline(spark, sf_dir):
-    """The stream job over the batch with defects; its gate does not stop it."""
+def _streamed(spark, sf_dir, **options) -> DataFrame:
     root = _folder(spark, _plain(spark, sf_dir))
     out = scratch_path(spark, "stream")
     query = start_stream(
         read_line_stream(spark, f"{root}/federal-documents"),
         out,
         f"{out}/checkpoint",
-        Scoring(scoring.rule_scorer()),
+        Scoring(rule_scorer()),
         stream_name="documents",
         every=None,
+        **options,
     )
     query.awaitTermination()
     audited = tables.read_table(spark, f"{out}/audit", audit.AUDIT_SCHEMA).select(
@@ -860,10 +969,21 @@ def stream_pipeline(spark, sf_dir):
     )
 
 
+def stream_pipeline(spark, sf_dir):
+    """The stream job over the batch with defects."""
+    return _streamed(spark, sf_dir)
+
+
+def stream_gated(spark, sf_dir):
+    """The stream job with a gate, whose verdict goes into the audit rows and stops nothing."""
+    return _streamed(spark, sf_dir, expectations=gate.document_expectations())
+
+
 _QUERIES = {
     "ndjson_scan": ndjson_scan,
     "ndjson_scan_day": ndjson_scan_day,
     "ndjson_provenance": ndjson_provenance,
+    "ndjson_prefix": ndjson_prefix,
     "malformed_lines": malformed_lines,
     "payload_decode": payload_decode,
     "stream_ingest": stream_ingest,
@@ -890,19 +1010,22 @@ _QUERIES = {
     "token_estimate": token_estimate,
     "score_deterministic": score_deterministic,
     "score_chunked": score_chunked,
+    "score_isolated": score_isolated,
+    "score_retry": score_retry,
+    "scoring_limits": scoring_limits,
     "score_table": score_table,
     "envelope_parse": envelope_parse,
     "reply_parse": reply_parse,
     "reply_errors": reply_errors,
+    "reply_codes": reply_codes,
     "classify_results": classify_results,
     "cost_totals": cost_totals,
     "cost_summary": cost_summary,
     "cost_unknown_model": cost_unknown_model,
     "cost_per_row": cost_per_row,
+    "cost_price_frame": cost_price_frame,
     "cost_custom_prices": cost_custom_prices,
     "source_keys": source_keys,
-    "admission_single_bucket": admission_single_bucket,
-    "admission_schedule": admission_schedule,
     "admission_infeasible": admission_infeasible,
     "budget_split": budget_split,
     "bronze_merge": bronze_merge,
@@ -911,16 +1034,20 @@ _QUERIES = {
     "merge_dedupe": merge_dedupe,
     "schema_migration": schema_migration,
     "audit_rows": audit_rows,
+    "audit_many_sources": audit_many_sources,
+    "audit_two_runs": audit_two_runs,
     "audit_retry": audit_retry,
     "audit_missing_timestamp": audit_missing_timestamp,
     "input_fingerprint": input_fingerprint,
     "dead_letter_write": dead_letter_write,
     "dead_letter_replay": dead_letter_replay,
+    "dead_letter_rerun": dead_letter_rerun,
     "classified_split": classified_split,
     "batch_pipeline": flagship,
     "batch_run": batch_run,
     "batch_reject": batch_reject,
     "stream_pipeline": stream_pipeline,
+    "stream_gated": stream_gated,
 }
 
 QUERIES = {name: _doubles(query) for name, query in _QUERIES.items()}

@@ -6,6 +6,8 @@ carry defects. ``{documents}`` stands for the table.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -231,3 +233,41 @@ def soiled(records: DataFrame) -> DataFrame:
         .otherwise(plain)
     )
     return json_lines(records).withColumn("value", value)
+
+
+def _reply(**changes) -> str:
+    reply = {
+        "compliance_score": 0.5,
+        "risk_tier": "low",
+        "policy_alignment": "aligned",
+        "reasoning": "why",
+        **changes,
+    }
+    return json.dumps({name: value for name, value in reply.items() if value is not ...})
+
+
+def _enveloped(text: str, usage=None) -> str:
+    usage = {"input_tokens": 3, "output_tokens": 4} if usage is None else usage
+    return json.dumps({"content": [{"type": "text", "text": text}], "usage": usage})
+
+
+#: (response, score_error), one for every error code and for odd forms that are no errors.
+ODD_REPLIES = [
+    (_enveloped(_reply()), None),
+    (None, "down"),
+    ("no envelope", None),
+    ('{"content":[]}', None),
+    (_enveloped(_reply(), {"input_tokens": -1}), None),
+    (_enveloped(_reply(), []), None),
+    (_enveloped(_reply(), 0), None),
+    (_enveloped(_reply(), ""), None),
+    (_enveloped(_reply(), False), None),
+    (_enveloped("no json"), None),
+    (_enveloped("[1]"), None),
+    (_enveloped(_reply(reasoning=...)), None),
+    (_enveloped(_reply(risk_tier="none")), None),
+    (_enveloped(_reply(policy_alignment="none")), None),
+    (_enveloped(_reply(compliance_score="much")), None),
+    (_enveloped(_reply(compliance_score=1.5)), None),
+    (_enveloped(_reply(reasoning=None)), None),
+]

@@ -1,17 +1,8 @@
-"""Rate limits as tables: when each request may go, and what a budget share allows.
+"""Rate limits: which requests can never go, and what share of a limit a task has."""
 
-A bucket of capacity ``limit`` starts full and refills by ``limit`` per minute. Requests of a group
-go in the order of their sequence numbers, each as early as both buckets allow.
-"""
-
-from collections.abc import Sequence
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgate.operators.ordering import BLOCK_ROWS, in_blocks, running_total
-
 
 def _check(*limits: int) -> None:
     if any(limit <= 0 for limit in limits):
@@ -22,10 +13,10 @@ def infeasible(requests: DataFrame, tokens_per_minute: int, tokens: str = "token
     """Requests that can never be admitted, with the ``reason``: to be dead-lettered."""
     _check(tokens_per_minute)
     reason = F.when(
-        F.col(tokens) < 0, F.lit("estimated_tokens must be non-negative")
+        F.col(tokens) < 0, F.lit("negative token estimate")
     ).when(
         F.col(tokens) > tokens_per_minute,
-        F.lit("estimated_tokens exceeds limiter token bucket capacity"),
+        F.lit("token estimate above the limit per minute"),
     )
     return requests.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
@@ -36,107 +27,12 @@ def feasible(requests: DataFrame, tokens_per_minute: int, tokens: str = "tokens"
     return requests.where(F.col(tokens).between(0, tokens_per_minute))
 
 
-def single_bucket_schedule(
-    requests: DataFrame,
-    group: Sequence[str],
-    seq: str,
-    amount: str,
-    per_minute: int,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Add ``admit_at_s`` under one limit: the time by which the running sum has been refilled."""
-    _check(per_minute)
-    summed = running_total(requests, group, seq, amount, "_used", block_rows)
-    owed = F.greatest(F.col("_used") - per_minute, F.lit(0))
-    return summed.withColumn("admit_at_s", owed * F.lit(60.0) / per_minute).drop("_used")
-
-
-def dual_bucket_schedule(
-    requests: DataFrame,
-    group: Sequence[str],
-    seq: str,
-    tokens: str,
-    requests_per_minute: int,
-    tokens_per_minute: int,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Add ``admit_at_s`` under a request limit and a token limit at once.
-
-    The state after a request is three times: when it went, and when either bucket would be full
-    again. One request turns an old state into a new one using only "later of" and "plus", so the
-    effect of a whole block of requests is a 3x3 table of delays, and tables of consecutive blocks
-    combine. That splits a group of any size: every block is summarized on its own, the few
-    summaries are combined in order, and every block is then replayed from its true start. Times
-    are whole multiples of 60 / (requests_per_minute * tokens_per_minute) seconds, so results do
-    not depend on the block size.
-
-    Requests must be feasible (see :func:`feasible`); ``seq`` numbers a group's rows without repeats.
-    """
-    _check(requests_per_minute, tokens_per_minute)
-    rpm, tpm = requests_per_minute, tokens_per_minute
-    never = -(1 << 62)
-
-    def admit(state: tuple, amounts: list) -> tuple:
-        went, slots_full, tokens_full = state
-        times = []
-        for amount in amounts:
-            went = max(went, slots_full - (rpm - 1) * tpm, tokens_full - (tpm - amount) * rpm)
-            slots_full = max(slots_full, went) + tpm
-            tokens_full = max(tokens_full, went) + amount * rpm
-            times.append(went)
-        return times, (went, slots_full, tokens_full)
-
-    keys = [*group, "block"]
-    blocked = in_blocks(requests, seq, block_rows)
-    narrow = blocked.select(*keys, F.col(seq).alias("_seq"), F.col(tokens).alias("_tokens"))
-    types = dict(narrow.dtypes)
-    key_ddl = ", ".join(f"`{name}` {types[name]}" for name in keys)
-
-    def summarize(block: pd.DataFrame) -> pd.DataFrame:
-        amounts = block.sort_values("_seq")["_tokens"].tolist()
-        delays = []
-        for start in range(3):
-            basis = tuple(0 if i == start else never for i in range(3))
-            _, after = admit(basis, amounts)
-            delays += [value if value > never // 2 else never for value in after]
-        row = block[keys].iloc[:1].copy()
-        row["delays"] = [delays]
-        return row
-
-    def chain(blocks: pd.DataFrame) -> pd.DataFrame:
-        ordered = blocks.sort_values("block")
-        state, starts = (0, 0, 0), []
-        for delays in ordered["delays"]:
-            starts.append([int(value) for value in state])
-            state = tuple(
-                max(state[j] + int(delays[3 * j + i]) for j in range(3)) for i in range(3)
-            )
-        out = ordered[keys].copy()
-        out["start"] = starts
-        return out
-
-    summaries = narrow.groupBy(*keys).applyInPandas(summarize, f"{key_ddl}, delays ARRAY<BIGINT>")
-    starts = summaries.groupBy(*group).applyInPandas(chain, f"{key_ddl}, start ARRAY<BIGINT>")
-    ready = blocked.join(starts, keys)
-    out_ddl = ", ".join(f"`{name}` {kind}" for name, kind in requests.dtypes)
-    columns = requests.columns
-
-    def replay(block: pd.DataFrame) -> pd.DataFrame:
-        ordered = block.sort_values(seq)
-        times, _ = admit(tuple(int(v) for v in ordered["start"].iloc[0]), ordered[tokens].tolist())
-        out = ordered[columns].copy()
-        out["admit_at_s"] = [time * 60.0 / (rpm * tpm) for time in times]
-        return out
-
-    return ready.groupBy(*keys).applyInPandas(replay, f"{out_ddl}, admit_at_s DOUBLE")
-
-
 def caller_budget(
     requests_per_minute: int, tokens_per_minute: int, callers: int
 ) -> tuple[float, float]:
     """(requests, tokens) per minute for each of ``callers`` tasks that call at the same time.
 
-    Use with ``repartition(callers)`` before scoring, so no more tasks call at once.
+    ``callers`` is the number of tasks the session runs at once, or a bound on it.
     """
     _check(requests_per_minute, tokens_per_minute, callers)
     return requests_per_minute / callers, tokens_per_minute / callers

@@ -88,7 +88,7 @@ def split_contract(checked: DataFrame, strict: bool = False) -> tuple[DataFrame,
     ok = F.size("violations") == 0
     if strict:
         message = F.concat(
-            F.lit("Failed to normalize record "),
+            F.lit("contract broken by record "),
             F.col("record_ref"),
             F.lit(": "),
             F.array_join("violations", ", "),

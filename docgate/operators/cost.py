@@ -10,15 +10,25 @@ from pyspark.sql import functions as F
 from docgate.schemas import DEFAULT_PRICES
 
 
+UNKNOWN_SOURCE = "unknown"
+BROADCAST_PRICES = 10_000
+SALTS = 64
+
+
 def _priced(rows: DataFrame, prices=None) -> DataFrame:
     """Add ``input_usd_per_1k`` and ``output_usd_per_1k``, NULL for models without a price.
 
     ``prices`` is a dict ``model -> (input, output)``, which becomes a literal lookup in the
-    projection, or a frame (model_id, input_usd_per_1k, output_usd_per_1k), which is joined the way
-    its size asks for. None means the default prices.
+    projection, or a frame (model_id, input_usd_per_1k, output_usd_per_1k). A run has few models, so
+    a join on them is one hot key: a frame of up to ``BROADCAST_PRICES`` rows is counted and
+    broadcast, and a larger one joined on the model and a salt. None means the default prices.
     """
     if isinstance(prices, DataFrame):
-        return rows.join(prices, "model_id", "left")
+        if prices.limit(BROADCAST_PRICES + 1).count() <= BROADCAST_PRICES:
+            return rows.join(F.broadcast(prices), "model_id", "left")
+        salts = prices.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = rows.withColumn("_salt", (F.rand() * SALTS).cast("int"))
+        return salted.join(salts, ["model_id", "_salt"], "left").drop("_salt")
     table = DEFAULT_PRICES if prices is None else prices
     found = {"input_usd_per_1k": 0, "output_usd_per_1k": 1}
     columns = {}
@@ -123,5 +133,5 @@ def with_row_cost(results: DataFrame, prices=None) -> DataFrame:
 
 def source_counts(records: DataFrame) -> DataFrame:
     """Distinct source keys with their row counts; rows without one count as ``unknown``."""
-    key = F.coalesce(F.col("source_key"), F.lit("unknown"))
+    key = F.coalesce(F.col("source_key"), F.lit(UNKNOWN_SOURCE))
     return records.groupBy(key.alias("source_key")).agg(F.count(F.lit(1)).alias("records"))

@@ -7,10 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of one group that one task orders at a time.
-BLOCK_ROWS = 50_000
-
-
 def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row of each key in ``order``.
 
@@ -24,41 +20,3 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Co
 def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key in ``order``."""
     return first_per_key(rows, keys, [F.col(name).desc() for name in order])
-
-
-def in_blocks(rows: DataFrame, seq: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``block``: consecutive sequence numbers in runs of ``block_rows``."""
-    if block_rows <= 0:
-        raise ValueError("block_rows must be positive")
-    return rows.withColumn("block", F.floor(F.col(seq) / F.lit(block_rows)).cast("bigint"))
-
-
-def running_total(
-    rows: DataFrame,
-    group: Sequence[str],
-    seq: str,
-    amount: str,
-    name: str,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Add ``name``, the sum of ``amount`` up to and including each row of its group.
-
-    ``seq`` numbers the rows of a group without repeats. Groups are cut into blocks of sequence
-    numbers: sums inside the blocks, one running sum over the few block totals, and a join that
-    reuses the blocks' partitioning. No task ever orders more than one block of rows.
-    """
-    keys = [*group, "block"]
-    blocked = in_blocks(rows, seq, block_rows)
-    inside = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        blocked.groupBy(*keys)
-        .agg(F.sum(amount).alias("_block_total"))
-        .select(*keys, F.coalesce(F.sum("_block_total").over(earlier), F.lit(0)).alias("_before"))
-    )
-    return (
-        blocked.withColumn("_inside", F.sum(amount).over(inside))
-        .join(before, keys)
-        .withColumn(name, F.col("_inside") + F.col("_before"))
-        .drop("block", "_inside", "_before")
-    )

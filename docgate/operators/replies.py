@@ -23,6 +23,7 @@ _FLOAT_TEXT = (
     rf"(?:[eE][+-]?{coerce.DIGITS})?$"
 )
 _COUNT_TEXT = rf"^(?!.*__)[+-]?{coerce.DIGITS}$"
+NO_REASONING = "None"
 _NOT_FINITE_TEXT = r"(?i)^[+-]?(?:inf|infinity|nan)$"
 
 #: Error codes in the order they are looked for; the first that applies is reported.
@@ -38,7 +39,6 @@ ERROR_CODES = [
     "bad_alignment",
     "bad_score",
     "score_range",
-    "bad_reasoning",
 ]
 
 _ENVELOPE_COLUMNS = ["reply", "input_tokens", "output_tokens", "envelope_error"]
@@ -75,7 +75,6 @@ def _envelopes(scored: DataFrame, response: str) -> DataFrame:
         {
             "_env": F.from_json(text, _ENVELOPE_SCHEMA, _OPTIONS),
             "_complete": _complete(text),
-            "_any": F.try_parse_json(text).isNotNull(),
         }
     )
     is_object = F.col("_env").isNotNull() & F.col("_env._corrupt").isNull()
@@ -91,8 +90,18 @@ def _envelopes(scored: DataFrame, response: str) -> DataFrame:
     counted = opened.withColumns(
         {"reply": coerce.shown(F.col("_block")), "_in": _count("_in"), "_out": _count("_out")}
     )
-    readable = F.col("_complete") & (F.col("_object") | F.col("_any"))
-    usage_kept = (F.col("_usage") == "VOID") | F.col("_usage").startswith("OBJECT")
+    # Other JSON than an object is told from no JSON only where it matters.
+    readable = F.col("_complete") & F.when(F.col("_object"), True).otherwise(
+        F.try_parse_json(text).isNotNull()
+    )
+    # Empty values of any type count as no usage.
+    usage = F.col("_env.usage")
+    none = (
+        (F.col("_usage") == "VOID")
+        | F.coalesce(F.to_json(usage).isin("[]", "false", '""'), F.lit(False))
+        | F.coalesce(F.try_variant_get(usage, "$", "double") == 0, F.lit(False))
+    )
+    usage_kept = none | F.col("_usage").startswith("OBJECT")
     counts_kept = F.coalesce((F.col("_in") >= 0) & (F.col("_out") >= 0), F.lit(False))
     judged = counted.withColumn(
         "envelope_error",
@@ -103,10 +112,11 @@ def _envelopes(scored: DataFrame, response: str) -> DataFrame:
     good = F.col("envelope_error").isNull()
     return judged.withColumns(
         {
+            "reply": F.when(good, F.col("reply")),
             "input_tokens": F.when(good, F.col("_in")),
             "output_tokens": F.when(good, F.col("_out")),
         }
-    ).drop("_env", "_complete", "_any", "_object", "_block", "_usage", "_in", "_out")
+    ).drop("_env", "_complete", "_object", "_block", "_usage", "_in", "_out")
 
 
 def _count(column: str) -> Column:
@@ -143,36 +153,37 @@ def _replies(enveloped: DataFrame, reply: str) -> DataFrame:
     parsed = enveloped.withColumns(
         {
             "_r": F.from_json(text, _REPLY_SCHEMA, _OPTIONS),
-            "_keys": F.json_object_keys(text),
             "_whole": _complete(text),
-            "_any": F.try_parse_json(text).isNotNull(),
         }
     )
-    is_object = F.col("_r").isNotNull() & F.col("_r._corrupt").isNull() & F.col("_keys").isNotNull()
+    is_object = (
+        F.col("_r").isNotNull() & F.col("_r._corrupt").isNull() & text.rlike(r"^[ \t\r\n]*\{")
+    )
     parsed = parsed.withColumns(
         {
             "_object": is_object,
             "_score": _score(F.col("_r.compliance_score")),
             "_tier": coerce.text(F.col("_r.risk_tier")),
             "_alignment": coerce.text(F.col("_r.policy_alignment")),
+            # A null is kept, as the text that its reader makes of it.
             "_reasoning": F.when(
-                coerce.kind(F.col("_r.reasoning")) != "VOID", coerce.shown(F.col("_r.reasoning"))
-            ),
+                coerce.kind(F.col("_r.reasoning")) == "VOID", F.lit(NO_REASONING)
+            ).otherwise(coerce.shown(F.col("_r.reasoning"))),
         }
     )
-    wanted = F.array(*[F.lit(key) for key in REPLY_KEYS])
+    missing = [F.col(f"_r.{key}").isNull() for key in REPLY_KEYS]
+    no_json = F.when(F.col("_object"), False).otherwise(F.try_parse_json(text).isNull())
     error = (
         F.when(text.isNull() | ~F.col("_whole"), F.lit("non_json"))
-        .when(~F.col("_object") & ~F.col("_any"), F.lit("non_json"))
+        .when(no_json, F.lit("non_json"))
         .when(~F.col("_object"), F.lit("not_object"))
-        .when(F.size(F.array_except(wanted, F.col("_keys"))) > 0, F.lit("missing"))
+        .when(missing[0] | missing[1] | missing[2] | missing[3], F.lit("missing"))
         .when(~F.coalesce(F.col("_tier").isin(RISK_TIERS), F.lit(False)), F.lit("bad_tier"))
         .when(
             ~F.coalesce(F.col("_alignment").isin(ALIGNMENTS), F.lit(False)), F.lit("bad_alignment")
         )
         .when(F.col("_score").isNull(), F.lit("bad_score"))
         .when(F.isnan("_score") | ~F.col("_score").between(0.0, 1.0), F.lit("score_range"))
-        .when(F.col("_reasoning").isNull(), F.lit("bad_reasoning"))
     )
     judged = parsed.withColumn("reply_error", error)
     fields = {
@@ -186,7 +197,7 @@ def _replies(enveloped: DataFrame, reply: str) -> DataFrame:
             name: F.when(F.col("reply_error").isNull(), F.col(staged))
             for name, staged in fields.items()
         }
-    ).drop("_r", "_keys", "_whole", "_any", "_object", *fields.values())
+    ).drop("_r", "_whole", "_object", *fields.values())
 
 
 def _score(value: Column) -> Column:

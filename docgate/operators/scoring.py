@@ -5,6 +5,7 @@ envelope or error per body out, in the same order. ``make_client`` builds it onc
 connections are reused across the rows of a partition.
 """
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,36 +18,76 @@ SCORE_SCHEMA = "response STRING, score_error STRING, classified_at TIMESTAMP"
 Client = Callable[[list], list]
 
 
+class Pace:
+    """Waits until a task's share of the limits allows its next requests.
+
+    Both allowances start full and refill evenly up to one minute's share, or to what one chunk
+    needs, whichever is more.
+    """
+
+    def __init__(self, requests_per_minute: float, tokens_per_minute: float):
+        self.rates = (requests_per_minute / 60, tokens_per_minute / 60)
+        self.room = [requests_per_minute, tokens_per_minute]
+        self.seen = time.monotonic()
+
+    def wait(self, requests: int, tokens: int) -> None:
+        now = time.monotonic()
+        most = [60 * rate for rate in self.rates]
+        refilled = [r + (now - self.seen) * rate for r, rate in zip(self.room, self.rates, strict=True)]
+        self.room = [min(*pair) for pair in zip(refilled, most, strict=True)]
+        self.seen = now
+        # Going into debt and sleeping it off admits chunks larger than a minute's share.
+        self.room = [r - n for r, n in zip(self.room, (requests, tokens), strict=True)]
+        debt = max(-r / rate for r, rate in zip(self.room, self.rates, strict=True))
+        if debt > 0:
+            time.sleep(debt)
+
+
+def _ask(client: Client, bodies: list[str]) -> list:
+    """One answer or error per body; a chunk that fails as a whole is asked one by one."""
+    try:
+        answers = client(bodies)
+        if len(answers) == len(bodies):
+            return list(answers)
+        failure: Exception = ValueError(f"{len(answers)} answers to {len(bodies)} requests")
+    except Exception as raised:
+        failure = raised
+    if len(bodies) == 1:
+        return [failure]
+    return [answer for body in bodies for answer in _ask(client, [body])]
+
+
 def score(
     requests: DataFrame,
     make_client: Callable[[], Client],
     chunk_rows: int = CHUNK_ROWS,
     body: str = "request_body",
+    pace: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Add ``response``, ``score_error`` and ``classified_at`` to every row.
 
     Rows whose ``body`` is NULL are passed over without a call. A failed call becomes the row's
-    ``score_error``; it never fails the task. Only the body column travels to Python. Persist the
-    result (see ``docgate.plans.batch``) before using it twice, or the calls are made twice.
+    ``score_error``, and only that row's; it never fails the task. ``pace`` is the share of requests
+    and tokens per minute of one task, with the row's ``estimated_tokens``. Only these columns travel
+    to Python, and nothing is shuffled. Persist the result (see ``docgate.plans.batch``) before
+    using it twice, or the calls are made twice.
     """
     if chunk_rows <= 0:
         raise ValueError("chunk_rows must be positive")
 
-    def call(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         client = make_client()
-        for bodies in batches:
+        limiter = Pace(*pace) if pace else None
+        for bodies, tokens in batches:
             wanted = [i for i, text in enumerate(bodies) if text is not None]
             response = [None] * len(bodies)
             error = [None] * len(bodies)
             when = [None] * len(bodies)
             for start in range(0, len(wanted), chunk_rows):
                 rows = wanted[start : start + chunk_rows]
-                try:
-                    answers = client([bodies.iloc[i] for i in rows])
-                    if len(answers) != len(rows):
-                        raise ValueError(f"{len(answers)} answers to {len(rows)} requests")
-                except Exception as failure:
-                    answers = [failure] * len(rows)
+                if limiter:
+                    limiter.wait(len(rows), int(tokens.iloc[rows].sum()))
+                answers = _ask(client, [bodies.iloc[i] for i in rows])
                 stamp = pd.Timestamp.now(tz="UTC").tz_localize(None)
                 for i, answer in zip(rows, answers, strict=True):
                     if isinstance(answer, Exception):
@@ -62,7 +103,9 @@ def score(
             )
 
     scored = F.pandas_udf(call, SCORE_SCHEMA).asNondeterministic()
-    return requests.withColumn("_score", scored(F.col(body))).select(
+    known = "estimated_tokens" in requests.columns
+    tokens = F.coalesce(F.col("estimated_tokens"), F.lit(0)) if known else F.lit(0)
+    return requests.withColumn("_score", scored(F.col(body), tokens.cast("long"))).select(
         *[F.col(name) for name in requests.columns], "_score.*"
     )
 
@@ -73,35 +116,3 @@ def score_from_table(requests: DataFrame, responses: DataFrame, key: str = "reco
     return joined.withColumn(
         "score_error", F.when(F.col("response").isNull(), F.lit("no stored response"))
     )
-
-
-def rule_scorer() -> Callable[[], Client]:
-    """``make_client`` of a deterministic client for tests and dry runs.
-
-    The verdict follows from the page count.
-    """
-
-    def make_client():
-        import json
-        import re
-
-        page_line = re.compile(r"^pages: (\d+)$", re.MULTILINE)
-        tiers = ["low", "medium", "high"]
-        alignments = ["aligned", "partial", "non_compliant"]
-
-        def answer(body):
-            message = json.loads(body)["messages"][0]["content"][0]["text"]
-            pages = int(page_line.search(message).group(1))
-            verdict = {
-                "compliance_score": (pages % 100) / 100,
-                "risk_tier": tiers[pages % 3],
-                "policy_alignment": alignments[pages % 3],
-                "reasoning": f"{pages} pages",
-            }
-            usage = {"input_tokens": len(message) // 4, "output_tokens": 40 + pages % 100}
-            content = [{"type": "text", "text": json.dumps(verdict)}]
-            return json.dumps({"content": content, "usage": usage})
-
-        return lambda bodies: [answer(body) for body in bodies]
-
-    return make_client

@@ -19,11 +19,10 @@ from docgate.operators.gate import (
     gate_samples,
     gate_view,
 )
-from docgate.plans.staging import Scoring, dead_letter_failures, results, stage
+from docgate.plans.staging import Scoring, dead_letter_failures, stage
 from docgate.sinks.audit import (
     audit_rows,
     run_sources,
-    source_label,
     staged_for_audit,
     write_audit,
 )
@@ -35,6 +34,7 @@ from docgate.sources.ndjson import (
     parse_lines,
     read_ndjson,
     well_formed,
+    with_line_ordinal,
 )
 
 logger = logging.getLogger(__name__)
@@ -117,7 +117,7 @@ def run_batch(
     """
     run_id = run_id or new_run_id()
     out = out.rstrip("/")
-    parsed = parse_lines(read_ndjson(spark, root, prefix))
+    parsed = parse_lines(with_line_ordinal(read_ndjson(spark, root, prefix)))
     if scoring.strict:
         parsed = well_formed(parsed, strict=True)
     view = gate_view(well_formed(parsed), normalize=gate_after_normalize)
@@ -126,13 +126,13 @@ def run_batch(
         _reject(parsed, out, run_id, gate)
 
     staged = stage(parsed, f"{out}/staging", run_id, scoring)
-    good = results(staged)
+    good = reduce_run(staged, f"{out}/reduced", run_id)
     keep_bronze = gate.passed or bronze_on_reject
-    bronze = write_bronze(good, out, run_id, SOURCE_ORDER) if keep_bronze else 0
-    gold = write_gold(good, out, run_id, SOURCE_ORDER, gate.passed)
+    bronze = write_bronze(good, out, run_id, SOURCE_ORDER, reduced=True) if keep_bronze else 0
+    gold = write_gold(good, out, run_id, SOURCE_ORDER, gate.passed, reduced=True)
     sources = run_sources(staged, run_id).drop("pipeline_run_id")
     sources.write.mode("overwrite").parquet(run_dir(f"{out}/run_sources", run_id))
-    audited = audit_staged(staged, out, run_id, scoring, gate.passed, prompt_hash)
+    audited = audit_reduced(good, out, run_id, scoring, gate.passed, prompt_hash)
     billed = staged.where(F.col("billed"))
     spent = run_cost(billed, scoring.model_id, scoring.prices).head().asDict()
     logger.info("run %s cost %s", run_id, spent)
@@ -147,8 +147,21 @@ def run_batch(
     )
 
 
-def audit_staged(
-    staged: DataFrame,
+def reduce_run(staged: DataFrame, path: str, run_id: str) -> DataFrame:
+    """One classified row per record id of a staged run, written once for all tables of the run.
+
+    This is the run's only shuffle of results; bronze, gold and audit are written from it as it is.
+    """
+    valid = staged.where(F.col("record_id").isNotNull() & F.col("input_record_hash").isNotNull())
+    reduced = staged_for_audit(valid, SOURCE_ORDER)
+    folder = run_dir(path, run_id)
+    reduced.drop("pipeline_run_id").write.mode("overwrite").parquet(folder)
+    rows = staged.sparkSession.read.schema(reduced.drop("pipeline_run_id").schema).parquet(folder)
+    return rows.withColumn("pipeline_run_id", F.lit(run_id))
+
+
+def audit_reduced(
+    reduced: DataFrame,
     out: str,
     run_id: str,
     scoring: Scoring,
@@ -156,22 +169,22 @@ def audit_staged(
     prompt_hash: str | None = None,
     source_bucket: str | None = None,
 ) -> int:
-    """Write the audit rows of a staged run."""
-    valid = staged.where(F.col("record_id").isNotNull() & F.col("input_record_hash").isNotNull())
+    """Write the audit rows of a run that :func:`reduce_run` has reduced."""
     rows = audit_rows(
-        staged_for_audit(valid, SOURCE_ORDER),
+        reduced,
         run_id=run_id,
         gate_passed=gate_passed,
         prompt_hash=prompt_hash or scoring.prompt_hash,
         source_bucket=source_bucket,
-        source_key=source_label(staged),
         prices=scoring.prices,
     )
-    return write_audit(rows, f"{out}/audit", run_id, SOURCE_ORDER)
+    return write_audit(rows, f"{out}/audit", run_id, SOURCE_ORDER, reduced=True)
 
 
 def _reject(parsed: DataFrame, out: str, run_id: str, gate: GateResult) -> None:
-    message = f"Quality gate failed: {gate.failed}/{gate.total} records — {gate.failure_details}"
+    rules = ", ".join(f"{d['expectation']} on {d['column']}" for d in gate.failure_details)
+    message = f"gate closed: {gate.failed} defects in {gate.total} records ({rules})"
+    parsed = parsed.withColumnRenamed("line_ordinal", "source_line")
     write_dead_letters(
         well_formed(parsed),
         out,
@@ -186,6 +199,6 @@ def _reject(parsed: DataFrame, out: str, run_id: str, gate: GateResult) -> None:
         raw_line_json(F.col("value")),
         stage="ingestion",
         run_id=run_id,
-        error=F.concat(F.lit("Malformed JSON line in "), F.col("source_key")),
+        error=F.concat(F.lit("not a JSON object: line in "), F.col("source_key")),
     )
     raise GateRejected(message)

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docgate.operators.admission import caller_budget
 from docgate.operators.contract import parse_contract
 from docgate.operators.cost import unknown_models
 from docgate.operators.replies import classify
@@ -26,7 +27,7 @@ from docgate.schemas import (
     PROMPTS,
     TEMPERATURE,
 )
-from docgate.session import path_exists
+from docgate.session import child_names, path_exists
 from docgate.sinks.audit import input_fingerprint
 from docgate.sinks.dead_letter import raw_line_json, record_json, write_dead_letters
 from docgate.sinks.tables import align, run_dir
@@ -37,25 +38,38 @@ STAGING_SCHEMA = (
     "compliance_score DOUBLE, risk_tier STRING, policy_alignment STRING, reasoning STRING, "
     "input_tokens INT, output_tokens INT, tokens_used INT, model_id STRING, "
     "classified_at TIMESTAMP, billed BOOLEAN, error_code STRING, error_message STRING, "
-    "failed_record STRING, pipeline_run_id STRING"
+    "failed_record STRING, source_line BIGINT, attempt INT, pipeline_run_id STRING"
 )
 #: Stage under which a line with this error code is dead-lettered; all other codes are
 #: ``classification``.
 FAILURE_STAGES = {"malformed": "ingestion", "contract": "normalization"}
+#: Error codes that may be gone on the next attempt; a restart scores these lines again.
+RETRIED = ["invoke"]
+OVERSIZE = "oversize"
+NO_LIMIT = 10**15
 
 
 @dataclass(frozen=True)
 class Scoring:
     """How records are scored: client factory, model, prompt, prices, limits.
 
-    ``callers`` bounds the tasks that call at the same time (see ``caller_budget``). ``waves`` cuts a
-    run into that many staging writes: a job that dies keeps, and never pays again for, the waves it
-    has finished. ``strict`` stops the job at the first line that fails instead of dead-lettering it.
+    ``requests_per_minute`` and ``tokens_per_minute`` limit the whole job: a request above the token
+    limit is refused without a call, and each task keeps to its share, for ``callers`` tasks that call
+    at the same time (as many as the session runs by default); ``paced=False`` leaves the waiting to
+    clients that do it themselves. ``prompt_version`` names a prompt of
+    ``prompts`` and wins over ``system_prompt``. ``waves`` cuts a run into that many staging
+    writes: a job that dies keeps, and never pays again for, the waves it has finished. ``strict``
+    stops the job at the first line that fails instead of dead-lettering it.
     """
 
     make_client: Callable[[], Client]
     model_id: str = DEFAULT_MODEL
     system_prompt: str = PROMPTS[DEFAULT_PROMPT]
+    prompt_version: str | None = None
+    prompts: object = field(default_factory=lambda: dict(PROMPTS))
+    requests_per_minute: int | None = None
+    tokens_per_minute: int | None = None
+    paced: bool = True
     prices: object = None
     chunk_rows: int = CHUNK_ROWS
     callers: int | None = None
@@ -64,11 +78,25 @@ class Scoring:
     temperature: float = TEMPERATURE
     strict: bool = False
 
+    def __post_init__(self):
+        if self.prompt_version is not None:
+            if self.prompt_version not in self.prompts:
+                raise KeyError(f"no prompt version {self.prompt_version}")
+            object.__setattr__(self, "system_prompt", self.prompts[self.prompt_version].strip())
+
     @property
     def prompt_hash(self) -> str:
         """SHA-256 of the prompt, as in the prompt table."""
         return hashlib.sha256(self.system_prompt.strip().encode()).hexdigest()
 
+    def pace(self, spark: SparkSession) -> tuple[float, float] | None:
+        """Requests and tokens per minute of one task; None without limits."""
+        if not self.paced or (self.requests_per_minute is None and self.tokens_per_minute is None):
+            return None
+        callers = self.callers or spark.sparkContext.defaultParallelism
+        rpm, tpm = self.requests_per_minute or NO_LIMIT, self.tokens_per_minute or NO_LIMIT
+        return caller_budget(rpm, tpm, callers)
+
 
 def check_price(spark: SparkSession, scoring: Scoring) -> None:
     """Refuse to start when the model has no price: the calls would be paid, then not accounted."""
@@ -84,28 +112,35 @@ def judge(parsed: DataFrame, scoring: Scoring) -> DataFrame:
     requests = with_requests(
         checked, scoring.system_prompt, scoring.max_tokens, scoring.temperature
     ).withColumn("request_body", F.when(F.col("_valid"), F.col("request_body")))
-    if scoring.callers:
-        requests = requests.repartition(scoring.callers)
+    oversize = F.lit(False)
+    if scoring.tokens_per_minute is not None:
+        oversize = F.coalesce(F.col("estimated_tokens") > scoring.tokens_per_minute, F.lit(False))
+    requests = requests.withColumn("_oversize", F.col("_valid") & oversize).withColumn(
+        "request_body", F.when(~F.col("_oversize"), F.col("request_body"))
+    )
+    pace = scoring.pace(parsed.sparkSession)
     judged = classify(
-        score(requests, scoring.make_client, scoring.chunk_rows), scoring.model_id
+        score(requests, scoring.make_client, scoring.chunk_rows, pace=pace), scoring.model_id
     )
     code = (
         F.when(F.col("_malformed"), F.lit("malformed"))
         .when(~F.col("_valid"), F.lit("contract"))
+        .when(F.col("_oversize"), F.lit(OVERSIZE))
         .otherwise(F.col("error_code"))
     )
     staged = judged.withColumn("error_code", code).withColumns(
         {
-            "billed": F.col("billed") & F.col("_valid"),
+            "billed": F.col("billed") & F.col("_valid") & ~F.col("_oversize"),
+            "source_line": F.col("line_ordinal") if "line_ordinal" in parsed.columns else F.lit(None),
             "input_record_hash": F.when(F.col("_valid"), input_fingerprint()),
             "error_message": F.when(
                 F.col("error_code") == "malformed",
-                F.concat(F.lit("Malformed JSON line in "), F.coalesce("source_key", F.lit("stream"))),
+                F.concat(F.lit("not a JSON object: line in "), F.coalesce("source_key", F.lit("stream"))),
             )
             .when(
                 F.col("error_code") == "contract",
                 F.concat(
-                    F.lit("Failed to normalize record "),
+                    F.lit("contract broken by record "),
                     F.col("record_ref"),
                     F.lit(": "),
                     F.array_join("violations", ", "),
@@ -114,7 +149,7 @@ def judge(parsed: DataFrame, scoring: Scoring) -> DataFrame:
             .when(
                 F.col("error_code").isNotNull(),
                 F.concat(
-                    F.lit("Failed to classify record "),
+                    F.lit("no verdict on record "),
                     F.col("record_id"),
                     F.lit(": "),
                     F.coalesce("score_error", "error_code"),
@@ -141,28 +176,48 @@ def row_key():
 
 
 def stage(parsed: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFrame:
-    """Score the lines that ``path`` lacks for the run, append them, and read the run back."""
+    """Score the lines that ``path`` lacks for the run, append them, and read the run back.
+
+    Lines whose call failed (``RETRIED``) count as lacking: running again asks for them again, and
+    their newest attempt replaces the earlier ones.
+    """
     spark = parsed.sparkSession
     check_price(spark, scoring)
     pending = parsed.withColumn("row_key", row_key())
-    if not staged_run(spark, path, run_id).isEmpty():
+    attempt = len(child_names(spark, run_dir(path, run_id)))
+    if attempt:
         # Equal lines share a key; one of each is enough to know them by.
-        done = staged_run(spark, path, run_id).select("row_key").distinct()
+        before = staged_run(spark, path, run_id)
+        done = before.groupBy("row_key").agg(F.max(F.col("error_code").isin(RETRIED)).alias("again"))
+        done = done.where(~F.coalesce("again", F.lit(False))).select("row_key")
         pending = pending.join(done, "row_key", "left_anti")
     for wave in range(scoring.waves):
         # The share is taken before the parsing, so a line is parsed in its own wave only.
         share = pending.where(F.pmod(F.xxhash64("row_key"), F.lit(scoring.waves)) == wave)
         judged = judge(share, scoring).withColumn("pipeline_run_id", F.lit(run_id))
-        rows = align(judged, STAGING_SCHEMA).drop("pipeline_run_id")
-        rows.write.mode("append").parquet(run_dir(path, run_id))
+        rows = align(judged.withColumn("attempt", F.lit(attempt + wave)), STAGING_SCHEMA)
+        rows.drop("pipeline_run_id", "attempt").write.mode("overwrite").parquet(
+            f"{run_dir(path, run_id)}/attempt={attempt + wave}"
+        )
     return staged_run(spark, path, run_id)
 
 
 def staged_run(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """The staged rows of one run."""
-    if not path_exists(spark, run_dir(path, run_id)):
+    """The staged rows of one run: of each line, those of its newest attempt."""
+    folder = run_dir(path, run_id)
+    if not path_exists(spark, folder):
         return spark.createDataFrame([], STAGING_SCHEMA)
-    rows = spark.read.schema(STAGING_SCHEMA).parquet(run_dir(path, run_id))
+    rows = spark.read.schema(STAGING_SCHEMA).option("basePath", folder).parquet(folder)
+    if len(child_names(spark, folder)) > 1:
+        # Only lines whose call failed can have a newer attempt.
+        failed = rows.where(F.col("error_code").isin(RETRIED)).select("row_key").distinct()
+        newest = (
+            rows.join(failed, "row_key", "left_semi")
+            .groupBy("row_key")
+            .agg(F.max("attempt").alias("_newest"))
+        )
+        rows = rows.join(newest, "row_key", "left")
+        rows = rows.where(F.coalesce(F.col("attempt") == F.col("_newest"), F.lit(True))).drop("_newest")
     return rows.withColumn("pipeline_run_id", F.lit(run_id))
 
 
@@ -181,8 +236,12 @@ def failures(staged: DataFrame) -> DataFrame:
 
 
 def dead_letter_failures(staged: DataFrame, root: str, run_id: str) -> dict[str, str]:
-    """Write the failed rows of a run to the dead letter, one folder per stage that has any."""
+    """Make the dead letters of a run its failed rows, one folder per stage that has any.
+
+    Letters of an earlier attempt at the same run are replaced, so running again adds none.
+    """
     failed = failures(staged)
+    counts = {r["failure_stage"]: r["count"] for r in failed.groupBy("failure_stage").count().collect()}
     return {
         name: write_dead_letters(
             failed.where(F.col("failure_stage") == name),
@@ -191,6 +250,7 @@ def dead_letter_failures(staged: DataFrame, root: str, run_id: str) -> dict[str,
             stage=name,
             run_id=run_id,
             error=F.col("error_message"),
+            rows=counts.get(name, 0),
         )
         for name in [*FAILURE_STAGES.values(), "classification"]
     }

@@ -36,7 +36,6 @@ REQUEST_VERSION = "bedrock-2023-05-31"
 MAX_REPLY_TOKENS = 512
 TEMPERATURE = 0.0
 CHUNK_ROWS = 25
-STREAM_BATCH_ROWS = 500
 
 # USD per 1,000 tokens: model -> (input, output)
 DEFAULT_PRICES = {DEFAULT_MODEL: (Decimal("0.003"), Decimal("0.015"))}
@@ -59,7 +58,7 @@ BETWEEN = "expect_column_values_to_be_between"
 LENGTH_BETWEEN = "expect_column_value_lengths_to_be_between"
 UNEXPECTED_SAMPLE = 20
 
-# Synthetic records: value -> cumulative share, and value pools.
+# Synthetic records: value -> share, and value pools.
 AGENCY_SHARES = {"USCIS": 0.60, "CBP": 0.15, "ICE": 0.10, "TSA": 0.10, "FEMA": 0.05}
 TIER_SHARES = {"standard": 0.70, "expedite": 0.20, "emergency": 0.10}
 FLAG_COUNT_SHARES = {"0": 0.80, "1": 0.15, "2": 0.05}

@@ -47,6 +47,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
+def matches(spark: SparkSession, pattern: str) -> list[tuple[str, bool]]:
+    """(path, is a folder) of all that a glob pattern matches, hidden names included."""
+    filesystem, hadoop_path = _filesystem(spark, pattern)
+    found = filesystem.globStatus(hadoop_path) or []
+    return [(status.getPath().toString(), status.isDirectory()) for status in found]
+
+
+def hidden_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files below ``pattern`` that scans skip: their name, or a folder's, starts with _ or a dot.
+
+    The filesystem does the matching, level by level; only hidden names come back. Markers and
+    folders of unfinished writes are left out.
+    """
+    filesystem, hadoop_path = _filesystem(spark, pattern)
+    path_type = spark._jvm.org.apache.hadoop.fs.Path
+    found, level = set(), pattern
+    hidden = [m for m in matches(spark, pattern) if m[0].rsplit("/", 1)[-1].startswith(("_", "."))]
+    while True:
+        for path, folder in hidden:
+            name = path.rsplit("/", 1)[-1]
+            if name in ("_temporary", "_SUCCESS", "_spark_metadata"):
+                continue
+            if not folder:
+                found.add(path)
+                continue
+            files = filesystem.listFiles(path_type(path), True)
+            while files.hasNext():
+                found.add(files.next().getPath().toString())
+        below = filesystem.globStatus(path_type(f"{level}/*"))
+        if below is None or len(below) == 0:
+            return sorted(found)
+        hidden = matches(spark, f"{level}/[_.]*")
+        level = f"{level}/*"
+
+
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy one file between any filesystems."""
+    source_fs, source_path = _filesystem(spark, source)
+    target_fs, target_path = _filesystem(spark, target)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        source_fs, source_path, target_fs, target_path, False, spark._jsc.hadoopConfiguration()
+    )
+
+
 def child_names(spark: SparkSession, path: str) -> set[str]:
     """Names of the visible files and folders directly in ``path``; none when it does not exist."""
     filesystem, hadoop_path = _filesystem(spark, path)

@@ -4,19 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgate.functions.text import fingerprint
-from docgate.operators.cost import source_counts, with_row_cost
+from docgate.operators.cost import UNKNOWN_SOURCE, source_counts, with_row_cost
 from docgate.operators.ordering import first_per_key, last_per_key
 from docgate.schemas import AUDIT_NULLABLE, AUDIT_SCHEMA, RECORD_FIELDS, field_types
-from docgate.session import child_names
-from docgate.sinks.tables import insert_absent, run_dir
-
-#: Up to this many source keys are joined into one label; beyond it each row names its own key
-#: and the ``run_sources`` table lists them all.
-LABEL_KEYS = 1_000
+from docgate.sinks.tables import insert_absent
 
 
 def input_fingerprint() -> Column:
@@ -34,7 +29,7 @@ def attach_inputs(results: DataFrame, inputs: DataFrame, order: Sequence[str]) -
         "record_id", *order, "submitted_at", input_fingerprint().alias("input_record_hash")
     )
     latest = last_per_key(wanted, ["record_id"], order).drop(*order)
-    message = F.concat(F.lit("No submitted_at found for record "), F.col("record_id"))
+    message = F.concat(F.lit("no input with a submission time for record "), F.col("record_id"))
     joined = results.drop("submitted_at", "input_record_hash").join(latest, "record_id", "left")
     return joined.withColumn(
         "submitted_at",
@@ -56,12 +51,6 @@ def with_fallback_fingerprint(results: DataFrame) -> DataFrame:
     return results.withColumn("input_record_hash", F.coalesce("input_record_hash", own))
 
 
-def source_label(records: DataFrame, limit: int = LABEL_KEYS) -> str | None:
-    """The distinct source keys joined by ``", "``, or None when there are more than ``limit``."""
-    keys = [row["source_key"] for row in source_counts(records).limit(limit + 1).collect()]
-    return ", ".join(sorted(keys)) if len(keys) <= limit else None
-
-
 def audit_rows(
     results: DataFrame,
     *,
@@ -74,7 +63,7 @@ def audit_rows(
 ) -> DataFrame:
     """Audit columns for results that carry ``submitted_at`` and ``input_record_hash``.
 
-    With ``source_key`` None each row keeps the key it came from, if it has one.
+    Without ``source_key`` each row keeps the key it came from; ``run_sources`` lists those of a run.
     """
     stamped = with_row_cost(with_fallback_fingerprint(results), prices).withColumns(
         {
@@ -86,9 +75,9 @@ def audit_rows(
     )
     if source_bucket is not None or "source_bucket" not in results.columns:
         stamped = stamped.withColumn("source_bucket", F.lit(source_bucket))
-    if source_key is not None or "source_key" not in results.columns:
-        stamped = stamped.withColumn("source_key", F.lit(source_key))
-    return stamped
+    own = F.col("source_key") if "source_key" in results.columns else F.lit(None).cast("string")
+    given = own if source_key is None else F.lit(source_key)
+    return stamped.withColumn("source_key", F.coalesce(given, F.lit(UNKNOWN_SOURCE)))
 
 
 def _asserted(rows: DataFrame) -> DataFrame:
@@ -108,42 +97,26 @@ def _asserted(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(n) for n in rows.columns if n not in known], *columns)
 
 
-def write_audit(rows: DataFrame, path: str, run_id: str, order: Sequence[str]) -> int:
-    """Insert audit rows; pairs (run, record) already there stay as they are.
+def audit_id(run_id: str) -> Column:
+    """A number for each (run, record): the same whenever and by whomever the row is written.
 
-    The rows go in with one commit. ``audit_id`` is unique and grows from write to write; like any
-    sequence it may leave gaps. The last id of every run is kept next to the table in
-    ``<path>_last_ids``, so finding the next one never scans the table.
+    It needs no look at other runs, so any number of writers may write at the same time. 63 bits of
+    hash: in a table of a billion rows two share a number with a chance of about one in twenty; the
+    key of the table is the pair itself.
     """
-    spark = rows.sparkSession
-    next_id = F.monotonically_increasing_id() + F.lit(_last_id(spark, path) + 1)
-    inserted = insert_absent(
-        _asserted(rows),
-        path,
-        run_id,
-        order,
-        AUDIT_SCHEMA,
-        # Numbered by the writing tasks, whose output counts as a whole or not at all.
-        last_step=lambda new: new.withColumn("audit_id", next_id),
-    )
-    ids = spark.read.schema("audit_id BIGINT").parquet(run_dir(path, run_id))
-    last = ids.agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("last_id"))
-    last.write.mode("overwrite").parquet(run_dir(f"{path}_last_ids", run_id))
-    return inserted
-
-
-def _last_id(spark: SparkSession, path: str) -> int:
-    noted, written = child_names(spark, f"{path}_last_ids"), child_names(spark, path)
-    found = [0]
-    if noted:
-        table = spark.read.schema("last_id BIGINT").parquet(f"{path}_last_ids")
-        found.append(table.agg(F.max("last_id")).head()[0])
-    # A write that stopped between the rows and its note left a run without one.
-    unnoted = [f"{path}/{name}" for name in sorted(written - noted)]
-    if unnoted:
-        ids = spark.read.schema("audit_id BIGINT").parquet(*unnoted)
-        found.append(ids.agg(F.coalesce(F.max("audit_id"), F.lit(0))).head()[0])
-    return max(found)
+    hashed = F.xxhash64(F.lit(run_id), F.col("record_id"))
+    return hashed.bitwiseAND(F.lit(2**63 - 1))
+
+
+def write_audit(
+    rows: DataFrame, path: str, run_id: str, order: Sequence[str], reduced: bool = False
+) -> int:
+    """Insert audit rows with one commit; pairs (run, record) already there stay as they are.
+
+    ``reduced`` rows have one row per record id already.
+    """
+    numbered = _asserted(rows).withColumn("audit_id", audit_id(run_id))
+    return insert_absent(numbered, path, run_id, order, AUDIT_SCHEMA, reduced=reduced)
 
 
 def run_sources(records: DataFrame, run_id: str) -> DataFrame:

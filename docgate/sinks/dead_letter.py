@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import logging
 from datetime import UTC, datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgate.operators.contract import parse_contract
 from docgate.schemas import RECORD_FIELDS
+from docgate.session import matches
 from docgate.sources.ndjson import parse_lines, read_ndjson
 
 logger = logging.getLogger(__name__)
 
 PREFIX = "dead-letter"
+LETTER_SCHEMA = (
+    "record STRING, failure_stage STRING, pipeline_run_id STRING, error_message STRING, "
+    "failed_at STRING"
+)
 RECORD_JSON = {
     "ignoreNullFields": "false",
     "timeZone": "UTC",
@@ -32,10 +38,34 @@ def raw_line_json(value: Column) -> Column:
     return F.to_json(F.struct(value.alias("_raw_line")))
 
 
+def with_source(failed: DataFrame, record: Column) -> Column:
+    """``record`` (JSON text) with the bucket, key and line number it came from, where known.
+
+    They are the ``_source_`` fields that the contract drops again on replay.
+    """
+    fields = {
+        "_source_bucket": "source_bucket",
+        "_source_key": "source_key",
+        "_source_line_number": "source_line",
+    }
+    known = [F.col(c).alias(name) for name, c in fields.items() if c in failed.columns]
+    if not known:
+        return record
+    source = F.to_json(F.struct(*known))
+    inside = F.ltrim(F.substring(F.ltrim(record, F.lit(" \t\r\n")), 2, 2**31 - 1), F.lit(" \t\r\n"))
+    joined = F.concat(
+        F.substring(source, 1, F.length(source) - 1),
+        F.when(inside.startswith("}"), F.lit("")).otherwise(F.lit(",")),
+        inside,
+    )
+    is_object = F.ltrim(record, F.lit(" \t\r\n")).startswith("{")
+    return F.when(is_object & (source != "{}"), joined).otherwise(record)
+
+
 def envelopes(
     failed: DataFrame, record: Column, *, stage: str, run_id: str, error: Column, failed_at: datetime
 ) -> DataFrame:
-    """One JSON line (``value``) per failed row; ``record`` is JSON text and is embedded as it is."""
+    """One JSON line (``value``) per failed row; ``record`` is JSON text, embedded with its source."""
     rest = F.to_json(
         F.struct(
             F.lit(stage).alias("failure_stage"),
@@ -45,7 +75,7 @@ def envelopes(
         )
     )
     closing = F.substring(rest, 2, 2**31 - 1)
-    return failed.select(F.concat(F.lit('{"record":'), record, F.lit(","), closing).alias("value"))
+    return failed.select(F.concat(F.lit('{"record":'), with_source(failed, record), F.lit(","), closing).alias("value"))
 
 
 def write_dead_letters(
@@ -58,21 +88,35 @@ def write_dead_letters(
     error: Column | str,
     prefix: str = PREFIX,
     now: datetime | None = None,
+    rows: int | None = None,
 ) -> str:
     """Write failed rows below ``root/prefix/stage/YYYY/MM/DD/``; give the folder, or ``""``.
 
-    Nothing is written for no rows. A failing write is logged and never stops the job.
+    A stage of a run has one folder, named by its first write; writing again replaces what is in it. Nothing is
+    written for no rows (``rows``, where the caller has counted them). A failing write is logged and
+    never stops the job.
     """
     now = now or datetime.now(tz=UTC)
-    path = f"{root}/{prefix}/{stage}/{now:%Y/%m/%d}/{run_id}_{now:%Y%m%dT%H%M%S}"
     error = F.lit(error) if isinstance(error, str) else error
+    path = ""
     try:
-        if failed.isEmpty():
+        spark = failed.sparkSession
+        day = f"{root}/{prefix}/{stage}/{now:%Y/%m/%d}"
+        name = quote(run_id, safe="")
+        earlier = [p for p, _ in matches(spark, f"{root}/{prefix}/{stage}/*/*/*/{name}_*")]
+        earlier = [p for p in earlier if p.rsplit("/", 1)[-1].rpartition("_")[0] == name]
+        path = f"{day}/{name}_{now:%Y%m%dT%H%M%S}"
+        if earlier:
+            path = "/".join([f"{root}/{prefix}/{stage}", *earlier[0].rsplit("/", 4)[1:]])
+        none = failed.isEmpty() if rows is None else rows == 0
+        if none and not earlier:
             return ""
         lines = envelopes(
             failed, record, stage=stage, run_id=run_id, error=error, failed_at=now
         )
-        lines.write.mode("append").text(path)
+        lines.write.mode("overwrite").text(path)
+        if none:
+            return ""
     except Exception:
         logger.exception("dead letters of stage %s, run %s could not be written", stage, run_id)
         return ""
@@ -84,8 +128,7 @@ def read_dead_letters(
 ) -> DataFrame:
     """(record, failure_stage, pipeline_run_id, error_message, failed_at); ``record`` is JSON text."""
     lines = read_ndjson(spark, root, f"{prefix}/{stage}")
-    names = ["record", "failure_stage", "pipeline_run_id", "error_message", "failed_at"]
-    return lines.select(*[F.get_json_object("value", f"$.{name}").alias(name) for name in names])
+    return lines.select(F.from_json("value", LETTER_SCHEMA).alias("letter")).select("letter.*")
 
 
 def replay(letters: DataFrame) -> DataFrame:

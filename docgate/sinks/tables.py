@@ -1,13 +1,13 @@
 """Insert-only tables keyed by (pipeline_run_id, record_id).
 
 Parquet tables have one folder per ``pipeline_run_id``, so a write lists and reads only its own run,
-however many runs the table holds. One job at a time may write a table. Catalog tables that support
-row-level changes use MERGE instead.
+however many runs the table holds. One job at a time may write a run. Catalog tables that support
+row-level changes can use the same rows in a MERGE.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,45 +49,44 @@ def insert_absent(
     run_id: str,
     order: Sequence[str],
     schema: str = RESULT_SCHEMA,
-    last_step: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    reduced: bool = False,
 ) -> int:
     """Insert the rows whose record id the run does not have yet; give the number inserted.
 
     The first of several rows of one record id in ``order`` wins, and rows already there are never
     touched, so writing the same batch again changes nothing. The first write of a run has nothing
     to compare with and skips the anti join; retries read one column of one partition.
-    ``last_step`` sees exactly the new rows, in the tasks that write them.
+    ``reduced`` rows have one row per record id already and are not shuffled.
     """
     spark = rows.sparkSession
     target = run_dir(path, run_id)
-    new = first_per_key(rows, ["record_id"], order)
+    new = rows if reduced else first_per_key(rows, ["record_id"], order)
     before = 0
     if path_exists(spark, target):
         there = spark.read.schema("record_id STRING").parquet(target)
         before = there.count()
         new = new.join(there, "record_id", "left_anti")
-    align(last_step(new), schema).drop(PARTITION).write.mode("append").parquet(target)
+    align(new, schema).drop(PARTITION).write.mode("append").parquet(target)
     # Both counts come from file footers.
     return spark.read.schema("record_id STRING").parquet(target).count() - before
 
 
-def merge_absent(rows: DataFrame, table: str, run_id: str, order: Sequence[str]) -> None:
-    """The same insert as one MERGE, for catalog tables that support it."""
-    new = first_per_key(rows.withColumn(PARTITION, F.lit(run_id)), [PARTITION, "record_id"], order)
-    source = align(new, RESULT_SCHEMA).alias("source")
-    matched = (F.col(f"{table}.record_id") == F.col("source.record_id")) & (
-        F.col(f"{table}.{PARTITION}") == F.col(f"source.{PARTITION}")
-    )
-    source.mergeInto(table, matched).whenNotMatched().insertAll().merge()
-
-
-def write_bronze(results: DataFrame, root: str, run_id: str, order: Sequence[str]) -> int:
+def write_bronze(
+    results: DataFrame, root: str, run_id: str, order: Sequence[str], reduced: bool = False
+) -> int:
     """Every result."""
-    return insert_absent(results, f"{root}/bronze", run_id, order)
+    return insert_absent(results, f"{root}/bronze", run_id, order, reduced=reduced)
 
 
 def write_gold(
-    results: DataFrame, root: str, run_id: str, order: Sequence[str], gate_passed: bool
+    results: DataFrame,
+    root: str,
+    run_id: str,
+    order: Sequence[str],
+    gate_passed: bool,
+    reduced: bool = False,
 ) -> int:
     """The results of a run whose gate passed."""
-    return insert_absent(results, f"{root}/gold", run_id, order) if gate_passed else 0
+    if not gate_passed:
+        return 0
+    return insert_absent(results, f"{root}/gold", run_id, order, reduced=reduced)

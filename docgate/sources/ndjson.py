@@ -4,13 +4,20 @@ from __future__ import annotations
 
 import re
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docgate.functions.once import with_once
 from docgate.schemas import RECORD_FIELDS
-from docgate.session import ensure_checkpoint_dir, path_exists
+from docgate.session import (
+    copy_file,
+    ensure_checkpoint_dir,
+    hidden_files,
+    matches,
+    scratch_path,
+)
 
 #: Columns every scan carries. ``source_block`` and ``source_seq`` give the order inside a file.
 LINE_SCHEMA = (
@@ -19,9 +26,6 @@ LINE_SCHEMA = (
 #: Order of the source: files by name, then position inside the file.
 SOURCE_ORDER = ["source_key", "source_block", "source_seq"]
 
-# Splits of one scan fit a broadcast up to this many; beyond it the join shuffles.
-_BROADCAST_SPLITS = 200_000
-
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?"
 _RAW_FIELDS = ", ".join(f"{name} VARIANT" for name in RECORD_FIELDS)
 _RAW_SCHEMA = f"{_RAW_FIELDS}, _corrupt STRING"
@@ -34,33 +38,60 @@ _END_KEY = "#end"
 
 
 def read_ndjson(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """Every non-empty line of every file below ``root/prefix``, with provenance.
+    """Every non-empty line of every file whose key starts with ``prefix``, with provenance.
 
     ``root`` plays the bucket: ``source_bucket`` is its last path part and ``source_key`` the path
-    of the file below it. A line of blanks is kept; it is malformed, not empty.
+    of the file below it. A prefix is a string, not a folder: ``logs/2024-0`` takes in
+    ``logs/2024-01/a``, and only a final slash ends a folder's name. Files whose names Spark's readers skip
+    (``_`` or a dot in front) are copied to the shared folder under other names first, and keep
+    their own keys. A line of blanks is kept; it is malformed, not empty.
     """
     root = root.rstrip("/")
-    path = f"{root}/{prefix.strip('/')}".rstrip("/")
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], LINE_SCHEMA)
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return _with_provenance(lines, root)
+    wanted = re.sub(r"([\\\[\]{}*?])", r"\\\1", prefix.lstrip("/"))
+    pattern = root if not wanted else f"{root}/{wanted.rstrip('/')}" + ("" if wanted.endswith("/") else "*")
+    found = matches(spark, pattern)
+    scans = []
+    if any(not path.rsplit("/", 1)[-1].startswith(("_", ".")) for path, _ in found) or pattern == root:
+        if found:
+            lines = spark.read.option("recursiveFileLookup", "true").text(pattern)
+            scans.append(_with_provenance(lines, root))
+    skipped = hidden_files(spark, pattern) if found else []
+    if skipped:
+        scans.append(_skipped_lines(spark, root, skipped))
+    return reduce(DataFrame.unionByName, scans) if scans else spark.createDataFrame([], LINE_SCHEMA)
+
+
+def _skipped_lines(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """Lines of files that the readers skip, by way of copies that they do not."""
+    folder = scratch_path(spark, "skipped")
+    keys = []
+    for number, path in enumerate(paths):
+        copy_file(spark, path, f"{folder}/{number}.txt")
+        plain_root = re.sub(_SCHEME, "", root)
+        keys.append((f"{number}.txt", re.sub(_SCHEME, "", path)[len(plain_root) + 1 :]))
+    names = spark.createDataFrame(keys, "name STRING, own_key STRING")
+    lines = spark.read.text(folder)
+    named = _with_provenance(lines, root, F.col("_metadata.file_name").alias("name"))
+    return named.join(names, "name").withColumn("source_key", F.col("own_key")).drop("name", "own_key")
 
 
 def read_ndjson_day(spark: SparkSession, root: str, prefix: str, day: date) -> DataFrame:
     """The lines below ``root/prefix/YYYY/MM/DD`` only; a day without folder gives no rows."""
-    return read_ndjson(spark, root, f"{prefix.strip('/')}/{day:%Y/%m/%d}")
+    return read_ndjson(spark, root, f"{prefix.strip('/')}/{day:%Y/%m/%d}/")
 
 
-def _with_provenance(lines: DataFrame, root: str) -> DataFrame:
+def _with_provenance(lines: DataFrame, root: str, *more: Column) -> DataFrame:
     plain_root = re.sub(_SCHEME, "", root)
-    plain_path = F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "")
+    # The path comes percent-encoded, with plus signs as they are.
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    plain_path = F.regexp_replace(decoded, _SCHEME, "")
     return lines.where(F.col("value") != "").select(
         "value",
         F.lit(plain_root.rsplit("/", 1)[-1]).alias("source_bucket"),
         F.substring(plain_path, len(plain_root) + 2, 2**31 - 1).alias("source_key"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_seq"),
+        *more,
     )
 
 
@@ -69,8 +100,7 @@ def with_line_ordinal(lines: DataFrame) -> DataFrame:
 
     A file is never gathered in one task. Each split contributes one row (first position, row
     count); a running sum over those few rows gives every split its offset, and the lines get
-    their ordinal by adding it. The lines themselves shuffle only when there are too many splits
-    to broadcast.
+    their ordinal by adding it.
     """
     ensure_checkpoint_dir(lines.sparkSession)
     split = ["source_key", "source_block"]
@@ -88,8 +118,6 @@ def with_line_ordinal(lines: DataFrame) -> DataFrame:
             "shift"
         ),
     )
-    if splits.count() <= _BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     return (
         lines.join(offsets, split)
         .withColumn("line_ordinal", F.col("source_seq") + F.col("shift"))
@@ -128,7 +156,7 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 def well_formed(parsed: DataFrame, strict: bool = False) -> DataFrame:
     """The parsable lines. ``strict`` fails the read on the first malformed line instead."""
     if strict:
-        message = F.concat(F.lit("Malformed JSON line in "), F.col("source_key"))
+        message = F.concat(F.lit("not a JSON object: line in "), F.col("source_key"))
         return parsed.where(
             F.when(F.col("malformed"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
         )

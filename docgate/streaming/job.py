@@ -1,4 +1,4 @@
-"""The stream job: every micro-batch is gated, scored, audited and dead-lettered."""
+"""The stream job: every micro-batch is scored, audited and dead-lettered, and gated if asked."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docgate.operators.gate import Expectation, document_expectations, gate_view
-from docgate.plans.batch import audit_staged, run_gate
+from docgate.operators.gate import Expectation, gate_view
+from docgate.plans.batch import audit_reduced, reduce_run, run_gate
 from docgate.plans.staging import Scoring, dead_letter_failures, stage
 from docgate.sources.ndjson import parse_lines, well_formed
 from docgate.sources.payloads import decode_payloads
@@ -31,8 +31,8 @@ def screen_batch(
 ) -> Callable[[DataFrame, int], None]:
     """The function to give to ``foreachBatch``.
 
-    The gate does not stop a stream; its true verdict goes into the audit rows. An empty batch does
-    nothing.
+    A stream has no gate unless ``expectations`` are given: audit rows then carry its verdict, which
+    does not stop the stream; without, they say passed. An empty batch does nothing.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -40,11 +40,10 @@ def screen_batch(
             return
         run_id = stream_run_id(batch, batch_id)
         parsed = parse_batch(batch, stream_name)
-        gate = run_gate(gate_view(well_formed(parsed)), expectations or document_expectations())
+        passed = not expectations or run_gate(gate_view(well_formed(parsed)), expectations).passed
         staged = stage(parsed, f"{out}/staging", run_id, scoring)
-        audit_staged(
-            staged, out, run_id, scoring, gate.passed, prompt_hash, source_bucket=stream_name
-        )
+        reduced = reduce_run(staged, f"{out}/reduced", run_id)
+        audit_reduced(reduced, out, run_id, scoring, passed, prompt_hash, source_bucket=stream_name)
         dead_letter_failures(staged, out, run_id)
 
     return process

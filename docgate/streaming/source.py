@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.schemas import STREAM_BATCH_ROWS
-
 
 def read_line_stream(
     spark: SparkSession, root: str, max_files_per_batch: int | None = None
@@ -35,16 +33,12 @@ def read_payload_stream(
     source_format: str,
     options: dict[str, str],
     data: str = "value",
-    max_records_per_batch: int = STREAM_BATCH_ROWS,
 ) -> DataFrame:
     """Payloads of a message connector (its jar must be on the classpath), earliest first.
 
-    The connector keeps the offsets of every shard in the query's checkpoint. ``options`` win over
-    the two defaults set here.
+    The connector keeps the offsets of every shard in the query's checkpoint. A trigger takes all
+    that has arrived, unless ``options`` bound it; they also win over the default set here.
     """
-    defaults = {
-        "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_records_per_batch),
-    }
+    defaults = {"startingOffsets": "earliest"}
     stream = spark.readStream.format(source_format).options(**{**defaults, **options}).load()
     return stream.withColumnRenamed(data, "data")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from docgate.operators.contract import parse_contract
 from docgate.operators.replies import classify, parse_envelopes, parse_replies
 from docgate.operators.requests import with_requests
-from docgate.operators.scoring import rule_scorer, score, score_from_table
+from checks.clients import rule_scorer
+from docgate.operators.scoring import Pace, score, score_from_table
 from docgate.sources.ndjson import parse_lines
 from tests.helpers import lines, record
 
@@ -181,7 +182,7 @@ REPLIES = [
     (changed(compliance_score=-0.1), "score_range", None),
     (changed(compliance_score="nan"), "score_range", None),
     (changed(compliance_score="inf"), "score_range", None),
-    (changed(reasoning=None), "bad_reasoning", None),
+    (changed(reasoning=None), None, 0.5),
 ]
 
 
@@ -243,3 +244,33 @@ def test_long_number_text_is_judged(spark, text, error):
     body = envelope("a", {"input_tokens": text})
     parsed = parse_envelopes(spark.createDataFrame([(body,)], "response STRING")).head()
     assert parsed["envelope_error"] == (None if text.strip("0_") == "" else "usage")
+
+
+def test_one_raising_record_fails_alone(spark):
+    given = [record(pages=i + 1) for i in range(10)]
+
+    def make():
+        answer = rule_scorer()()
+
+        def client(bodies):
+            if any("pages: 4\\n" in body for body in bodies):
+                raise RuntimeError("down")
+            return answer(bodies)
+
+        return client
+
+    rows = classify(score(requests_of(spark, *given), make), "m").collect()
+    assert [r["error_code"] for r in rows].count(None) == 9
+    assert [r["pages"] for r in rows if r["error_code"] == "invoke"] == [4]
+
+
+def test_pace_keeps_to_both_limits(monkeypatch):
+    clock = [0.0]
+    monkeypatch.setattr("time.monotonic", lambda: clock[0])
+    monkeypatch.setattr("time.sleep", lambda seconds: clock.__setitem__(0, clock[0] + seconds))
+    pace = Pace(60, 600)
+    times = []
+    for requests, tokens in [(25, 0), (25, 0), (25, 0), (1, 600), (1, 1_200)]:
+        pace.wait(requests, tokens)
+        times.append(round(clock[0], 6))
+    assert times == [0, 0, 15, 16, 135]

@@ -103,7 +103,7 @@ def test_reference_for_messages(spark):
 
 def test_strict_names_the_record(spark):
     frame = parse_contract(parse_lines(lines(spark, [record(agency=..., record_id="r-1")])))
-    with pytest.raises(PySparkException, match="Failed to normalize record r-1"):
+    with pytest.raises(PySparkException, match="contract broken by record r-1"):
         split_contract(frame, strict=True)[0].collect()
 
 

@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 from docgate.operators.admission import (
     budget_usage,
     caller_budget,
-    dual_bucket_schedule,
     feasible,
     infeasible,
-    single_bucket_schedule,
 )
 from docgate.operators.cost import (
     cost_summary,
@@ -24,7 +22,7 @@ from docgate.operators.cost import (
     unknown_models,
     with_row_cost,
 )
-from docgate.operators.ordering import first_per_key, last_per_key, running_total
+from docgate.operators.ordering import first_per_key, last_per_key
 from docgate.schemas import DEFAULT_MODEL
 
 
@@ -92,66 +90,11 @@ def test_source_counts(spark):
     assert {r["source_key"]: r["records"] for r in source_counts(rows).collect()} == {"a": 2, "unknown": 1}
 
 
-def simulate(amounts, rpm, tpm):
-    """Two buckets on a clock that only moves by waiting."""
-    from fractions import Fraction
-
-    now, slots, tokens = Fraction(0), Fraction(rpm), Fraction(tpm)
-    times = []
-    for amount in amounts:
-        wait = max(
-            Fraction(0),
-            (1 - slots) * Fraction(60, rpm),
-            (amount - tokens) * Fraction(60, tpm),
-        )
-        now += wait
-        slots = min(Fraction(rpm), slots + wait * Fraction(rpm, 60)) - 1
-        tokens = min(Fraction(tpm), tokens + wait * Fraction(tpm, 60)) - amount
-        times.append(float(now))
-    return times
-
-
 def requests_of(spark, runs):
     rows = [(run, i, amount) for run, amounts in runs.items() for i, amount in enumerate(amounts)]
     return spark.createDataFrame(rows, "run STRING, seq BIGINT, tokens BIGINT")
 
 
-def schedule(spark, runs, rpm, tpm, block_rows):
-    rows = dual_bucket_schedule(
-        requests_of(spark, runs), ["run"], "seq", "tokens", rpm, tpm, block_rows
-    ).collect()
-    return {
-        run: [r["admit_at_s"] for r in sorted(rows, key=lambda r: r["seq"]) if r["run"] == run]
-        for run in runs
-    }
-
-
-def test_known_schedules(spark):
-    assert schedule(spark, {"a": [0, 0]}, 2, 10, 5) == {"a": [0.0, 0.0]}
-    assert schedule(spark, {"a": [60, 1]}, 60, 60, 5) == {"a": [0.0, 1.0]}
-
-
-@settings(max_examples=8, deadline=None)
-@given(
-    st.lists(st.integers(0, 30), min_size=1, max_size=40),
-    st.integers(1, 7),
-    st.integers(30, 50),
-    st.integers(1, 9),
-)
-def test_blocks_do_not_change_the_schedule(spark, amounts, rpm, tpm, block_rows):
-    runs = {"a": amounts, "b": amounts[::-1]}
-    got = schedule(spark, runs, rpm, tpm, block_rows)
-    for run, values in runs.items():
-        assert got[run] == pytest.approx(simulate(values, rpm, tpm), abs=1e-9)
-
-
-def test_single_bucket(spark):
-    amounts = [30, 30, 1, 59, 0, 60]
-    rows = single_bucket_schedule(requests_of(spark, {"a": amounts}), ["run"], "seq", "tokens", 60, 2)
-    got = [r["admit_at_s"] for r in rows.orderBy("seq").collect()]
-    assert got == pytest.approx(simulate(amounts, 10**9, 60))
-
-
 def test_infeasible(spark):
     rows = requests_of(spark, {"a": [101, -1, 100, 0]})
     assert infeasible(rows, 100).count() == 2
@@ -160,7 +103,7 @@ def test_infeasible(spark):
         with pytest.raises(ValueError, match="positive"):
             infeasible(rows, wrong)
         with pytest.raises(ValueError, match="positive"):
-            dual_bucket_schedule(rows, ["run"], "seq", "tokens", wrong, 10)
+            caller_budget(wrong, 10, 1)
 
 
 def test_budget(spark):
@@ -170,14 +113,6 @@ def test_budget(spark):
     assert (row["requests"], row["minutes"]) == (30, 2.0)
 
 
-def test_running_total_of_a_hot_group(spark):
-    rows = spark.range(3_000).selectExpr("if(id % 3 = 0, 1, id % 50) AS g", "id AS seq", "id AS x")
-    got = running_total(rows, ["g"], "seq", "x", "total", block_rows=64)
-    expected = rows.selectExpr("g", "seq", "sum(x) OVER (PARTITION BY g ORDER BY seq) AS total")
-    assert got.select("g", "seq", "total").exceptAll(expected).count() == 0
-    assert got.count() == 3_000
-
-
 def test_first_and_last_of_a_hot_key_are_limited_before_the_shuffle(spark):
     rows = spark.range(1_000).selectExpr("if(id % 3 = 0, 'hot', cast(id AS string)) AS k", "id")
     first = {r["k"]: r["id"] for r in first_per_key(rows, ["k"], ["id"]).collect()}

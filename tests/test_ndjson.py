@@ -94,7 +94,7 @@ def test_bytes_that_are_no_text_are_malformed(spark, tmp_path):
 
 
 def test_strict_read_names_the_file(spark):
-    with pytest.raises(PySparkException, match="Malformed JSON line in a.ndjson"):
+    with pytest.raises(PySparkException, match="not a JSON object: line in a.ndjson"):
         well_formed(parse_lines(lines(spark, ["nope"])), strict=True).collect()
 
 
@@ -136,3 +136,22 @@ def test_prompts(spark, tmp_path):
     with pytest.raises(KeyError, match="v3"):
         load_prompt(table, "v3")
     assert len(load_prompt(builtin_prompts(spark))[1]) == 64
+
+
+def test_prefixes_are_texts_and_odd_names_count(spark, tmp_path):
+    for name in ("docs/2024-01/a", "docs/2024-01/_b", "docs/2024-02/.c", "docs/_d/e", "docs/2025/f", "docs2/g", "do[cs"):
+        write_lines((tmp_path / name).parent, (tmp_path / name).name, ["{}", "{}"])
+    root = str(tmp_path)
+
+    def keys(prefix):
+        return sorted({r["source_key"] for r in read_ndjson(spark, root, prefix).collect()})
+
+    assert keys("docs/2024-0") == ["docs/2024-01/_b", "docs/2024-01/a", "docs/2024-02/.c"]
+    assert keys("docs/") == ["docs/2024-01/_b", "docs/2024-01/a", "docs/2024-02/.c", "docs/2025/f", "docs/_d/e"]
+    assert keys("docs") == [*keys("docs/"), "docs2/g"]
+    assert keys("docs/_") == ["docs/_d/e"]
+    assert keys("docs/2024-01/a") == ["docs/2024-01/a"]
+    assert keys("do[") == ["do[cs"]
+    assert len(keys("")) == 7
+    assert keys("none") == []
+    assert with_line_ordinal(read_ndjson(spark, root, "docs/2024-0")).count() == 6

@@ -26,8 +26,14 @@ STORED = {
     "audit_retry",
     "dead_letter_write",
     "dead_letter_replay",
+    "dead_letter_rerun",
+    "audit_many_sources",
+    "audit_two_runs",
+    "score_retry",
+    "scoring_limits",
+    "stream_gated",
 }
-IN_PYTHON = {"score_deterministic", "score_chunked", "admission_schedule"}
+IN_PYTHON = {"score_deterministic", "score_chunked", "score_isolated"}
 
 
 def plan_of(frame) -> str:

@@ -121,18 +121,10 @@ def test_audit_retry_keeps_rows_and_ids(spark, tmp_path):
     assert all(again[key] == value for key, value in first.items())
 
 
-def test_next_id_counts_runs_without_a_note(spark, tmp_path):
-    path = f"{tmp_path}/audit"
-    spark.createDataFrame([(70,)], "audit_id BIGINT").write.parquet(f"{path}/pipeline_run_id=x")
-    audit.write_audit(audited(spark, [record()]), path, "run", ["pos"])
-    ids = spark.read.schema("audit_id BIGINT").parquet(f"{path}/pipeline_run_id=run")
-    assert ids.head()["audit_id"] > 70
-
-
 def test_result_without_input_is_an_error(spark):
     frame = inputs(spark, record())
     good = results(spark, ["lonely"])
-    with pytest.raises(PySparkException, match="No submitted_at found for record lonely"):
+    with pytest.raises(PySparkException, match="no input with a submission time for record lonely"):
         audit.attach_inputs(good, frame, ["source_seq"]).collect()
     assert audit.results_without_input(good, frame).count() == 1
 
@@ -172,8 +164,6 @@ def test_fingerprint_follows_the_normalized_record(spark):
 
 def test_source_labels(spark):
     rows = spark.createDataFrame([("b",), ("a",), ("a",)], "source_key STRING")
-    assert audit.source_label(rows) == "a, b"
-    assert audit.source_label(rows, limit=1) is None
     assert audit.run_sources(rows, "r").count() == 2
     kept = audit.audit_rows(
         results(spark, ["x"]).selectExpr("*", "'own' AS source_key", "'h' AS input_record_hash"),
@@ -191,7 +181,8 @@ def test_dead_letters_round_trip(spark, tmp_path):
     )
     assert path == f"{tmp_path}/dead-letter/classification/2024/02/01/run_20240201T030405"
     letter = read_dead_letters(spark, str(tmp_path)).head()
-    assert json.loads(letter["record"]) == bad
+    source = {"_source_bucket": "raw", "_source_key": "a.ndjson"}
+    assert json.loads(letter["record"]) == {**source, **bad}
     assert letter.asDict() == {
         "record": letter["record"],
         "failure_stage": "classification",
@@ -217,7 +208,7 @@ def test_lines_that_are_no_json_are_wrapped(spark, tmp_path):
         frame, str(tmp_path), raw_line_json(F.col("value")), stage="ingestion", run_id="r", error="e"
     )
     letter = read_dead_letters(spark, str(tmp_path)).head()
-    assert json.loads(letter["record"]) == {"_raw_line": '{"a":'}
+    assert json.loads(letter["record"])["_raw_line"] == '{"a":'
 
 
 def test_no_dead_letters_no_folder(spark, tmp_path):
@@ -231,3 +222,20 @@ def test_dead_letters_never_raise(spark, tmp_path):
     blocker.write_text("x")
     rows = lines(spark, ["{}"])
     assert write_dead_letters(rows, str(blocker), F.col("value"), stage="s", run_id="r", error="e") == ""
+
+
+def test_letters_of_a_run_are_replaced(spark, tmp_path):
+    frame = inputs(spark, record(), record())
+    made = [
+        write_dead_letters(
+            rows, str(tmp_path), F.col("value"), stage="s", run_id=run, error="e", now=now
+        )
+        for rows, run, now in (
+            (frame, "r 1", NOW), (frame.limit(1), "r 1", None), (frame, "r 1_2", NOW), (frame, "r", NOW),
+        )
+    ]
+    assert made[0] == made[1] and len(set(made)) == 3
+    assert read_dead_letters(spark, str(tmp_path)).count() == 5
+    none = frame.limit(0)
+    assert write_dead_letters(none, str(tmp_path), F.col("value"), stage="s", run_id="r", error="e") == ""
+    assert read_dead_letters(spark, str(tmp_path)).count() == 3
