@@ -69,22 +69,22 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     first, hops = hop, []
     limit = messages.count()
     while not hop.where("up is not null").isEmpty() and 2 ** len(hops) <= limit:
-        hops.append(hop.select("node", "up").where("up is not null"))
+        climbing = hop.where("up is not null")
+        hops.append(climbing.select("node", "up"))
         far = hop.select(
             F.col("node").alias("_node"),
             F.col("up").alias("_up"),
             F.col("score").alias("_score"),
             F.col("steps").alias("_steps"),
         )
-        hop = stage(
-            hop.join(far, F.col("up").eqNullSafe(F.col("_node")), "left").select(
-                "node",
-                F.col("_up").alias("up"),
-                (F.col("score") + F.coalesce(F.col("_score"), F.lit(0.0))).alias("score"),
-                (F.col("steps") + F.coalesce(F.col("_steps"), F.lit(0))).alias("steps"),
-            ),
-            "hops",
+        climbed = climbing.join(far, F.col("up") == F.col("_node")).select(
+            "node",
+            F.col("_up").alias("up"),
+            (F.col("score") + F.col("_score")).alias("score"),
+            (F.col("steps") + F.col("_steps")).alias("steps"),
         )
+        # Messages that have reached their root are done and are not joined again.
+        hop = hop.where("up is null").unionByName(stage(climbed, "hops"))
     rooted = hop.where("up is null")
     parents = first.where("up is not null").select(F.col("up").alias("_up")).distinct()
     leaves = rooted.join(parents, F.col("node").eqNullSafe(F.col("_up")), "left_anti")
