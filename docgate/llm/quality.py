@@ -133,7 +133,7 @@ def js_distance(p: Column, q: Column) -> Column:
 
     def share(counts: Column) -> Column:
         total = F.aggregate(counts, F.lit(0.0), lambda t, n: t + n)
-        return F.transform(counts, lambda n: n / total)
+        return F.transform(counts, lambda n: F.try_divide(n, total))
 
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)

@@ -121,6 +121,30 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _common_words() -> str:
+    """Rows (reference, k, word) of the listed words, as SQL."""
+    listed = sorted({w for some in quality.COMMON_WORDS.values() for w in some})
+    lists = {**quality.COMMON_WORDS, quality.POOLED: listed}
+    rows = [f"('{name}', {k}, '{w}')" for name, some in lists.items() for k, w in enumerate(some)]
+    return ", ".join(rows)
+
+
+def _distances(references: str) -> str:
+    """Both distances of every document to ``references``, as SQL."""
+    part = "CASE WHEN {0} > 0 THEN {0} * log2({0} / ((p + q) / 2)) ELSE 0 END / 2"
+    terms = f"{part.format('p')} + {part.format('q')}"
+    return f"""SELECT r, any_value(base_failed) AS base_failed, any_value(n_words) AS n_words,
+    coalesce(sqrt(greatest(0, sum({terms}) FILTER (kind = 'char'))), 0) AS char_distance,
+    coalesce(sqrt(greatest(0, sum({terms}) FILTER (kind = 'word'))), 0) AS word_distance
+  FROM shares LEFT JOIN {references} USING (reference, kind, k) GROUP BY r"""
+
+
+def _class_counts() -> str:
+    """One row (k, n) per character class, as SQL over ``text``."""
+    kept = [others.replace("'", "''") for others in quality.CLASSES.values()]
+    return ", ".join(f"length(regexp_replace(text, '{others}', '', 'g'))" for others in kept)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_repeats": op2_repeats,
@@ -135,6 +159,28 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_repeats": r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT r, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)
+), often AS (
+  SELECT h FROM windows GROUP BY h HAVING count(*) > 1
+), covered AS (
+  SELECT DISTINCT r, i + k AS p FROM windows JOIN often USING (h), range(35) AS t(k)
+), words AS (
+  SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w
+), kept AS (
+  SELECT words.r, count(covered.p) AS n_removed,
+    string_agg(word, ' ' ORDER BY words.p) FILTER (covered.p IS NULL) AS text
+  FROM words LEFT JOIN covered ON words.r = covered.r AND words.p = covered.p GROUP BY words.r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)
+""",
     "op3_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -185,5 +231,60 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(CASE WHEN role = 'assistant' THEN 7 + n ELSE 16 + length(role) + n END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
+""",
+    "op10_quality": rf"""
+WITH listed(reference, k, word) AS (VALUES {_common_words()}), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    CASE WHEN lang IN ('de', 'en', 'es', 'fr') THEN lang ELSE 'other' END AS reference
+  FROM documents
+), words AS (
+  SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM d
+), grams AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM (
+    SELECT r, i, word AS a, lead(word) OVER o AS b, lead(word, 2) OVER o AS c
+    FROM words WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE c IS NOT NULL
+), repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM grams, range(3) AS t(k) WHERE n > 1 GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+), base AS (
+  SELECT d.r, doc_id, reference, len(ws) AS n_words,
+    length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+    len(ws) < 50 OR 100 * coalesce(repeats.n, 0) > 50 * len(ws) AS base_failed
+  FROM d LEFT JOIN repeats USING (r) LEFT JOIN lines USING (r)
+), found AS (
+  SELECT r, word, count(*) AS n FROM words GROUP BY r, word
+), common AS (
+  SELECT d.r, k, coalesce(n, 0) AS n FROM d JOIN listed USING (reference)
+  LEFT JOIN found ON found.r = d.r AND found.word = listed.word
+), counts AS (
+  SELECT r, 'char' AS kind, unnest(range({len(quality.CLASSES)})) AS k, unnest([{_class_counts()}]) AS n FROM d
+  UNION ALL SELECT r, 'word', k, n FROM common
+  UNION ALL SELECT d.r, 'word', -1, any_value(len(ws)) - coalesce(sum(n), 0) FROM d LEFT JOIN common USING (r) GROUP BY d.r
+), shares AS (
+  SELECT counts.r, reference, kind, k, n, base_failed, n_words,
+    n / nullif(sum(n) OVER (PARTITION BY counts.r, kind), 0)::DOUBLE AS p
+  FROM counts JOIN base USING (r)
+), first AS (
+  SELECT reference, kind, k, n / sum(n) OVER (PARTITION BY reference, kind)::DOUBLE AS q FROM (
+    SELECT reference, kind, k, sum(n) AS n FROM shares WHERE NOT base_failed GROUP BY ALL)
+), near AS (
+  SELECT r FROM ({_distances("first")})
+  WHERE NOT base_failed AND char_distance <= {quality.MAX_CHAR_DISTANCE}
+    AND (word_distance <= {quality.MAX_WORD_DISTANCE} OR n_words < {quality.GUARD_WORDS})
+), second AS (
+  SELECT reference, kind, k, n / sum(n) OVER (PARTITION BY reference, kind)::DOUBLE AS q FROM (
+    SELECT reference, kind, k, sum(n) AS n FROM shares JOIN near USING (r) GROUP BY ALL)
+), judged AS ({_distances("second")})
+SELECT doc_id, base.n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base.base_failed,
+  NOT base.base_failed AND char_distance <= {quality.MAX_CHAR_DISTANCE}
+    AND (word_distance <= {quality.MAX_WORD_DISTANCE} OR base.n_words < {quality.GUARD_WORDS}) AS kept,
+  round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance
+FROM base JOIN judged USING (r)
 """,
 }
