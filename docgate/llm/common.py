@@ -42,22 +42,30 @@ def parts(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def named(rows: DataFrame, keys: list[str], ties: list[str], name: str) -> DataFrame:
-    """Replace ``keys`` by their dense rank ``name`` (long, from 0) over all rows.
+def named(
+    rows: DataFrame, keys: list[str], ties: list[str], name: str, coarse: list[str] | None = None
+) -> DataFrame:
+    """Replace ``keys`` by an integer ``name`` (long), equal exactly for equal keys.
 
     Rows are range-partitioned and sorted by ``keys`` then ``ties``, so copies of one key spread
-    over as many tasks as they need. Each task numbers its distinct keys; one summary row per task
-    (first key, last key, count) gives the offsets. Equal keys get equal names and different keys
-    different ones: keys are compared in full, never hashed. Nulls count as equal and come first.
+    over as many tasks as they need. Each task numbers its distinct keys; the keys at its two ends,
+    which its neighbours may hold too, go into a summary that gives the offsets and one name for
+    each such key. Keys are compared in full, never by hash alone. Nulls count as equal and come
+    first. Names are the dense rank of the keys, from 0.
+
+    The partitioner samples its keys to the driver. For long keys, ``coarse`` names short columns
+    that depend on the keys alone: partitions are cut by them, and names are then unique but need
+    not be dense or in order.
     """
-    others = [c for c in rows.columns if c not in keys]
+    short = coarse or keys
+    order = [*short, *(k for k in keys if k not in short), *ties]
+    others = [c for c in rows.columns if c not in {*keys, *short}]
     of = {field.name: field.dataType for field in rows.schema}
     out = T.StructType(
         [T.StructField(c, of[c]) for c in others]
         + [T.StructField("_task", T.IntegerType()), T.StructField("_rank", T.LongType())]
-        + [T.StructField(f"_first_{k}", of[k]) for k in keys]
-        + [T.StructField(f"_last_{k}", of[k]) for k in keys]
-        + [T.StructField("_summary", T.BooleanType())]
+        + [T.StructField(f"_key_{k}", of[k]) for k in keys]
+        + [T.StructField("_distinct", T.LongType())]
     )
 
     def number(batches: Iterator) -> Iterator:
@@ -67,71 +75,92 @@ def named(rows: DataFrame, keys: list[str], ties: list[str], name: str) -> DataF
         from pyspark import TaskContext
 
         task = TaskContext.get().partitionId()
-        first = last = schema = None
-        rank = -1
+        rank, schema, before = -1, None, {}
+        # Distinct keys (rank, values) that share the first and the last row's short columns.
+        head, tail, in_head = [], [], True
 
         def layout(given: pa.Schema) -> pa.Schema:
-            own = {"_task": pa.int32(), "_rank": pa.int64(), "_summary": pa.bool_()}
-            names = [field.name for field in out]
-            for k in keys:
-                own |= {f"_first_{k}": given.field(k).type, f"_last_{k}": given.field(k).type}
-            return pa.schema([(c, own[c] if c in own else given.field(c).type) for c in names])
-
-        def differs(a: pa.Array, b: pa.Array) -> np.ndarray:
-            unequal = pc.fill_null(pc.not_equal(a, b), False)
-            one_null = pc.xor(pc.is_null(a), pc.is_null(b))
-            return np.asarray(pc.or_(unequal, one_null))
+            own = {"_task": pa.int32(), "_rank": pa.int64(), "_distinct": pa.int64()}
+            own |= {f"_key_{k}": given.field(k).type for k in keys}
+            return pa.schema([(f.name, own.get(f.name) or given.field(f.name).type) for f in out])
+
+        def changes(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+            found = np.zeros(batch.num_rows, dtype=bool)
+            for c in names:
+                column = batch.column(c)
+                a, b = column.slice(1), column.slice(0, batch.num_rows - 1)
+                unequal = pc.fill_null(pc.not_equal(a, b), False)
+                found[1:] |= np.asarray(pc.or_(unequal, pc.xor(pc.is_null(a), pc.is_null(b))))
+                found[0] |= not before or column[0].as_py() != before[c]
+            return found
 
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
             schema = schema or layout(batch.schema)
-            columns = [batch.column(k) for k in keys]
-            new = np.zeros(n, dtype=bool)
-            for column in columns:
-                new[1:] |= differs(column.slice(1), column.slice(0, n - 1))
-            start = [column[0].as_py() for column in columns]
-            new[0] = rank < 0 or start != last
-            first = start if first is None else first
+            parted = changes(batch, short)
+            new = parted | changes(batch, keys)
+            first_batch = rank < 0
             ranks = rank + np.cumsum(new)
-            rank, last = int(ranks[-1]), [column[n - 1].as_py() for column in columns]
+            rank = int(ranks[-1])
+            before = {c: batch.column(c)[n - 1].as_py() for c in {*short, *keys}}
+            cuts = np.flatnonzero(parted)
+            if first_batch:
+                cuts = cuts[1:]
+            begun = np.flatnonzero(new)
+
+            def values(places: np.ndarray, batch=batch, ranks=ranks) -> list:
+                return [
+                    (int(ranks[i]), [batch.column(k)[i].as_py() for k in keys])
+                    for i in places.tolist()
+                ]
+
+            if in_head:
+                head += values(begun[begun < cuts[0]] if len(cuts) else begun)
+            if len(cuts):
+                in_head, tail = False, values(begun[begun >= cuts[-1]])
+            elif not in_head:
+                tail += values(begun)
             data = {c: batch.column(c) for c in others}
             data |= {"_task": pa.array([task] * n, pa.int32()), "_rank": pa.array(ranks, pa.int64())}
-            data["_summary"] = pa.array([False] * n)
             yield pa.RecordBatch.from_arrays(
                 [data[f.name] if f.name in data else pa.nulls(n, f.type) for f in schema],
                 schema=schema,
             )
-        if first is not None:
-            data = {"_task": task, "_rank": rank + 1, "_summary": True}
-            data |= {f"_first_{k}": v for k, v in zip(keys, first, strict=True)}
-            data |= {f"_last_{k}": v for k, v in zip(keys, last, strict=True)}
+        for at, key in head + tail:
+            data = {"_task": task, "_rank": at, "_distinct": rank + 1}
+            data |= {f"_key_{k}": v for k, v in zip(keys, key, strict=True)}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([data.get(f.name)], f.type) for f in schema], schema=schema
             )
 
-    order = [*keys, *ties]
-    ranged = rows.select(*others, *keys).repartitionByRange(parts(rows), *order)
+    columns = list(dict.fromkeys([*others, *short, *keys]))
+    ranged = rows.select(*columns).repartitionByRange(parts(rows), *short, *ties)
     done = stage(ranged.sortWithinPartitions(*order).mapInArrow(number, out), "names")
-    by_task = Window.orderBy("_task")  # one row per task
-    joined = F.lit(True)
-    for k in keys:
-        joined &= F.col(f"_first_{k}").eqNullSafe(F.lag(f"_last_{k}").over(by_task))
-    joined &= F.lag("_task").over(by_task).isNotNull()
-    starts = (
-        done.where("_summary")
-        .select("_task", "_rank", joined.cast("long").alias("_shared"))
-        .select(
-            F.col("_task").alias("_of"),
-            (
-                F.sum(F.col("_rank") - F.col("_shared")).over(by_task)
-                - F.col("_rank")
-            ).alias("_start"),
-        )
-    )
-    return (
-        done.where(~F.col("_summary"))
+    held = [f"_key_{k}" for k in keys]
+    ends = done.where("_distinct is not null").select("_task", "_rank", "_distinct", *held)
+    by_task = Window.orderBy("_task", "_rank")  # a few rows for each task
+    shared = (F.col("_rank") == 0) & F.lag("_task").over(by_task).isNotNull()
+    for k in held:
+        shared &= F.col(k).eqNullSafe(F.lag(k).over(by_task))
+    grown = F.when(F.col("_rank") == 0, F.col("_distinct") - shared.cast("long")).otherwise(0)
+    ends = ends.select("*", grown.alias("_grown"))
+    ends = ends.select(
+        "*", (F.sum("_grown").over(by_task) - F.col("_distinct")).alias("_start")
+    ).select("*", F.min(F.col("_start") + F.col("_rank")).over(Window.partitionBy(*held)).alias("_name"))
+    starts = ends.groupBy(F.col("_task").alias("_of")).agg(F.max("_start").alias("_start"))
+    fixed = ends.select(
+        F.col("_task").alias("_at"), F.col("_rank").alias("_as"), "_name"
+    ).distinct()
+    named_rows = (
+        done.where("_distinct is null")
         .join(F.broadcast(starts), F.col("_task") == F.col("_of"))
-        .select(*others, (F.col("_start") + F.col("_rank")).alias(name))
+        .join(
+            F.broadcast(fixed),
+            (F.col("_task") == F.col("_at")) & (F.col("_rank") == F.col("_as")),
+            "left",
+        )
     )
+    value = F.coalesce(F.col("_name"), F.col("_start") + F.col("_rank"))
+    return named_rows.select(*others, value.alias(name))

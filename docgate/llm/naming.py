@@ -33,7 +33,11 @@ def name_texts(rows: DataFrame, text: str, row: str, block_chars: int = BLOCK_CH
         ),
         F.greatest(F.size(cut), F.lit(1)).alias("left"),
     ).withColumn("carried", F.when(F.col("place") == 0, F.col("carried")))
-    names = stage(named(blocks, ["block"], ["row", "place"], "name"), "blocks")
+    blocks = blocks.withColumns(
+        {"start": F.substring("block", 1, 16), "hash": F.xxhash64("block")}
+    )
+    ties = ["row", "place"]
+    names = stage(named(blocks, ["block"], ties, "name", coarse=["start", "hash"]), "blocks")
     most = names.agg(F.max("left")).first()[0] or 1
     done, level = [], 0
     while True:
@@ -50,7 +54,7 @@ def name_texts(rows: DataFrame, text: str, row: str, block_chars: int = BLOCK_CH
                 F.ceil(F.max("left") / 2).cast("int").alias("left"),
             )
         )
-        names = stage(named(stage(pairs, "pairs"), ["a", "b"], ["row", "place"], "name"), "level")
+        names = stage(named(stage(pairs, "pairs"), ["a", "b"], ties, "name"), "level")
         most, level = (most + 1) // 2, level + 1
     return reduce(DataFrame.unionByName, done).select(
         F.col("row").alias(row), *[F.col(f"carried.{c}").alias(c) for c in carried], "level", "name"
