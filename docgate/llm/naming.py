@@ -95,13 +95,13 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keep = (
         exact_copies(docs, id_col, text_col)
         .where("kept")
-        .select(F.col("doc_id").alias("_keep_id"), F.unhex("text_sha256").alias("_keep_sha"))
+        .select(F.col("doc_id").alias("keep_id"), F.unhex("text_sha256").alias("keep_sha"))
     )
+    # Whole rows travel in one column, so no name of theirs can clash.
     marked = docs.select(
-        "*",
-        F.col(id_col).alias("_id"),
-        F.unhex(F.sha2(one_spaced(F.col(text_col)), 256)).alias("_sha"),
+        F.struct("*").alias("row"),
+        F.col(id_col).alias("id"),
+        F.unhex(F.sha2(one_spaced(F.col(text_col)), 256)).alias("sha"),
     )
-    same = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("_keep_sha"))
-    kept = marked.join(keep, same, "left_semi").dropDuplicates(["_id", "_sha"])
-    return kept.drop("_id", "_sha")
+    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("sha") == F.col("keep_sha"))
+    return marked.join(keep, same, "left_semi").dropDuplicates(["id", "sha"]).select("row.*")

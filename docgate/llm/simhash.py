@@ -153,18 +153,17 @@ def drop_near_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     Of rows that share this id, the one with the smallest text hash stays. Rows without an id stay
     only in classes that have no other.
     """
-    found = near_copies(docs, max_bits).select(
-        "doc_id", "text_key", "component_id", F.col("fp").alias("_fp")
-    )
+    found = near_copies(docs, max_bits)
     # Classes without any id are told apart by fingerprint.
-    alone = F.when(F.col("component_id").isNull(), F.col("_fp"))
+    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
     keep = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id", alone.alias("alone"))
-        .agg(F.min("text_key").alias("_keep_key"))
-        .select(F.col("component_id").alias("_keep_id"), "_keep_key")
+        .agg(F.min("text_key").alias("keep_key"))
+        .select(F.col("component_id").alias("keep_id"), "keep_key")
     )
+    # Whole rows travel in one column, so no name of theirs can clash.
     key = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    marked = docs.select("*", F.col("doc_id").alias("_id"), key.alias("_key"))
-    same = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_key") == F.col("_keep_key"))
-    return marked.join(keep, same, "left_semi").dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), key.alias("key"))
+    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("key") == F.col("keep_key"))
+    return marked.join(keep, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
