@@ -16,7 +16,7 @@ from docgate.llm.common import stage
 CAPACITY = 2048
 SLICES = 256
 NODES = 2_000
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 1_500_000  # about 300 MB in a worker
 Filling = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
 # Chunks that byte-level pre-tokenization never joins: a word, a mark that ends it, other runs
@@ -50,7 +50,7 @@ def _encoder(path: str):
     known: dict[str, bytes] = {}
 
     def whole(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(each.ids, dtype="<u4").tobytes() for each in found]
 
     newline = np.frombuffer(whole(["\n"])[0], dtype="<u4") if chunked else None
@@ -61,7 +61,7 @@ def _encoder(path: str):
         words = [c for c in chunks if not c.isspace()]
         for at in range(0, len(words), 5_000):
             some = words[at : at + 5_000]
-            ids = np.array(tokenizer.encode("\n".join(some), add_special_tokens=False).ids, "<u4")
+            ids = np.frombuffer(whole(["\n".join(some)])[0], "<u4")
             ends = np.append(np.flatnonzero(ids == newline[0]), len(ids))
             if len(ends) != len(some):
                 known.update(zip(some, whole(some), strict=True))
