@@ -153,7 +153,8 @@ def judge(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS) -> DataF
     reference. ``kept`` is false if the
     base rules fail (under 50 words, or over half of the words in repeated 3-word windows); else
     both Jensen-Shannon distances to the reference must be small, and the word distance counts only
-    from 100 words on, below which a clean text's own counts scatter as far.
+    from 100 words on, below which a clean text's own counts scatter as far, and not against the
+    pooled reference, which mixes languages.
 
     Null and empty texts fail the base rules; repeated rows are judged alike; an empty table gives
     no rows; other columns are ignored. References are one row per listed language and one more.
@@ -179,7 +180,9 @@ def judge(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS) -> DataF
             js_distance(F.col("common"), F.col("all_common")).alias("word_distance"),
         )
         odd = (F.col("char_distance") > MAX_CHAR_DISTANCE) | (
-            (F.col("word_distance") > MAX_WORD_DISTANCE) & (F.col("n_words") >= GUARD_WORDS)
+            (F.col("word_distance") > MAX_WORD_DISTANCE)
+            & (F.col("n_words") >= GUARD_WORDS)
+            & (F.col("reference") != POOLED)
         )
         return found.withColumn("kept", ~F.col("base_failed") & ~odd)
 

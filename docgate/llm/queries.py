@@ -134,6 +134,7 @@ def _distances(references: str) -> str:
     part = "CASE WHEN {0} > 0 THEN {0} * log2({0} / ((p + q) / 2)) ELSE 0 END / 2"
     terms = f"{part.format('p')} + {part.format('q')}"
     return f"""SELECT r, any_value(base_failed) AS base_failed, any_value(n_words) AS n_words,
+    any_value(reference) AS reference,
     coalesce(sqrt(greatest(0, sum({terms}) FILTER (kind = 'char'))), 0) AS char_distance,
     coalesce(sqrt(greatest(0, sum({terms}) FILTER (kind = 'word'))), 0) AS word_distance
   FROM shares LEFT JOIN {references} USING (reference, kind, k) GROUP BY r"""
@@ -276,14 +277,16 @@ WITH listed(reference, k, word) AS (VALUES {_common_words()}), d AS (
 ), near AS (
   SELECT r FROM ({_distances("first")})
   WHERE NOT base_failed AND char_distance <= {quality.MAX_CHAR_DISTANCE}
-    AND (word_distance <= {quality.MAX_WORD_DISTANCE} OR n_words < {quality.GUARD_WORDS})
+    AND (word_distance <= {quality.MAX_WORD_DISTANCE} OR n_words < {quality.GUARD_WORDS}
+      OR reference = '{quality.POOLED}')
 ), second AS (
   SELECT reference, kind, k, n / sum(n) OVER (PARTITION BY reference, kind)::DOUBLE AS q FROM (
     SELECT reference, kind, k, sum(n) AS n FROM shares JOIN near USING (r) GROUP BY ALL)
 ), judged AS ({_distances("second")})
 SELECT doc_id, base.n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base.base_failed,
   NOT base.base_failed AND char_distance <= {quality.MAX_CHAR_DISTANCE}
-    AND (word_distance <= {quality.MAX_WORD_DISTANCE} OR base.n_words < {quality.GUARD_WORDS}) AS kept,
+    AND (word_distance <= {quality.MAX_WORD_DISTANCE} OR base.n_words < {quality.GUARD_WORDS}
+      OR base.reference = '{quality.POOLED}') AS kept,
   round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance
 FROM base JOIN judged USING (r)
 """,
