@@ -43,7 +43,7 @@ def test_message_and_body(spark):
         "Evaluate this federal document record for compliance.",
         f"record_id: {given['record_id']}",
         "agency: USCIS",
-        "document_type: I-130 Petition",
+        "document_type: N-400 Naturalization",
         "case_status: pending",
         "priority_tier: standard",
         "pages: 2",
