@@ -106,9 +106,14 @@ def fit(
                 }
             )
 
+    draw = F.xxhash64("doc_id", "lang")
+    known = labelled.where("lang is not null and text is not null")
+    # Draws are even over 64 bits: a share of four samples holds the smallest ones, and only these
+    # few rows are sorted, whatever the number of tasks.
+    share = min(1.0, 4 * sample / max(1, known.count()))
+    known = known.where(draw <= min(2**63 - 1, int(-(2**63) + share * 2**64)))
     drawn = (
-        labelled.where("lang is not null and text is not null")
-        .select("lang", "text", F.xxhash64("doc_id", "lang").alias("draw"), F.xxhash64("text").alias("tie"))
+        known.select("lang", "text", draw.alias("draw"), F.xxhash64("text").alias("tie"))
         .orderBy("draw", "tie", "lang")
         .limit(sample)
     )

@@ -155,7 +155,7 @@ def test_marked_articles(spark):
     rows += [(10 + i, f"https://boiler.example/{i}", plain.format(f"alpha{i} beta{i}")) for i in range(4)]
     rows += [(20, "https://other.example/", plain.format("Alone"))]
     rows += [(30 + i, "http://copy/", f"<article><p>The very same words of text again</p></article><p>x{i}</p>") for i in range(5)]
-    rows += [(40, "u", "<p>" + "w " * 100_000), (41, "u", "<article></article><p>Fallback"), (42, "u", "<script>open"), (43, "u", "a < b <i>c</i><")]
+    rows += [(40, "u", "<p>" + "w " * 100_000), (41, "u", "<article></article><p>Fallback"), (42, "u", "<script>open"), (43, "u", "a < b <i>c</i><"), (44, "u", "<p>x <a " + "y " * 20_000)]
     frame = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "page_id long, url string, html string, key string, text string")
     got = extract.main_text(frame.repartition(3)).collect()
     texts = brute.group_by(got, lambda r: r.page_id)
@@ -170,5 +170,6 @@ def test_marked_articles(spark):
     assert texts[40][0].n_chars == 199_999
     assert texts[41][0].text == "Fallback"
     assert texts[43][0].text == "a < b c<"
+    assert texts[44][0].text.startswith("x <a y y")
     assert all(r.n_chars == len(r.text) for r in got)
     assert extract.main_text(frame.limit(0)).count() == 0
