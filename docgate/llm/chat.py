@@ -60,18 +60,19 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         F.coalesce(F.col("score"), F.lit(0.0)).cast("double").alias("score"),
     )
     known = nodes.select(F.col("node").alias("_node"))
-    hop = stage(
+    latest = stage(
         nodes.join(known, F.col("up").eqNullSafe(F.col("_node")), "left").select(
             "node", F.col("_node").alias("up"), "score", F.lit(1).cast("long").alias("steps")
         ),
         "hops",
     )
-    first, hops = hop, []
+    first, hops, rooted = latest, [], latest.where("up is null")
     limit = messages.count()
-    while not hop.where("up is not null").isEmpty() and 2 ** len(hops) <= limit:
-        climbing = hop.where("up is not null")
+    while not latest.where("up is not null").isEmpty() and 2 ** len(hops) <= limit:
+        # Messages that have reached their root are done; they are only looked up.
+        climbing = latest.where("up is not null")
         hops.append(climbing.select("node", "up"))
-        far = hop.select(
+        far = rooted.unionByName(climbing).select(
             F.col("node").alias("_node"),
             F.col("up").alias("_up"),
             F.col("score").alias("_score"),
@@ -83,9 +84,8 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
             (F.col("score") + F.col("_score")).alias("score"),
             (F.col("steps") + F.col("_steps")).alias("steps"),
         )
-        # Messages that have reached their root are done and are not joined again.
-        hop = hop.where("up is null").unionByName(stage(climbed, "hops"))
-    rooted = hop.where("up is null")
+        latest = stage(climbed, "hops")
+        rooted = rooted.unionByName(latest.where("up is null"))
     parents = first.where("up is not null").select(F.col("up").alias("_up")).distinct()
     leaves = rooted.join(parents, F.col("node").eqNullSafe(F.col("_up")), "left_anti")
     rank = Window.partitionBy("node.conv").orderBy(F.desc("score"), "node.msg")
