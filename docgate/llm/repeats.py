@@ -26,21 +26,27 @@ _AT_ONCE = 1 << 18
 KEY = ["k1", "k2"]
 
 
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so their powers have inverses
+
+
+def _codes(words: list[bytes]):
+    """A 64-bit number for each word."""
+    import numpy as np
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 class _Hashes:
     """Polynomial hashes of all word ranges of one text, modulo 2^64."""
 
-    BASE = 0x9E3779B97F4A7C15  # odd, so powers have inverses
-
-    def __init__(self, words: list[bytes], seed: int):
+    def __init__(self, codes, base: int):
         import numpy as np
-        import xxhash
 
-        n = len(words)
-        hashed = xxhash.xxh64_intdigest
-        codes = np.fromiter((hashed(w, seed) for w in words), np.uint64, n)
-        powers, self.inverse = self._powers(self.BASE, n), self._powers(pow(self.BASE, -1, 1 << 64), n)
+        n = len(codes)
+        self.inverse = self._powers(pow(base, -1, 1 << 64), n)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(codes * powers[:n], out=self.sums[1:])
+        np.cumsum(codes * self._powers(base, n)[:n], out=self.sums[1:])
 
     @staticmethod
     def _powers(base: int, n: int):
@@ -66,18 +72,18 @@ def _paths(words: list[bytes], size: int, seed_words: int):
     """The paths of one text: minimizer hash, hash of all words, first window, number of windows."""
     import numpy as np
 
-    hashes = [_Hashes(words, seed) for seed in (1, 2)]
+    codes = _codes(words)
     n = len(words) - size + 1
     span = size - seed_words + 1
     seeds = np.arange(n + span - 1)
-    marks = hashes[0](seeds, seeds + seed_words)
+    marks = _Hashes(codes, _BASES[0])(seeds, seeds + seed_words)
     minimal = np.empty(n, dtype=np.int64)
     for at in range(0, n, _AT_ONCE):
         view = np.lib.stride_tricks.sliding_window_view(marks[at : at + _AT_ONCE + span - 1], span)
         minimal[at : at + len(view)] = view.argmin(axis=1) + np.arange(at, at + len(view))
     first = np.flatnonzero(np.diff(minimal, prepend=-1))
     windows = np.diff(np.append(first, n))
-    whole = hashes[1](first, first + windows + size - 1)
+    whole = _Hashes(codes, _BASES[1])(first, first + windows + size - 1)
     return marks[minimal[first]].view(np.int64), whole.view(np.int64), first, windows
 
 
@@ -149,8 +155,9 @@ def _repeated_edges(branching: DataFrame, texts: DataFrame, size: int) -> DataFr
                 at = np.repeat(np.arange(len(rows)), windows)
                 step = np.arange(len(at)) - np.repeat(np.cumsum(windows) - windows, windows)
                 start = (rows[at, 3] >> 16) + step
+                codes = _codes(words)
                 e1, e2 = (
-                    _Hashes(words, seed)(start, start + size).view(np.int64) for seed in (3, 4)
+                    _Hashes(codes, base)(start, start + size).view(np.int64) for base in _BASES
                 )
                 yield e1, e2, rows[at, 0], rows[at, 1], step, rows[at, 2]
 
@@ -164,9 +171,10 @@ def _repeated_edges(branching: DataFrame, texts: DataFrame, size: int) -> DataFr
         "edges",
     )
     often = edges.groupBy("e1", "e2").agg(F.sum("times").alias("all")).where("all > 1")
+    often = stage(often.select("e1", "e2"), "often")
     bit = F.expr("shiftleft(1L, cast(step as int))")
     return (
-        edges.join(often.select("e1", "e2"), ["e1", "e2"])
+        edges.join(often, ["e1", "e2"])
         .groupBy("mark", "whole")
         .agg(F.bit_or(bit).alias("mask"))
     )
@@ -227,8 +235,9 @@ def drop_repeats(
     texts shorter than ``size`` stay whole; other columns are ignored.
 
     Equal texts are reduced to one, which counts as two places; texts are then stored once, bucketed
-    by key, and later joins bring small rows to them without moving them. Windows are told apart by
-    128 bits of hashes, texts by 128 bits of SHA-256.
+    by key, and later joins bring small rows to them without moving them. Words are told apart by 64
+    bits of hash, windows by 128, texts by 120 bits of SHA-256. What is aggregated by a key is written
+    before it is joined on that key: between two plain exchanges a hot key is split.
     """
     spark = docs.sparkSession
     words = F.trim(one_spaced(F.col("text")))
@@ -251,14 +260,14 @@ def drop_repeats(
     # time instead of being stored: there are many, and few are needed.
     times = F.sum(_weight()).alias("times")
     often = _all_paths(texts, size, seed_words).groupBy("mark").agg(times).where("times > 1")
-    places = stage(
-        _all_paths(texts, size, seed_words).join(often.select("mark"), "mark"), "paths"
-    )
+    often = stage(often.select("mark"), "often")
+    places = stage(_all_paths(texts, size, seed_words).join(often, "mark"), "paths")
     paths = stage(
         places.groupBy("mark", "whole").agg(times, F.min(F.struct(*KEY, "place")).alias("first")),
         "distinct",
     )
     forks = paths.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
+    forks = stage(forks, "forks")
     branching = paths.join(forks, "mark").select("mark", "whole", "times", "first.*")
     edges = stage(_repeated_edges(branching, texts, size), "masks")
     repeated = (
@@ -266,6 +275,7 @@ def drop_repeats(
         .select("mark", "whole", F.when(F.col("times") > 1, -1).otherwise(F.col("mask")).alias("mask"))
         .where("mask is not null")
     )
+    repeated = stage(repeated, "repeated")
     found = (
         places.join(repeated, ["mark", "whole"])
         .groupBy(*KEY)
