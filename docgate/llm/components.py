@@ -14,8 +14,8 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has columns a and b, in any direction and number. A round links every node's larger
     neighbours to its smallest one, then its smaller neighbours and itself to the smallest of them;
     it repeats until the links stay the same, when each component is a star around its smallest
-    node. Links never grow in number. Minima are aggregated before the shuffle and joined back, so
-    a node with very many links is split like any skewed join key. Rounds grow with the logarithm
+    node. Links never grow in number. Minima are aggregated before the shuffle, written, and joined
+    back, so a node with very many links is split like any skewed join key. Rounds grow with the logarithm
     of the longest chain; each is written to the shared folder, and the driver sees two numbers.
     """
 
@@ -31,14 +31,14 @@ def components(links: DataFrame) -> DataFrame:
     seen = mark(pairs)
     while True:
         both = pairs.union(pairs.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+        least = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
         # Large star: neighbours larger than the node, to the smallest of node and neighbours.
         large = both.join(least, F.col("a") == F.col("node")).where("b > a").select(
             F.col("b").alias("a"), F.least("a", "least").alias("b")
         )
         pairs = stage(small_to_large(large), "links")
         # Small star: smaller neighbours and the node itself, to the smallest neighbour.
-        least = pairs.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+        least = stage(pairs.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")), "least")
         small = pairs.join(least, F.col("a") == F.col("node")).select(
             F.explode(F.array(F.struct("b", "least"), F.struct(F.col("a").alias("b"), "least"))).alias("s")
         )

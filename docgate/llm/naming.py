@@ -78,9 +78,11 @@ def exact_copies(
     ).withColumn("sha", F.unhex(F.sha2("text", 256)))
     found = stage(name_texts(rows, "text", "row", block_chars), "identities")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    # Written before the join: only between two plain exchanges is a hot group split.
     groups = found.groupBy("level", "name").agg(
         first.alias("first"), F.count(F.lit(1)).alias("group_size")
     )
+    groups = stage(groups, "groups")
     return found.join(groups, ["level", "name"]).select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
