@@ -153,9 +153,13 @@ def drop_near_copies(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     Of rows that share this id, the one with the smallest text hash stays. Rows without an id stay
     only in classes that have no other.
     """
-    found = near_copies(docs, max_bits)
-    # Classes without any id are told apart by fingerprint.
-    alone = F.when(F.col("component_id").isNull(), F.col("fp"))
+    return keep_one(docs, near_copies(docs, max_bits), "fp")
+
+
+def keep_one(docs: DataFrame, found: DataFrame, node: str) -> DataFrame:
+    """One row of each class of ``found`` (doc_id, component_id, text_key and ``node``)."""
+    # Classes without any id are told apart by node.
+    alone = F.when(F.col("component_id").isNull(), F.col(node))
     keep = (
         found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component_id", alone.alias("alone"))
