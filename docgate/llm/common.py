@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from docgate.session import scratch_path
 
 SPACE = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def one_spaced(text: Column) -> Column:

@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgate.llm import chat, extract, language, mixing, naming, packing, quality, repeats, sharding, simhash
+from docgate.llm import (
+    chat,
+    extract,
+    language,
+    mixing,
+    naming,
+    negatives,
+    packing,
+    periods,
+    pieces,
+    quality,
+    repeats,
+    sharding,
+    simhash,
+)
+from docgate.llm.common import WORD
 
 SHARDS = 8
 
@@ -121,6 +136,77 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded with begin and end ids, and decoded again."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    ids = pieces.encode_texts(_table(spark, sf_dir, "documents"), model)
+    return pieces.decode_ids(ids, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; one text in ten becomes periodic from some word on, by its id."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    some = docs.select(
+        "doc_id",
+        "text",
+        g.alias("g"),
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("words"),
+    )
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    p = (F.floor((n - a) / (F.lit(3) + F.col("g") % 8)) + 1).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    root = F.slice("words", a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(root, times)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice("words", F.lit(1), a), tail), " ")
+    return some.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and digests of them and of the text without repetitions."""
+    found = periods.periodic_runs(with_planted_periods(_table(spark, sf_dir, "documents")))
+    runs = F.col("runs")
+    # The greatest length / period, compared by products; ties by start, then period.
+    first = F.aggregate(
+        runs,
+        runs[0],
+        lambda best, r: F.when(
+            r["length"] * best["period"] > best["length"] * r["period"], r
+        ).otherwise(best),
+    )
+    line = F.transform(runs, lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.when(F.size("runs") > 0, first).alias("best"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of five positives of every fiftieth vector."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def _common_words() -> str:
     """Rows (reference, k, word) of the listed words, as SQL."""
     listed = sorted({w for some in quality.COMMON_WORDS.values() for w in some})
@@ -157,6 +243,9 @@ QUERIES = {
     "op8_extract": op8_extract,
     "op9_sharding": op9_sharding,
     "op10_quality": op10_quality,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_periods": op12_periods,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLES = {
@@ -289,5 +378,26 @@ SELECT doc_id, base.n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
       OR base.reference = '{quality.POOLED}') AS kept,
   round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance
 FROM base JOIN judged USING (r)
+""",
+    "op13_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS parts
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    list_dot_product(a.parts, b.parts)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id,
+  positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
 """,
 }

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -128,3 +130,62 @@ def group_by(rows, key):
     for row in rows:
         out[key(row)].append(row)
     return out
+
+
+def runs(words: list[str], min_length: int = 6, min_exponent: int = 4) -> list[tuple[int, int, int]]:
+    """All (start, length, smallest period) of maximal periodic stretches, by every period in turn."""
+    n, found = len(words), {}
+    for period in range(1, n // min_exponent + 1):
+        i = 0
+        while i + period < n:
+            j = i
+            while j + period < n and words[j] == words[j + period]:
+                j += 1
+            if j > i and j + period - i >= max(min_length, min_exponent * period):
+                found.setdefault((i, j + period - i), period)
+            i = j + 1
+    return [(start, length, period) for (start, length), period in sorted(found.items())]
+
+
+def collapsed(words: list[str], some: list[tuple[int, int, int]]) -> str:
+    gone = {i for start, length, period in some for i in range(start + period, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted(doc_id: int | None, text: str | None) -> list[str]:
+    """The words of a text, made periodic for one id in ten."""
+    some = re.findall("[^\\x20\\x09-\\x0D]+", text or "")
+    if doc_id is None or not some:
+        return some
+    h, n = zlib.crc32(str(doc_id).encode()), len(some)
+    if h % 10:
+        return some
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [some[i] if i < a else some[a + (i - a) % p] for i in range(n)]
+
+
+def hard_negatives(rows: list[tuple], is_anchor, scale: int = 256) -> set[tuple]:
+    """(anchor, positive, rank, negative, scores) over (vec_id, label, vector) rows, pair by pair."""
+    held: dict[int, tuple] = {}
+    for vec_id, label, vector in rows:
+        if vec_id is None or label is None or vector is None:
+            continue
+        if any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        made = (label, [math.floor(scale * x) for x in vector])
+        held[vec_id] = min(held.get(vec_id, made), made)
+    out = set()
+    for a, (label, vector) in held.items():
+        if not is_anchor(a):
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(vector, other, strict=False)), b, of == label)
+            for b, (of, other) in held.items()
+            if b != a
+        )
+        for best, positive in [(-s, b) for s, b, same in scored if same][:5]:
+            fit = [(b, -s) for s, b, same in scored if not same and 50 * best <= -100 * s <= 95 * best]
+            out |= {(a, positive, k, b, best, s) for k, (b, s) in enumerate(fit[:3], 1)}
+    return out
