@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgate.llm.common import stage
+from docgate.llm.common import parts, stage
 
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 32_000_000
+MIN_BUCKETS = 64
+OUTPUT_BYTES = 32_000_000
 MARK = "\N{LOWER ONE EIGHTH BLOCK}"
 # Texts on which normalizers that change more than blanks differ from those that do not.
 _PROBES = ("a", " a  b ", "\n\t\r a\x0b\n", "ﬁ①　Ａé​\xa0\x00")
@@ -46,25 +48,61 @@ def chunks(text: str) -> list[str]:
     return _CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
 
 
-def cut_blocks(docs: DataFrame, keys: list[str], block_chars: int = BLOCK_CHARS) -> DataFrame:
+def _packed(values: list[bytes], width: int = 1) -> tuple[bytes, bytes]:
+    """``values`` as two compressed strings, sizes and contents.
+
+    Numbers of ``width`` bytes are stored as all their first bytes, then all second ones, and so on.
+    """
+    import numpy as np
+    import zstandard
+
+    def squeezed(held: bytes, k: int) -> bytes:
+        planes = np.frombuffer(held, dtype=np.uint8).reshape(-1, k).T
+        return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+    sizes = np.array([len(v) for v in values], dtype="<u4")
+    return squeezed(sizes.tobytes(), 4), squeezed(b"".join(values), width)
+
+
+def _unpacked(sizes: bytes, held: bytes, width: int = 1) -> list[bytes]:
+    """What :func:`_packed` was given."""
+    import numpy as np
+    import zstandard
+
+    def whole(held: bytes, k: int) -> bytes:
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(held), dtype=np.uint8)
+        return planes.reshape(k, -1).T.tobytes()
+
+    made = whole(held, width)
+    ends = np.cumsum(np.frombuffer(whole(sizes, 4), dtype="<u4"), dtype=np.int64).tolist()
+    return [made[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+def cut_blocks(
+    docs: DataFrame, keys: list[str], buckets: int, block_chars: int = BLOCK_CHARS
+) -> DataFrame:
     """Blocks of documents, each with a dictionary of its distinct chunks.
 
     A block is a stretch of one task's rows of about ``block_chars`` characters; a longer text has
-    one of its own. Rows of ``code`` and ``chunk`` are the dictionary; rows of ``codes`` (the text as
-    little-endian 32-bit places in it) and ``row`` (the struct of ``keys``) are the documents.
+    one of its own. Its rows are, by ``place``: below 0 the dictionary's chunks of each bucket, by hash
+    of the chunk; at 0 all texts of the block, as numbers of chunks in that order; from 1 on the
+    documents (``row``, the struct of ``keys``). ``sizes`` and ``held`` are as :func:`_packed` gives.
     """
     rows = docs.select(F.struct(*keys).alias("row"), "text")
     out = T.StructType(
         [
             T.StructField("block", T.LongType()),
-            T.StructField("code", T.IntegerType()),
-            T.StructField("chunk", T.StringType()),
-            T.StructField("codes", T.BinaryType()),
+            T.StructField("place", T.LongType()),
+            T.StructField("bucket", T.IntegerType()),
+            T.StructField("sizes", T.BinaryType()),
+            T.StructField("held", T.BinaryType()),
             T.StructField("row", rows.schema["row"].dataType),
         ]
     )
 
     def cut(batches: Iterator) -> Iterator:
+        import zlib
+
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
@@ -72,24 +110,36 @@ def cut_blocks(docs: DataFrame, keys: list[str], block_chars: int = BLOCK_CHARS)
         block = TaskContext.get().partitionId() << 32
         codes: dict[str, int] = {}
         kept: list[pa.Array] = []
-        texts: list[bytes] = []
+        texts: list[np.ndarray] = []
         size = 0
 
         def flush() -> Iterator:
             nonlocal block, codes, kept, texts, size
-            n, m = len(codes), len(texts)
-            if m:
-                held = pa.concat_arrays(kept)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block] * (n + m), pa.int64()),
-                        pa.array([*range(n), *[None] * m], pa.int32()),
-                        pa.array([*codes, *[None] * m], pa.string()),
-                        pa.array([*[None] * n, *texts], pa.binary()),
-                        pa.concat_arrays([pa.nulls(n, held.type), held]),
-                    ],
-                    ["block", "code", "chunk", "codes", "row"],
-                )
+            if not texts:
+                return
+            by_bucket: dict[int, list[bytes]] = {}
+            for chunk in codes:
+                held = chunk.encode()
+                by_bucket.setdefault(zlib.crc32(held) % buckets, []).append(held)
+            listed = sorted(by_bucket)
+            order = [c for k in listed for c in by_bucket[k]]
+            number = np.zeros(len(codes), dtype="<u4")
+            number[[codes[c.decode()] for c in order]] = np.arange(len(order))
+            packed = [_packed(by_bucket[k]) for k in listed]
+            packed.append(_packed([number[text].tobytes() for text in texts], 4))
+            rows_here = pa.concat_arrays(kept)
+            n, m = len(packed), len(rows_here)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block] * (n + m), pa.int64()),
+                    pa.array(range(1 - n, m + 1), pa.int64()),
+                    pa.array([*listed, *[None] * (m + 1)], pa.int32()),
+                    pa.array([*(p[0] for p in packed), *[None] * m], pa.binary()),
+                    pa.array([*(p[1] for p in packed), *[None] * m], pa.binary()),
+                    pa.concat_arrays([pa.nulls(n, rows_here.type), rows_here]),
+                ],
+                names=out.names,
+            )
             block, codes, kept, texts, size = block + 1, {}, [], [], 0
 
         for batch in batches:
@@ -98,7 +148,7 @@ def cut_blocks(docs: DataFrame, keys: list[str], block_chars: int = BLOCK_CHARS)
             for at in range(batch.num_rows):
                 given = text[at].as_py() or ""
                 found = [codes.setdefault(c, len(codes)) for c in chunks(given)]
-                texts.append(np.array(found, dtype="<u4").tobytes())
+                texts.append(np.array(found, dtype=np.int64))
                 size += len(given) + 64
                 if size >= block_chars:
                     kept.append(row.slice(start, at + 1 - start))
@@ -111,11 +161,12 @@ def cut_blocks(docs: DataFrame, keys: list[str], block_chars: int = BLOCK_CHARS)
     return rows.mapInArrow(cut, out)
 
 
-def segment(table: DataFrame, model: str) -> DataFrame:
-    """The ids of each row's ``chunk``, as little-endian 32-bit integers in ``ids``.
+def segment(listed: DataFrame, model: str, buckets: int) -> DataFrame:
+    """``listed`` dictionary rows with the ids of their chunks instead of these.
 
-    A chunk is segmented behind a full stop, whose ids are cut off: alone, it would be given one more
-    blank, and only blanks would give nothing.
+    All chunks of a bucket come together: they meet one table, in which each distinct chunk is
+    segmented once. A chunk is segmented behind a full stop, whose ids are cut off: alone, it would
+    be given one more blank, and only blanks would give nothing.
     """
 
     def encode(batches: Iterator) -> Iterator:
@@ -124,16 +175,24 @@ def segment(table: DataFrame, model: str) -> DataFrame:
 
         made = _processor(model)
         skip = len(made.encode("."))
+        table: dict[bytes, bytes] = {}
         for batch in batches:
-            chunk = batch.column("chunk")
-            ids = []
-            for at in range(0, len(chunk), 1_000):
-                some = ["." + c for c in chunk.slice(at, 1_000).to_pylist()]
-                found = made.encode(some, num_threads=1)
-                ids += [np.array(each[skip:], dtype="<u4").tobytes() for each in found]
-            yield pa.RecordBatch.from_arrays([chunk, pa.array(ids, pa.binary())], ["chunk", "ids"])
-
-    return table.select("chunk").mapInArrow(encode, "chunk string, ids binary")
+            packed = []
+            for sizes, held in zip(batch.column("sizes"), batch.column("held"), strict=True):
+                wanted = _unpacked(sizes.as_py(), held.as_py())
+                new = [c for c in wanted if c not in table]
+                for at in range(0, len(new), 1_000):
+                    some = new[at : at + 1_000]
+                    found = made.encode(["." + c.decode() for c in some], num_threads=1)
+                    for chunk, ids in zip(some, found, strict=True):
+                        table[chunk] = np.array(ids[skip:], dtype="<u4").tobytes()
+                packed.append(_packed([table[c] for c in wanted], 4))
+            columns = {c: batch.column(c) for c in batch.schema.names}
+            columns["sizes"] = pa.array([p[0] for p in packed], pa.binary())
+            columns["held"] = pa.array([p[1] for p in packed], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return listed.repartitionById(buckets, F.col("bucket")).mapInArrow(encode, listed.schema)
 
 
 def encode_texts(
@@ -148,27 +207,21 @@ def encode_texts(
 
     ``ids`` holds little-endian unsigned 32-bit integers. ``model`` is the path of a model file that
     every executor can open; a model whose pieces cross white space marks or line ends, or that
-    normalizes more than blanks, is refused. Each distinct chunk between two marks is segmented once,
-    in a table of its own. Documents are numbered into blocks; only the distinct chunks of a block
-    meet the table, and return to the block to be put in place, so a word that every text has costs
-    one row per block. Texts themselves are never shuffled.
+    normalizes more than blanks, is refused. Documents are gathered into blocks, whose texts become
+    numbers of their distinct chunks. These chunks alone meet, by hash, the table in which each
+    distinct chunk is segmented once; the ids return to the block and are put in place. So a word
+    that every text has costs one entry per block, and texts move as compressed numbers only.
 
     A null or empty text gives the begin and end ids alone; a very long one is a block of its own.
     Rows that repeat a key are encoded one by one; other columns are left out, and ``keys`` may have
     any names but ``ids``. An empty table gives no rows.
     """
-    blocks = stage(cut_blocks(docs, list(keys), block_chars), "blocks")
-    listed = blocks.where("code is not null")
-    table = stage(segment(listed.select("chunk").distinct(), model), "chunks")
-    parts_ = listed.join(table, "chunk").select(
-        "block", "code", "ids", F.lit(None).cast("binary").alias("codes"), F.lit(None).alias("row")
-    )
-    texts = blocks.where("code is null").select(
-        "block", "code", F.lit(None).cast("binary").alias("ids"), "codes", "row"
-    )
+    buckets = max(MIN_BUCKETS, parts(docs))
+    blocks = stage(cut_blocks(docs, list(keys), buckets, block_chars), "blocks")
+    listed = segment(blocks.where("bucket is not null"), model, buckets)
+    both = blocks.where("bucket is null").unionByName(listed)
+    ordered = both.repartition("block").sortWithinPartitions("block", "place")
     kind = blocks.schema["row"].dataType
-    both = texts.unionByName(parts_.withColumn("row", F.col("row").cast(kind)))
-    ordered = both.repartition("block").sortWithinPartitions("block", F.asc_nulls_last("code"))
     out = T.StructType([T.StructField("row", kind), T.StructField("ids", T.BinaryType())])
 
     def put(batches: Iterator) -> Iterator:
@@ -178,30 +231,34 @@ def encode_texts(
         made = _processor(model)
         mark = [np.array([k], dtype="<u4").tobytes() for k in (made.bos_id(), made.eos_id())]
         front, back = mark[0] if begin else b"", mark[1] if end else b""
-        block, known = None, []
+        block, known, texts = None, [], []
+
+        def made_of(batch: pa.RecordBatch, rows: list[int], ids: list[bytes]) -> pa.RecordBatch:
+            row = batch.column("row").take(pa.array(rows, pa.int64()))
+            return pa.RecordBatch.from_arrays([row, pa.array(ids, pa.binary())], names=["row", "ids"])
+
         for batch in batches:
-            code, ids = batch.column("code"), batch.column("ids")
-            of, codes = batch.column("block").to_numpy(), batch.column("codes")
-            listed_here = np.asarray(code.is_valid())
-            # Stretches of one block's dictionary or texts.
-            changed = (of[1:] != of[:-1]) | (listed_here[1:] != listed_here[:-1])
-            cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a == b:
-                    continue
-                if of[a] != block:
-                    block, known = of[a], []
-                if listed_here[a]:
-                    known += ids.slice(a, b - a).to_pylist()
+            of, place = batch.column("block").to_numpy(), batch.column("place").to_numpy()
+            sizes, held = batch.column("sizes"), batch.column("held")
+            rows, ids, size = [], [], 0
+            for at in range(batch.num_rows):
+                if size > OUTPUT_BYTES:
+                    yield made_of(batch, rows, ids)
+                    rows, ids, size = [], [], 0
+                if of[at] != block:
+                    block, known, texts = of[at], [], []
+                if place[at] > 0:
+                    codes = np.frombuffer(texts[place[at] - 1], dtype="<u4").tolist()
+                    rows.append(at)
+                    ids.append(b"".join([front, *map(known.__getitem__, codes), back]))
+                    size += len(ids[-1])
                     continue
-                made_here = []
-                for held in codes.slice(a, b - a).to_pylist():
-                    places = np.frombuffer(held, dtype="<u4").tolist()
-                    made_here.append(b"".join([front, *map(known.__getitem__, places), back]))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(a, b - a), pa.array(made_here, pa.binary())],
-                    ["row", "ids"],
-                )
+                found = _unpacked(sizes[at].as_py(), held[at].as_py(), 4)
+                if place[at] == 0:
+                    texts = found
+                else:
+                    known += found
+            yield made_of(batch, rows, ids)
 
     placed = ordered.mapInArrow(put, out)
     return placed.select(*[F.col("row")[k].alias(k) for k in keys], "ids")

@@ -382,9 +382,9 @@ FROM base JOIN judged USING (r)
     "op13_negatives": """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS parts
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS parts
   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
     list_dot_product(a.parts, b.parts)::BIGINT AS score

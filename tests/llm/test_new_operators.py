@@ -75,7 +75,7 @@ def test_ids_like_the_library(spark, docs):
     made = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     odd = spark.createDataFrame([(1_000 + k, t) for k, t in enumerate(ODD_TEXTS)], "doc_id long, text string")
     both = docs.select("doc_id", "text", F.col("row").alias("block")).unionByName(odd, allowMissingColumns=True)
-    for block_chars in (500, 8_000_000):
+    for block_chars in (500, 32_000_000):
         got = pieces.encode_texts(both, MODEL, ("doc_id", "text", "block"), block_chars=block_chars)
         rows = pieces.decode_ids(got, MODEL).collect()
         assert sorted(map(repr, [(r.doc_id, r.text, r.block) for r in rows])) == sorted(
