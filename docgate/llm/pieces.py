@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -10,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgate.llm.common import parts, stage
+from docgate.llm.common import parts
+from docgate.session import scratch_path
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 16_000_000
 MIN_BUCKETS = 64
-OUTPUT_BYTES = 32_000_000
 MARK = "\N{LOWER ONE EIGHTH BLOCK}"
 # Texts on which normalizers that change more than blanks differ from those that do not.
 _PROBES = ("a", " a  b ", "\n\t\r a\x0b\n", "ﬁ①　Ａé​\xa0\x00")
@@ -84,19 +85,20 @@ def cut_blocks(
     """Blocks of documents, each with a dictionary of its distinct chunks.
 
     A block is a stretch of one task's rows of about ``block_chars`` characters; a longer text has
-    one of its own. Its rows are, by ``place``: below 0 the dictionary's chunks of each bucket, by hash
-    of the chunk; at 0 all texts of the block, as numbers of chunks in that order; from 1 on the
-    documents (``row``, the struct of ``keys``). ``sizes`` and ``held`` are as :func:`_packed` gives.
+    one of its own. One row per block, of null ``bucket``, has the documents (``rows``, structs of
+    ``keys``), their texts as numbers of chunks, the most frequent first, and the bucket of each such
+    number (``ranks``). The others have the chunks of each bucket, a hash of the chunk, in the same
+    order. ``sizes`` and ``held`` are as :func:`_packed` gives them.
     """
-    rows = docs.select(F.struct(*keys).alias("row"), "text")
+    given = docs.select(F.struct(*keys).alias("row"), "text")
     out = T.StructType(
         [
             T.StructField("block", T.LongType()),
-            T.StructField("place", T.LongType()),
             T.StructField("bucket", T.IntegerType()),
             T.StructField("sizes", T.BinaryType()),
             T.StructField("held", T.BinaryType()),
-            T.StructField("row", rows.schema["row"].dataType),
+            T.StructField("ranks", T.BinaryType()),
+            T.StructField("rows", T.ArrayType(given.schema["row"].dataType)),
         ]
     )
 
@@ -117,39 +119,45 @@ def cut_blocks(
             nonlocal block, codes, kept, texts, size
             if not texts:
                 return
+            counts = np.zeros(len(codes), dtype=np.int64)
+            for text in texts:
+                counts += np.bincount(text, minlength=len(codes))
+            order = np.argsort(-counts, kind="stable")
+            rank = np.zeros(len(codes), dtype="<u4")
+            rank[order] = np.arange(len(codes))
             by_bucket: dict[int, list[bytes]] = {}
-            for chunk in codes:
-                held = chunk.encode()
-                by_bucket.setdefault(zlib.crc32(held) % buckets, []).append(held)
-            listed = sorted(by_bucket)
-            order = [c for k in listed for c in by_bucket[k]]
-            number = np.zeros(len(codes), dtype="<u4")
-            number[[codes[c.decode()] for c in order]] = np.arange(len(order))
-            packed = [_packed(by_bucket[k]) for k in listed]
-            packed.append(_packed([number[text].tobytes() for text in texts], 4))
-            rows_here = pa.concat_arrays(kept)
-            n, m = len(packed), len(rows_here)
+            ranks, names = [], list(codes)
+            for k in order.tolist():
+                held = names[k].encode()
+                ranks.append(zlib.crc32(held) % buckets)
+                by_bucket.setdefault(ranks[-1], []).append(held)
+            packed = [_packed([rank[text].tobytes() for text in texts], 4)]
+            packed += [_packed(some) for some in by_bucket.values()]
+            rows, n = pa.concat_arrays(kept), len(by_bucket)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([block] * (n + m), pa.int64()),
-                    pa.array(range(1 - n, m + 1), pa.int64()),
-                    pa.array([*listed, *[None] * (m + 1)], pa.int32()),
-                    pa.array([*(p[0] for p in packed), *[None] * m], pa.binary()),
-                    pa.array([*(p[1] for p in packed), *[None] * m], pa.binary()),
-                    pa.concat_arrays([pa.nulls(n, rows_here.type), rows_here]),
+                    pa.array([block] * (n + 1), pa.int64()),
+                    pa.array([None, *by_bucket], pa.int32()),
+                    pa.array([p[0] for p in packed], pa.binary()),
+                    pa.array([p[1] for p in packed], pa.binary()),
+                    pa.array([np.array(ranks, dtype="<u4").tobytes(), *[None] * n], pa.binary()),
+                    pa.ListArray.from_arrays(
+                        pa.array([0] + [len(rows)] * (n + 1), pa.int32()), rows,
+                        mask=pa.array([False] + [True] * n),
+                    ),
                 ],
                 names=out.names,
-            )
+            )
             block, codes, kept, texts, size = block + 1, {}, [], [], 0
 
         for batch in batches:
             start = 0
             row, text = batch.column("row"), batch.column("text")
             for at in range(batch.num_rows):
-                given = text[at].as_py() or ""
-                found = [codes.setdefault(c, len(codes)) for c in chunks(given)]
-                texts.append(np.array(found, dtype=np.int64))
-                size += len(given) + 64
+                whole = text[at].as_py() or ""
+                found = [codes.setdefault(c, len(codes)) for c in chunks(whole)]
+                texts.append(np.array(found, dtype=np.int32))
+                size += len(whole) + 64
                 if size >= block_chars:
                     kept.append(row.slice(start, at + 1 - start))
                     start = at + 1
@@ -158,7 +166,7 @@ def cut_blocks(
                 kept.append(row.slice(start))
         yield from flush()
 
-    return rows.mapInArrow(cut, out)
+    return given.mapInArrow(cut, out)
 
 
 def segment(listed: DataFrame, model: str, buckets: int) -> DataFrame:
@@ -210,57 +218,47 @@ def encode_texts(
     normalizes more than blanks, is refused. Documents are gathered into blocks, whose texts become
     numbers of their distinct chunks. These chunks alone meet, by hash, the table in which each
     distinct chunk is segmented once; the ids return to the block and are put in place. So a word
-    that every text has costs one entry per block, and texts move as compressed numbers only.
+    that every text has costs one entry per block, and texts, stored as compressed numbers, do not move.
 
     A null or empty text gives the begin and end ids alone; a very long one is a block of its own.
     Rows that repeat a key are encoded one by one; other columns are left out, and ``keys`` may have
     any names but ``ids``. An empty table gives no rows.
     """
+    spark = docs.sparkSession
     buckets = max(MIN_BUCKETS, parts(docs))
-    blocks = stage(cut_blocks(docs, list(keys), buckets, block_chars), "blocks")
-    listed = segment(blocks.where("bucket is not null"), model, buckets)
-    both = blocks.where("bucket is null").unionByName(listed)
-    ordered = both.repartition("block").sortWithinPartitions("block", "place")
-    kind = blocks.schema["row"].dataType
+    # Written by block, so that the texts stay where they are when their ids arrive. The name is
+    # needed for writing only: it goes at once, the files stay in the shared folder.
+    table = f"llm_blocks_{uuid.uuid4().hex}"
+    writer = cut_blocks(docs, list(keys), buckets, block_chars).write.bucketBy(parts(docs), "block")
+    writer.option("path", scratch_path(spark, "llm-blocks")).saveAsTable(table)
+    blocks = spark.table(table)
+    spark.sql(f"drop table {table}")
+    listed = segment(blocks.where("bucket is not null").drop("ranks", "rows"), model, buckets)
+    texts = blocks.where("bucket is null").drop("bucket")
+    kind = blocks.schema["rows"].dataType.elementType
     out = T.StructType([T.StructField("row", kind), T.StructField("ids", T.BinaryType())])
 
-    def put(batches: Iterator) -> Iterator:
+    def put(text, found):
         import numpy as np
         import pyarrow as pa
 
         made = _processor(model)
         mark = [np.array([k], dtype="<u4").tobytes() for k in (made.bos_id(), made.eos_id())]
         front, back = mark[0] if begin else b"", mark[1] if end else b""
-        block, known, texts = None, [], []
-
-        def made_of(batch: pa.RecordBatch, rows: list[int], ids: list[bytes]) -> pa.RecordBatch:
-            row = batch.column("row").take(pa.array(rows, pa.int64()))
-            return pa.RecordBatch.from_arrays([row, pa.array(ids, pa.binary())], names=["row", "ids"])
-
-        for batch in batches:
-            of, place = batch.column("block").to_numpy(), batch.column("place").to_numpy()
-            sizes, held = batch.column("sizes"), batch.column("held")
-            rows, ids, size = [], [], 0
-            for at in range(batch.num_rows):
-                if size > OUTPUT_BYTES:
-                    yield made_of(batch, rows, ids)
-                    rows, ids, size = [], [], 0
-                if of[at] != block:
-                    block, known, texts = of[at], [], []
-                if place[at] > 0:
-                    codes = np.frombuffer(texts[place[at] - 1], dtype="<u4").tolist()
-                    rows.append(at)
-                    ids.append(b"".join([front, *map(known.__getitem__, codes), back]))
-                    size += len(ids[-1])
-                    continue
-                found = _unpacked(sizes[at].as_py(), held[at].as_py(), 4)
-                if place[at] == 0:
-                    texts = found
-                else:
-                    known += found
-            yield made_of(batch, rows, ids)
-
-    placed = ordered.mapInArrow(put, out)
+        by_bucket = {
+            bucket: iter(_unpacked(sizes, held, 4))
+            for bucket, sizes, held in zip(*(found.column(c).to_pylist() for c in ("bucket", "sizes", "held")), strict=True)
+        }
+        ranks = np.frombuffer(text.column("ranks")[0].as_py(), dtype="<u4").tolist()
+        known = [next(by_bucket[k]) for k in ranks]
+        ids = []
+        for held in _unpacked(text.column("sizes")[0].as_py(), text.column("held")[0].as_py(), 4):
+            codes = np.frombuffer(held, dtype="<u4").tolist()
+            ids.append(b"".join([front, *map(known.__getitem__, codes), back]))
+        rows = text.column("rows").combine_chunks().flatten()
+        return pa.table([rows, pa.array(ids, pa.binary())], names=["row", "ids"])
+
+    placed = texts.groupBy("block").cogroup(listed.groupBy("block")).applyInArrow(put, out)
     return placed.select(*[F.col("row")[k].alias(k) for k in keys], "ids")
 
 
