@@ -59,7 +59,7 @@ def _packed(values: list[bytes], width: int = 1) -> tuple[bytes, bytes]:
 
     def squeezed(held: bytes, k: int) -> bytes:
         planes = np.frombuffer(held, dtype=np.uint8).reshape(-1, k).T
-        return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+        return zstandard.ZstdCompressor(level=9).compress(planes.tobytes())
 
     sizes = np.array([len(v) for v in values], dtype="<u4")
     return squeezed(sizes.tobytes(), 4), squeezed(b"".join(values), width)
