@@ -254,6 +254,8 @@ _ORACLES = {
         concat('2024-01-0', cast(doc_id % 3 + 1 AS varchar)) AS day FROM documents""",
     "ndjson_provenance": f"""SELECT {_ID} AS record_id, cast(doc_id // 200 AS bigint) AS bucket, true AS bucket_ok,
         row_number() OVER (PARTITION BY doc_id // 200 ORDER BY doc_id) AS line_ordinal FROM documents""",
+    "ndjson_resplit": f"""SELECT {_ID} AS record_id, cast(doc_id // 200 AS bigint) AS bucket, true AS bucket_ok,
+        row_number() OVER (PARTITION BY doc_id // 200 ORDER BY doc_id) AS line_ordinal FROM documents""",
     "malformed_lines": f"SELECT {_ID} AS record_id, {_MALFORMED} AS malformed FROM documents",
     "payload_decode": f"""SELECT doc_id AS sequence, {_MALFORMED} OR doc_id % 19 = 0 AS malformed,
         CASE WHEN NOT ({_MALFORMED} OR doc_id % 19 = 0) THEN md5(text) END AS text_md5 FROM documents""",
@@ -384,12 +386,14 @@ _ORACLES = {
     "scoring_limits": f"""{_RULES}, {_ruled("canon")}, n AS (SELECT *, greatest(length({_MESSAGE}) // 4, 1) + 512 > 1500 AS big FROM ruled)
         SELECT record_id, CASE WHEN big THEN 'oversize' END AS error_code, CASE WHEN NOT big THEN risk_tier END AS risk_tier,
         NOT big AS billed FROM n""",
+    "scoring_paced": f"""{_RULES}, {_ruled("canon")} SELECT count(*) AS calls, 0 AS moments_above FROM ruled""",
     "reply_codes": """WITH c(k, error_code, billed, reasoning, tokens_used) AS (VALUES (0, NULL, true, 'why', 7), (1, 'invoke', false, NULL, -1),
         (2, 'envelope', false, NULL, -1), (3, 'content', false, NULL, -1), (4, 'usage', false, NULL, -1), (5, NULL, true, 'why', 0),
         (6, NULL, true, 'why', 0), (7, NULL, true, 'why', 0), (8, NULL, true, 'why', 0), (9, 'non_json', true, NULL, 7),
         (10, 'not_object', true, NULL, 7), (11, 'missing', true, NULL, 7), (12, 'bad_tier', true, NULL, 7), (13, 'bad_alignment', true, NULL, 7),
-        (14, 'bad_score', true, NULL, 7), (15, 'score_range', true, NULL, 7), (16, NULL, true, 'None', 7))
-        SELECT doc_id, error_code, billed, reasoning, tokens_used FROM documents JOIN c ON doc_id % 17 = k""",
+        (14, 'bad_score', true, NULL, 7), (15, 'score_range', true, NULL, 7), (16, NULL, true, 'None', 7),
+        (17, 'bad_score', true, NULL, 7), (18, 'usage', false, NULL, -1), (19, NULL, true, 'why', 3))
+        SELECT doc_id, error_code, billed, reasoning, tokens_used FROM documents JOIN c ON doc_id % 20 = k""",
     "cost_price_frame": f"""WITH {_USAGE}, {_PRICES} SELECT doc_id, model_id, input_tokens, output_tokens,
         cast(coalesce(input_tokens * pin * 0.001, 0) AS decimal(12,6)) AS cost_input_usd,
         cast(coalesce(output_tokens * pout * 0.001, 0) AS decimal(12,6)) AS cost_output_usd,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from datetime import UTC, date, datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import views as v
@@ -166,7 +167,8 @@ def ndjson_prefix(spark, sf_dir):
     return _seen(_parsed(spark, ndjson.read_ndjson(spark, root, "docs/2024/01/0")))
 
 
-def ndjson_provenance(spark, sf_dir):
+def _bucketed_files(spark, sf_dir):
+    """One file of records and empty lines for every 200 documents, in the order of their ids."""
     lines = v.json_lines(v.rec(spark, sf_dir)).withColumns(
         {
             "bucket": F.floor(F.col("doc_id") / v.FILE_ROWS),
@@ -184,7 +186,10 @@ def ndjson_provenance(spark, sf_dir):
         .write.partitionBy("bucket")
         .text(f"{root}/files")
     )
-    numbered = ndjson.with_line_ordinal(ndjson.read_ndjson(spark, root, "files"))
+    return root
+
+
+def _numbered(numbered, root):
     return numbered.select(
         F.regexp_extract("value", r'"record_id":"([^"]*)"', 1).alias("record_id"),
         F.regexp_extract("source_key", r"^files/bucket=(\d+)/", 1).cast("bigint").alias("bucket"),
@@ -193,6 +198,24 @@ def ndjson_provenance(spark, sf_dir):
     )
 
 
+def ndjson_provenance(spark, sf_dir):
+    root = _bucketed_files(spark, sf_dir)
+    return _numbered(ndjson.with_line_ordinal(ndjson.read_ndjson(spark, root, "files")), root)
+
+
+def ndjson_resplit(spark, sf_dir):
+    """Lines numbered while files were cut into many splits, and read when they no longer are."""
+    root = _bucketed_files(spark, sf_dir)
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "50000")
+    try:
+        numbered = ndjson.with_line_ordinal(ndjson.read_ndjson(spark, root, "files"))
+    finally:
+        spark.conf.set(setting, before)
+    return _numbered(numbered, root)
+
+
 def malformed_lines(spark, sf_dir):
     root = scratch_path(v.utc(spark), "ndjson")
     v.soiled(v.rec(spark, sf_dir)).select("value").write.text(root)
@@ -487,6 +510,26 @@ def scoring_limits(spark, sf_dir):
     )
 
 
+def scoring_paced(spark, sf_dir):
+    """Calls from many short tasks, and the moments at which they are above the limit: none."""
+    per_minute, callers, chunk = 600_000, spark.sparkContext.defaultParallelism, 5
+    asked = requests.with_requests(_canonical(spark, sf_dir), PROMPT).repartition(60)
+    budget = admission.caller_budget(per_minute, 10**15, callers)
+    start = time.time()
+    path = scratch_path(spark, "calls")
+    scoring.score(asked, rule_scorer(), chunk, pace=budget).select("classified_at").write.parquet(path)
+    log = spark.read.parquet(path)
+    # Calls by hundredths of a second; their running sum is as short as the run is.
+    moment = F.floor(F.unix_micros("classified_at") / 10_000)
+    moments = log.groupBy(moment.alias("moment")).agg(F.count(F.lit(1)).alias("n"))
+    so_far = F.sum("n").over(Window.orderBy("moment"))
+    allowed = ((F.col("moment") + 1) / 100 - start) * per_minute / 60
+    return moments.select("n", (so_far > allowed).alias("above")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("calls"),
+        F.count_if("above").cast("int").alias("moments_above"),
+    )
+
+
 def score_table(spark, sf_dir):
     answers = (
         v.env(spark, sf_dir)
@@ -983,6 +1026,7 @@ _QUERIES = {
     "ndjson_scan": ndjson_scan,
     "ndjson_scan_day": ndjson_scan_day,
     "ndjson_provenance": ndjson_provenance,
+    "ndjson_resplit": ndjson_resplit,
     "ndjson_prefix": ndjson_prefix,
     "malformed_lines": malformed_lines,
     "payload_decode": payload_decode,
@@ -1013,6 +1057,7 @@ _QUERIES = {
     "score_isolated": score_isolated,
     "score_retry": score_retry,
     "scoring_limits": scoring_limits,
+    "scoring_paced": scoring_paced,
     "score_table": score_table,
     "envelope_parse": envelope_parse,
     "reply_parse": reply_parse,

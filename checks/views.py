@@ -270,4 +270,7 @@ ODD_REPLIES = [
     (_enveloped(_reply(compliance_score="much")), None),
     (_enveloped(_reply(compliance_score=1.5)), None),
     (_enveloped(_reply(reasoning=None)), None),
+    (_enveloped(_reply(compliance_score="0\x1c")), None),
+    (_enveloped(_reply(), {"input_tokens": "3\x1c"}), None),
+    (_enveloped(_reply(compliance_score="\u20030.5\x85"), {"input_tokens": " 3\xa0"}), None),
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docgate.functions import coerce
 from docgate.functions.once import with_once
-from docgate.functions.text import strip
+from docgate.functions.text import UNICODE_SPACES, strip
 from docgate.schemas import ALIGNMENTS, REPLY_KEYS, RISK_TIERS
 
 _REPLY_SCHEMA = ", ".join(f"{key} VARIANT" for key in REPLY_KEYS) + ", _corrupt STRING"
@@ -119,11 +119,16 @@ def _envelopes(scored: DataFrame, response: str) -> DataFrame:
     ).drop("_env", "_complete", "_object", "_block", "_usage", "_in", "_out")
 
 
+def _number_text(value: Column) -> Column:
+    """Text without the white space that Python's ``int`` and ``float`` allow around a number."""
+    return strip(F.try_variant_get(value, "$", "string"), UNICODE_SPACES)
+
+
 def _count(column: str) -> Column:
     """A token count: absent is 0, not a number is NULL."""
     value = F.col(column)
     name = coerce.kind(value)
-    text = strip(F.try_variant_get(value, "$", "string"))
+    text = _number_text(value)
     return (
         F.when(name.isNull(), F.lit(0))
         .when(name == "BIGINT", F.try_variant_get(value, "$", "int"))
@@ -202,7 +207,7 @@ def _replies(enveloped: DataFrame, reply: str) -> DataFrame:
 
 def _score(value: Column) -> Column:
     name = coerce.kind(value)
-    text = strip(F.try_variant_get(value, "$", "string"))
+    text = _number_text(value)
     return (
         F.when(
             (name == "BIGINT") | (name == "DOUBLE") | name.startswith("DECIMAL"),

@@ -19,32 +19,37 @@ Client = Callable[[list], list]
 
 
 class Pace:
-    """Waits until a task's share of the limits allows its next requests.
+    """Waits until a task's share of the limits allows its next call.
 
-    Both allowances start full and refill evenly up to one minute's share, or to what one chunk
-    needs, whichever is more.
+    A task begins with nothing: it waits before a call, not after it. So ``n`` tasks that call at the same
+    time keep to ``n`` shares however often tasks end and others begin, with no state outside the task. What
+    a task saves while it does other work counts, up to what its next call needs.
     """
 
     def __init__(self, requests_per_minute: float, tokens_per_minute: float):
         self.rates = (requests_per_minute / 60, tokens_per_minute / 60)
-        self.room = [requests_per_minute, tokens_per_minute]
+        self.room = [0.0, 0.0]
         self.seen = time.monotonic()
 
     def wait(self, requests: int, tokens: int) -> None:
         now = time.monotonic()
-        most = [60 * rate for rate in self.rates]
-        refilled = [r + (now - self.seen) * rate for r, rate in zip(self.room, self.rates, strict=True)]
-        self.room = [min(*pair) for pair in zip(refilled, most, strict=True)]
-        self.seen = now
-        # Going into debt and sleeping it off admits chunks larger than a minute's share.
-        self.room = [r - n for r, n in zip(self.room, (requests, tokens), strict=True)]
+        passed, self.seen = now - self.seen, now
+        needs = (requests, tokens)
+        refilled = [r + passed * rate for r, rate in zip(self.room, self.rates, strict=True)]
+        # Going into debt and sleeping it off admits calls larger than a minute's share.
+        self.room = [min(r, n) - n for r, n in zip(refilled, needs, strict=True)]
         debt = max(-r / rate for r, rate in zip(self.room, self.rates, strict=True))
         if debt > 0:
             time.sleep(debt)
 
 
-def _ask(client: Client, bodies: list[str]) -> list:
-    """One answer or error per body; a chunk that fails as a whole is asked one by one."""
+def _ask(client: Client, bodies: list[str], tokens: list[int], limiter: Pace | None) -> list:
+    """One answer or error per body; a chunk that fails as a whole is asked one by one.
+
+    Every call, a repeated one too, waits for its own requests and tokens first.
+    """
+    if limiter:
+        limiter.wait(len(bodies), sum(tokens))
     try:
         answers = client(bodies)
         if len(answers) == len(bodies):
@@ -54,7 +59,8 @@ def _ask(client: Client, bodies: list[str]) -> list:
         failure = raised
     if len(bodies) == 1:
         return [failure]
-    return [answer for body in bodies for answer in _ask(client, [body])]
+    each = zip(bodies, tokens, strict=True)
+    return [answer for body, n in each for answer in _ask(client, [body], [n], limiter)]
 
 
 def score(
@@ -68,7 +74,7 @@ def score(
 
     Rows whose ``body`` is NULL are passed over without a call. A failed call becomes the row's
     ``score_error``, and only that row's; it never fails the task. ``pace`` is the share of requests
-    and tokens per minute of one task, with the row's ``estimated_tokens``. Only these columns travel
+    and tokens per minute of one task (see :class:`Pace`), with the row's ``estimated_tokens``. Only these columns travel
     to Python, and nothing is shuffled. Persist the result (see ``docgate.plans.batch``) before
     using it twice, or the calls are made twice.
     """
@@ -85,9 +91,8 @@ def score(
             when = [None] * len(bodies)
             for start in range(0, len(wanted), chunk_rows):
                 rows = wanted[start : start + chunk_rows]
-                if limiter:
-                    limiter.wait(len(rows), int(tokens.iloc[rows].sum()))
-                answers = _ask(client, [bodies.iloc[i] for i in rows])
+                asked = [bodies.iloc[i] for i in rows]
+                answers = _ask(client, asked, tokens.iloc[rows].tolist(), limiter)
                 stamp = pd.Timestamp.now(tz="UTC").tz_localize(None)
                 for i, answer in zip(rows, answers, strict=True):
                     if isinstance(answer, Exception):

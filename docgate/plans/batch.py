@@ -33,6 +33,7 @@ from docgate.sources.ndjson import (
     malformed_lines,
     parse_lines,
     read_ndjson,
+    store_lines,
     well_formed,
     with_line_ordinal,
 )
@@ -113,19 +114,21 @@ def run_batch(
     A batch that fails the gate goes to the dead letter as a whole and raises
     :class:`GateRejected`; with ``stop_on_reject=False`` it goes on, without gold (and without
     bronze unless ``bronze_on_reject``). Running again with the same ``run_id`` pays for no second
-    call and inserts nothing twice.
+    call and inserts nothing twice. The source is read once: its lines are kept below ``out/lines``
+    until the run is repeated, and everything else reads them there.
     """
     run_id = run_id or new_run_id()
     out = out.rstrip("/")
-    parsed = parse_lines(with_line_ordinal(read_ndjson(spark, root, prefix)))
-    if scoring.strict:
-        parsed = well_formed(parsed, strict=True)
-    view = gate_view(well_formed(parsed), normalize=gate_after_normalize)
+    lines = store_lines(
+        read_ndjson(spark, root, prefix), run_dir(f"{out}/lines", run_id), scoring.waves
+    )
+    view = batch_view(lines, gate_after_normalize, scoring.strict)
     gate = run_gate(view, expectations or document_expectations())
+    numbered = with_line_ordinal(lines, stored=True)
     if not gate.passed and stop_on_reject:
-        _reject(parsed, out, run_id, gate)
+        _reject(parse_lines(numbered), out, run_id, gate)
 
-    staged = stage(parsed, f"{out}/staging", run_id, scoring)
+    staged = stage(numbered, f"{out}/staging", run_id, scoring)
     good = reduce_run(staged, f"{out}/reduced", run_id)
     keep_bronze = gate.passed or bronze_on_reject
     bronze = write_bronze(good, out, run_id, SOURCE_ORDER, reduced=True) if keep_bronze else 0
@@ -147,6 +150,11 @@ def run_batch(
     )
 
 
+def batch_view(lines: DataFrame, normalize: bool = False, strict: bool = False) -> DataFrame:
+    """What the gate sees of a batch: it needs no line numbers."""
+    return gate_view(well_formed(parse_lines(lines), strict=strict), normalize=normalize)
+
+
 def reduce_run(staged: DataFrame, path: str, run_id: str) -> DataFrame:
     """One classified row per record id of a staged run, written once for all tables of the run.
 

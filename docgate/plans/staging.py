@@ -31,6 +31,7 @@ from docgate.session import child_names, path_exists
 from docgate.sinks.audit import input_fingerprint
 from docgate.sinks.dead_letter import raw_line_json, record_json, write_dead_letters
 from docgate.sinks.tables import align, run_dir
+from docgate.sources.ndjson import parse_lines, row_key, well_formed
 
 STAGING_SCHEMA = (
     "row_key STRING, source_bucket STRING, source_key STRING, source_block BIGINT, "
@@ -170,20 +171,20 @@ def judge(parsed: DataFrame, scoring: Scoring) -> DataFrame:
     return staged
 
 
-def row_key():
-    """Identity of an input line: equal lines of one file share it and are staged together."""
-    return F.sha2(F.concat_ws("\n", F.coalesce("source_key", F.lit("")), "value"), 256)
-
-
-def stage(parsed: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFrame:
+def stage(lines: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFrame:
     """Score the lines that ``path`` lacks for the run, append them, and read the run back.
 
     Lines whose call failed (``RETRIED``) count as lacking: running again asks for them again, and
-    their newest attempt replaces the earlier ones.
+    their newest attempt replaces the earlier ones. ``lines`` may be parsed already; if not, those
+    that are left are parsed here. Lines of :func:`store_lines` bring their ``row_key`` and ``wave``,
+    and each wave reads its own folder only.
     """
-    spark = parsed.sparkSession
+    spark = lines.sparkSession
     check_price(spark, scoring)
-    pending = parsed.withColumn("row_key", row_key())
+    pending = lines if "row_key" in lines.columns else lines.withColumn("row_key", row_key())
+    if "wave" not in pending.columns:
+        wave = F.pmod(F.xxhash64("row_key"), F.lit(scoring.waves)).cast("int")
+        pending = pending.withColumn("wave", wave)
     attempt = len(child_names(spark, run_dir(path, run_id)))
     if attempt:
         # Equal lines share a key; one of each is enough to know them by.
@@ -193,7 +194,10 @@ def stage(parsed: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFr
         pending = pending.join(done, "row_key", "left_anti")
     for wave in range(scoring.waves):
         # The share is taken before the parsing, so a line is parsed in its own wave only.
-        share = pending.where(F.pmod(F.xxhash64("row_key"), F.lit(scoring.waves)) == wave)
+        share = pending.where(F.col("wave") == wave).drop("wave")
+        if "malformed" not in share.columns:
+            share = parse_lines(share)
+            share = well_formed(share, strict=True) if scoring.strict else share
         judged = judge(share, scoring).withColumn("pipeline_run_id", F.lit(run_id))
         rows = align(judged.withColumn("attempt", F.lit(attempt + wave)), STAGING_SCHEMA)
         rows.drop("pipeline_run_id", "attempt").write.mode("overwrite").parquet(

@@ -13,7 +13,6 @@ from docgate.functions.once import with_once
 from docgate.schemas import RECORD_FIELDS
 from docgate.session import (
     copy_file,
-    ensure_checkpoint_dir,
     hidden_files,
     matches,
     scratch_path,
@@ -35,6 +34,8 @@ _RAW_OPTIONS = {
     "allowNonNumericNumbers": "false",
 }
 _END_KEY = "#end"
+#: So many splits, about 100 bytes each, may be sent to every executor: 128 TB in splits of 128 MB.
+BROADCAST_SPLITS = 1_000_000
 
 
 def read_ndjson(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -95,20 +96,46 @@ def _with_provenance(lines: DataFrame, root: str, *more: Column) -> DataFrame:
     )
 
 
-def with_line_ordinal(lines: DataFrame) -> DataFrame:
+def row_key() -> Column:
+    """Identity of an input line: equal lines of one file share it and are staged together."""
+    return F.sha2(F.concat_ws("\n", F.coalesce("source_key", F.lit("")), "value"), 256)
+
+
+def store_lines(lines: DataFrame, path: str | None = None, waves: int = 1) -> DataFrame:
+    """``lines`` written once, with ``row_key`` and its ``wave`` (0 to ``waves`` - 1), and read again.
+
+    How a scan cuts files into splits depends on the executors there are at that moment, so
+    ``source_block`` and ``source_seq`` of two scans need not agree. Here they are fixed as data, and
+    all that follows reads the same values. Waves are folders: reading one leaves the others alone.
+    ``path`` is replaced; by default it is a fresh one in the shared folder.
+    """
+    spark = lines.sparkSession
+    path = path or scratch_path(spark, "lines")
+    keyed = lines.withColumn("row_key", row_key()).withColumn(
+        "wave", F.pmod(F.xxhash64("row_key"), F.lit(waves)).cast("int")
+    )
+    keyed.write.mode("overwrite").option("compression", "zstd").partitionBy("wave").parquet(path)
+    return spark.read.schema(keyed.schema).parquet(path)
+
+
+def with_line_ordinal(lines: DataFrame, stored: bool = False) -> DataFrame:
     """Add ``line_ordinal``: the position of the line among the non-empty lines of its file, from 1.
 
-    A file is never gathered in one task. Each split contributes one row (first position, row
-    count); a running sum over those few rows gives every split its offset, and the lines get
-    their ordinal by adding it.
+    Lines that do not come from :func:`store_lines` (``stored``) are written by it first; their other
+    columns stay. A file is never gathered in one task. Each split contributes one row (first
+    position, row count); a running sum over those few rows gives every split its offset, and the
+    lines get their ordinal by adding it. Up to ``BROADCAST_SPLITS`` splits, counted first, go to the
+    lines, which then are not shuffled; beyond, lines and splits meet by hash.
     """
-    ensure_checkpoint_dir(lines.sparkSession)
+    if not stored:
+        lines = store_lines(lines).drop("row_key", "wave")
     split = ["source_key", "source_block"]
-    splits = (
-        lines.groupBy(*split)
-        .agg(F.min("source_seq").alias("first_seq"), F.count("*").alias("split_rows"))
-        .checkpoint()
+    splits = lines.groupBy(*split).agg(
+        F.min("source_seq").alias("first_seq"), F.count("*").alias("split_rows")
     )
+    path = scratch_path(lines.sparkSession, "splits")
+    splits.write.parquet(path)
+    splits = lines.sparkSession.read.schema(splits.schema).parquet(path)
     earlier = Window.partitionBy("source_key").orderBy("source_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -118,9 +145,14 @@ def with_line_ordinal(lines: DataFrame) -> DataFrame:
             "shift"
         ),
     )
+    if splits.count() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    # A stored line always finds its split; should one not, the job must stop, not lose it.
+    lost = F.raise_error(F.concat(F.lit("no count for a split of "), F.col("source_key")))
+    shift = F.when(F.col("shift").isNull(), lost.cast("bigint")).otherwise(F.col("shift"))
     return (
-        lines.join(offsets, split)
-        .withColumn("line_ordinal", F.col("source_seq") + F.col("shift"))
+        lines.join(offsets, split, "left")
+        .withColumn("line_ordinal", F.col("source_seq") + shift)
         .drop("shift")
     )
 

@@ -1,17 +1,21 @@
 from __future__ import annotations
 
+import itertools
 import json
+import os
+import time
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from checks.clients import rule_scorer
+from docgate.operators.admission import caller_budget
 from docgate.operators.contract import parse_contract
 from docgate.operators.replies import classify, parse_envelopes, parse_replies
 from docgate.operators.requests import with_requests
-from checks.clients import rule_scorer
-from docgate.operators.scoring import Pace, score, score_from_table
+from docgate.operators.scoring import Pace, _ask, score, score_from_table
 from docgate.sources.ndjson import parse_lines
 from tests.helpers import lines, record
 
@@ -264,13 +268,68 @@ def test_one_raising_record_fails_alone(spark):
     assert [r["pages"] for r in rows if r["error_code"] == "invoke"] == [4]
 
 
-def test_pace_keeps_to_both_limits(monkeypatch):
+def fake_clock(monkeypatch):
     clock = [0.0]
     monkeypatch.setattr("time.monotonic", lambda: clock[0])
     monkeypatch.setattr("time.sleep", lambda seconds: clock.__setitem__(0, clock[0] + seconds))
+    return clock
+
+
+def test_pace_keeps_to_both_limits(monkeypatch):
+    clock = fake_clock(monkeypatch)
     pace = Pace(60, 600)
     times = []
     for requests, tokens in [(25, 0), (25, 0), (25, 0), (1, 600), (1, 1_200)]:
         pace.wait(requests, tokens)
         times.append(round(clock[0], 6))
-    assert times == [0, 0, 15, 16, 135]
+    assert times == [25, 50, 75, 110, 230]  # tokens are saved up for one call only
+    clock[0] += 1_000
+    pace.wait(25, 0)
+    assert clock[0] == 1_230
+    pace.wait(25, 0)
+    assert clock[0] == 1_255
+
+
+def test_repeated_calls_are_paced(monkeypatch):
+    clock = fake_clock(monkeypatch)
+    calls = []
+
+    def client(bodies):
+        calls.append((clock[0], len(bodies)))
+        raise RuntimeError("throttled")
+
+    answers = _ask(client, ["a", "b", "c"], [1, 1, 1], Pace(60, 10**9))
+    assert len(answers) == 3 and calls == [(3, 3), (4, 1), (5, 1), (6, 1)]
+
+
+def test_short_tasks_keep_to_the_limit(spark, tmp_path):
+    """60 tasks of 10 rows, some of whose calls fail: the call log never exceeds the limit."""
+    log, callers, per_minute = str(tmp_path), 8, 6_000
+    rows = spark.range(0, 600, 1, 60).select(F.col("id").cast("string").alias("request_body"))
+
+    def make():
+        import os
+        import time
+        import uuid
+
+        def client(bodies):
+            with open(os.path.join(log, uuid.uuid4().hex), "w") as out:
+                out.write(f"{time.time()} {len(bodies)}")
+            if "7" in bodies[0]:
+                raise RuntimeError("throttled")
+            return bodies
+
+        return client
+
+    start = time.time()
+    budget = caller_budget(per_minute, 10**15, callers)
+    done = score(rows, make, chunk_rows=5, pace=budget).select("response", "score_error").collect()
+    assert len(done) == 600
+    calls = sorted(tuple(map(float, open(os.path.join(log, f)).read().split())) for f in os.listdir(log))
+    assert sum(n for _, n in calls) > 600
+    for i, (first, _) in enumerate(calls):
+        for last, total in zip(
+            (t for t, _ in calls[i:]), itertools.accumulate(n for _, n in calls[i:]), strict=True
+        ):
+            assert total <= (last - first) * per_minute / 60 + callers * 5 + 1
+    assert sum(n for _, n in calls) <= (calls[-1][0] - start) * per_minute / 60

@@ -2,18 +2,21 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from docgate.plans.batch import batch_view
 from docgate.sinks.ndjson import write_ndjson
 from docgate.sources.ndjson import (
     malformed_lines,
     parse_lines,
     read_ndjson,
     read_ndjson_day,
+    store_lines,
     well_formed,
     with_line_ordinal,
 )
@@ -39,6 +42,40 @@ def test_day_scan(spark, tmp_path):
     assert read_ndjson_day(spark, str(tmp_path), "p", date(2024, 1, 3)).collect() == []
 
 
+def test_ordinals_survive_other_splits(spark, tmp_path):
+    """Numbered with many splits, read with few: no line is lost and none gets another number."""
+    write_lines(tmp_path / "r", "big.ndjson", [json.dumps({"n": i, "pad": "x" * (i % 97)}) for i in range(5_000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        numbered = with_line_ordinal(read_ndjson(spark, str(tmp_path / "r")))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")
+    try:
+        rows = numbered.select(F.get_json_object("value", "$.n").cast("int").alias("n"), "line_ordinal")
+        assert {tuple(r) for r in rows.collect()} == {(i, i + 1) for i in range(5_000)}
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_no_shuffle_carries_the_lines(spark, tmp_path):
+    """Neither numbering nor the gate's rows nor a wave's share shuffles text; a wave reads its folder."""
+    write_lines(tmp_path / "r", "a.ndjson", [json.dumps({"n": i}) for i in range(500)])
+    lines = store_lines(read_ndjson(spark, str(tmp_path / "r")), waves=4)
+    numbered = with_line_ordinal(lines, stored=True)
+    share = numbered.where(F.col("wave") == 2)
+    for frame in (numbered, batch_view(lines), parse_lines(share)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        # The running sum over splits is the only one.
+        assert "SortMergeJoin" not in plan
+        assert len(re.findall(r"\bExchange (?:hash|range|round)", plan)) <= plan.count("Window")
+    assert {r.wave for r in share.collect()} == {2}
+    plan = share._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*wave#\d+ = 2", plan)
+    assert sum(numbered.where(F.col("wave") == k).count() for k in range(4)) == 500
+    assert store_lines(lines.limit(0).drop("wave")).count() == 0
+
+
 def test_line_ordinals_across_splits(spark, tmp_path):
     """One big file read in many splits next to a small one; empty lines have no number."""
     texts = []
