@@ -16,74 +16,77 @@ from docgate.llm.common import stage
 CAPACITY = 2048
 SLICES = 256
 NODES = 2_000
-KNOWN_CHUNKS = 1_500_000  # about 300 MB in a worker
 Filling = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
-# Chunks that byte-level pre-tokenization never joins: a word, a mark that ends it, other runs
-# without white space, and white space. One blank goes with what follows.
-_CHUNK = re.compile(
-    r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,]?(?:\s|$))|[.,](?=\s|$)| ?\S+|\s+(?!\S)|\s"
+# How byte-level tokenizers cut a text before merging (a fixed value of theirs).
+_PATTERN = (
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
-# White space on which regular expression libraries disagree.
+# Characters on which regular expression libraries may disagree: white space that is no blank, tab
+# or line end, and whatever lies outside well-known scripts and marks.
 _ODD = re.compile(
-    "[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]"
+    "[^\t\n\r\x20-\x7e\xa1-\xac\xae-\u0220\u0222-\u0233\u0250-\u02ad\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481"
+    "\u2010-\u2027\u2030-\u205e\u20a0-\u20af\u3041-\u3094\u30a1-\u30fe\u4e00-\u9fa5]"
 )
+_LONG_WORD = 500
 
 
 # -- token ids ---------------------------------------------------------------------------------
 
 
+def _byte_ranks(path: str) -> dict[bytes, int] | None:
+    """The tokens of a plain byte-level tokenizer as bytes, if their ids are in the order of its merges."""
+    import json
+
+    with open(path, encoding="utf-8") as file:
+        held = json.load(file)
+    model, cut = held["model"], held["pre_tokenizer"] or {}
+    plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and held["normalizer"] is None
+    if model["type"] != "BPE" or not plain or cut.get("use_regex") is False:
+        return None
+    # Printable bytes stand for themselves, the others for the characters from U+0100 on.
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    special = {added["content"] for added in held["added_tokens"]}
+    tokens = {t: k for t, k in model["vocab"].items() if t not in special}
+    merged = [tokens.get("".join(pair)) for pair in pairs]
+    if None in merged or merged != sorted(merged) or len(tokens) != len(set(merged)) + 256:
+        return None
+    return {bytes(map(byte.__getitem__, t)): k for t, k in tokens.items()}
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str):
-    """A function from texts to token ids as little-endian unsigned 32-bit integers.
+    """A function from a text to its token ids as little-endian unsigned 32-bit integers.
 
-    Chunks that were seen before are looked up; new ones are encoded many at a time, one to a line.
-    Only byte-level tokenizers are known to work chunk by chunk; others get whole texts.
+    The tokenizer itself does odd texts, texts with special tokens, and tokenizers of other kinds; the
+    same merges in a faster library do the rest.
     """
     import numpy as np
     from tokenizers import Tokenizer
-    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    chunked = isinstance(tokenizer.pre_tokenizer, ByteLevel) and tokenizer.normalizer is None
-    known: dict[str, bytes] = {}
-
-    def whole(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(each.ids, dtype="<u4").tobytes() for each in found]
-
-    newline = np.frombuffer(whole(["\n"])[0], dtype="<u4") if chunked else None
-
-    def learn(chunks: list[str]) -> None:
-        spaces = [c for c in chunks if c.isspace()]
-        known.update(zip(spaces, whole(spaces), strict=True))
-        words = [c for c in chunks if not c.isspace()]
-        for at in range(0, len(words), 5_000):
-            some = words[at : at + 5_000]
-            ids = np.frombuffer(whole(["\n".join(some)])[0], "<u4")
-            ends = np.append(np.flatnonzero(ids == newline[0]), len(ids))
-            if len(ends) != len(some):
-                known.update(zip(some, whole(some), strict=True))
-                continue
-            start = 0
-            for chunk, end in zip(some, ends.tolist(), strict=True):
-                known[chunk] = ids[start:end].tobytes()
-                start = end + 1
-
-    def encode(texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if not chunked or _ODD.search(text):
-                yield whole([text])[0]
-                continue
-            chunks = _CHUNK.findall(text)
-            try:
-                yield b"".join(map(known.__getitem__, chunks))
-            except KeyError:
-                if len(known) > KNOWN_CHUNKS:
-                    known.clear()
-                learn([c for c in dict.fromkeys(chunks) if c not in known])
-                yield b"".join(map(known.__getitem__, chunks))
+    special = [added.content for added in tokenizer.get_added_tokens_decoder().values()]
+    ranks = _byte_ranks(path)
+    fast = None
+    if ranks is not None:
+        import tiktoken
+
+        fast = tiktoken.Encoding("own", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> bytes:
+        if (
+            fast is None
+            or _ODD.search(text)
+            or any(s in text for s in special)
+            or max(map(len, text.split()), default=0) > _LONG_WORD
+        ):
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = fast.encode_ordinary(text)
+        return np.array(ids, dtype="<u4").tobytes()
 
     return encode
 
@@ -95,8 +98,8 @@ def cut_pieces(
 
     A document is the ids of its text (null: none) and ``end_id``. One that is longer than
     ``capacity`` is cut into pieces of ``capacity``, of which the first may be shorter. ``tokenizer``
-    is the path of a tokenizer file that every executor can open. Strings of special tokens in a
-    text are ordinary text.
+    is the path of a tokenizer file that every executor can open. The string of a special token in a
+    text becomes that token, as the library's own call has it.
     """
 
     def pieces(frames: Iterable) -> Iterator:
@@ -109,7 +112,7 @@ def cut_pieces(
         for frame in frames:
             texts = ["" if t is None else t for t in frame["text"]]
             rows = []
-            for doc, ids in zip(frame["doc_id"], encode(texts), strict=True):
+            for doc, ids in zip(frame["doc_id"], map(encode, texts), strict=True):
                 ids += end
                 total = len(ids) // 4
                 start, stop = 0, (total - 1) % capacity + 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter
 
@@ -89,7 +90,6 @@ def test_packed_documents(docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     expected = Counter()
     for r in brute.tricky_docs():
         ids = [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0]
@@ -145,3 +145,19 @@ def test_empty_tables(docs):
     assert mixing.draw_mix(empty).count() == 0
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
     assert sharding.assign_shards(empty, sharding.even_tree(8)).count() == 0
+
+
+def test_ids_like_the_tokenizer():
+    """Random odd texts, and every character that the faster library may see, next to others."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    tokenizer, encode = Tokenizer.from_file(path), packing._encoder(path)
+    rng = random.Random(1)
+    some = [" ", "\n", "a", "B", "é", ".", ",", "1", "'s", "<|endoftext|>", "\t", "  ", "北", "x", " the", "\r", "\u2028", "\x1c", "ǆ", "١"]
+    texts = ["".join(rng.choices(some, k=rng.randint(0, 14))) for _ in range(5_000)] + ["y" * 3_000]
+    safe = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and not packing._ODD.search(chr(c))]
+    texts += ["".join(f"{c}a {c}1{c}, {c}{c}\n{c}" for c in safe[k : k + 50]) for k in range(0, len(safe), 50)]
+    assert len(safe) > 20_000
+    for text, found in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(encode(text), "<u4").tolist() == found.ids, text
