@@ -91,6 +91,37 @@ def copy_file(spark: SparkSession, source: str, target: str) -> None:
     )
 
 
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of one small file; None when it does not exist."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    if not filesystem.exists(hadoop_path):
+        return None
+    stream = filesystem.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write, or replace, one small file."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    stream = filesystem.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path`` on the same filesystem."""
+    filesystem, target = _filesystem(spark, path)
+    filesystem.mkdirs(target.getParent())
+    filesystem.delete(target, True)
+    if not filesystem.rename(_filesystem(spark, new)[1], target):
+        raise OSError(f"{new} could not be moved to {path}")
+
+
 def child_names(spark: SparkSession, path: str) -> set[str]:
     """Names of the visible files and folders directly in ``path``; none when it does not exist."""
     filesystem, hadoop_path = _filesystem(spark, path)

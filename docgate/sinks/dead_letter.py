@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docgate.operators.contract import parse_contract
 from docgate.schemas import RECORD_FIELDS
-from docgate.session import matches
+from docgate.session import read_small, replace_folder, write_small
 from docgate.sources.ndjson import parse_lines, read_ndjson
 
 logger = logging.getLogger(__name__)
@@ -92,29 +92,31 @@ def write_dead_letters(
 ) -> str:
     """Write failed rows below ``root/prefix/stage/YYYY/MM/DD/``; give the folder, or ``""``.
 
-    A stage of a run has one folder, named by its first write; writing again replaces what is in it. Nothing is
-    written for no rows (``rows``, where the caller has counted them). A failing write is logged and
-    never stops the job.
+    A stage of a run has one folder, named by its first write and noted in a small file of the run's own
+    beside the letters, so no other run or day is ever listed. Writing again replaces the folder, once the
+    new letters are complete. Nothing is written for no rows (``rows``, where the caller has counted
+    them). A failing write is logged and never stops the job.
     """
     now = now or datetime.now(tz=UTC)
     error = F.lit(error) if isinstance(error, str) else error
     path = ""
     try:
         spark = failed.sparkSession
-        day = f"{root}/{prefix}/{stage}/{now:%Y/%m/%d}"
         name = quote(run_id, safe="")
-        earlier = [p for p, _ in matches(spark, f"{root}/{prefix}/{stage}/*/*/*/{name}_*")]
-        earlier = [p for p in earlier if p.rsplit("/", 1)[-1].rpartition("_")[0] == name]
-        path = f"{day}/{name}_{now:%Y%m%dT%H%M%S}"
-        if earlier:
-            path = "/".join([f"{root}/{prefix}/{stage}", *earlier[0].rsplit("/", 4)[1:]])
+        noted = f"{root}/{prefix}-runs/{stage}/{name}"
+        earlier = read_small(spark, f"{noted}/folder")
+        folder = earlier or f"{now:%Y/%m/%d}/{name}_{now:%Y%m%dT%H%M%S}"
+        path = f"{root}/{prefix}/{stage}/{folder}"
         none = failed.isEmpty() if rows is None else rows == 0
         if none and not earlier:
             return ""
         lines = envelopes(
             failed, record, stage=stage, run_id=run_id, error=error, failed_at=now
         )
-        lines.write.mode("overwrite").text(path)
+        lines.write.mode("overwrite").text(f"{noted}/letters")
+        if not earlier:
+            write_small(spark, f"{noted}/folder", folder)
+        replace_folder(spark, f"{noted}/letters", path)
         if none:
             return ""
     except Exception:
