@@ -241,6 +241,22 @@ _SYNTH = f"""WITH {_DRAWN} SELECT doc_id,
       ELSE concat({_list(FLAG_POOL)}[{_FLAG_AT} + 1], ',', {_list(FLAG_POOL)}[{_OTHER_AT} + 1]) END AS flags,
     cast(3 + {_index(9, 10)} AS int) AS sentences, {_draw(12)} < 19660 AS has_notes FROM drawn"""
 
+def _python_text(text: str) -> str:
+    """A JSON string with every character but plain ASCII escaped, surrogate pairs included."""
+    c = "unicode(x)"
+    return f"""concat('"', array_to_string(list_transform(string_split({text}, ''), lambda x: CASE
+      WHEN x = '"' THEN '\\"' WHEN x = '\\' THEN '\\\\' WHEN x = chr(10) THEN '\\n' WHEN x = chr(13) THEN '\\r'
+      WHEN x = chr(9) THEN '\\t' WHEN x = chr(8) THEN '\\b' WHEN x = chr(12) THEN '\\f'
+      WHEN {c} > 65535 THEN printf('\\u%04x\\u%04x', 55296 + ({c} - 65536) // 1024, 56320 + ({c} - 65536) % 1024)
+      WHEN {c} < 32 OR {c} > 126 THEN printf('\\u%04x', {c}) ELSE x END), ''), '"')"""
+
+
+_PYTHON_HASH = f"""sha256(concat('{{"agency": "', ag, '", "applicant_id": ', {_python_text("ap")},
+    ', "case_status": "', cs, '", "document_text": ', {_python_text("dt")}, ', "document_type": "', document_type,
+    '", "flags": ', CASE WHEN flags_csv = '' THEN '[]' ELSE concat('["', replace(flags_csv, ',', '", "'), '"]') END,
+    ', "form_number": null, "officer_notes": null, "pages": ', cast(pages AS varchar), ', "priority_tier": "', pt,
+    '", "record_id": "', record_id, '", "submitted_at": "', strftime(submitted_at, '%Y-%m-%d %H:%M:%S'), '+00:00"}}'))"""
+
 _SCREENED = f"""WITH {_REC}, fixed AS (SELECT doc_id, record_id, submitted_at,
     CASE WHEN document_type = 'Unknown Form' THEN 'I-751 Remove Conditions' ELSE document_type END AS document_type,
     CASE WHEN agency = 'NASA' THEN 'FEMA' ELSE upper(agency) END AS ag, lower({_squeeze("case_status")}) AS cs,
@@ -261,6 +277,24 @@ _ORACLES = {
         CASE WHEN NOT ({_MALFORMED} OR doc_id % 19 = 0) THEN md5(text) END AS text_md5 FROM documents""",
     "stream_ingest": f"SELECT {_ID} AS record_id, {_TEXT_MD5} FROM documents",
     "stream_resume": f"SELECT {_ID} AS record_id, cast(1 AS bigint) AS times, {_TEXT_MD5} FROM documents",
+    "shard_ingest": f"SELECT source AS shard, doc_id AS sequence, {_ID} AS record_id, {_TEXT_MD5} FROM documents",
+    "shard_resume": """SELECT source AS shard, count(*) AS records, count(DISTINCT doc_id) AS distinct_records,
+        max(doc_id) AS position FROM documents GROUP BY source""",
+    "stream_unique": f"SELECT {_ID} AS record_id, cast(1 AS bigint) AS times, {_TEXT_MD5} FROM documents",
+    "cost_observed": f"""{_RULES}, {_ruled("canon")}, t AS (SELECT cast(sum(input_tokens) AS bigint) AS i,
+        cast(sum(output_tokens) AS bigint) AS o, count(*) AS requests FROM ruled)
+        SELECT i AS input_tokens, o AS output_tokens, cast(i * 0.000003 AS decimal(18,6)) AS input_cost_usd,
+        cast(o * 0.000015 AS decimal(18,6)) AS output_cost_usd,
+        cast(i * 0.000003 + o * 0.000015 AS decimal(18,6)) AS total_cost_usd, requests FROM t""",
+    "gate_frame_set": f"""WITH {_REC}, cells AS (
+        SELECT 'doc_id' AS column_name, record_id, cast(doc_id AS varchar) AS value FROM rec WHERE doc_id % 4 = 3
+        UNION ALL SELECT 'agency', record_id, agency FROM rec WHERE agency NOT IN ('USCIS', 'CBP')),
+        ranked AS (SELECT *, cast(row_number() OVER (PARTITION BY column_name ORDER BY record_id) AS int) AS sample_rank FROM cells),
+        counts AS (SELECT c AS column_name, (SELECT count(*) FROM cells WHERE column_name = c) AS unexpected_count
+          FROM (SELECT unnest(['record_id', 'doc_id', 'agency']) AS c))
+        SELECT (SELECT count(*) FROM rec) AS total, column_name, unexpected_count, unexpected_count > 0 AS failed, sample_rank, value
+        FROM counts LEFT JOIN (SELECT * FROM ranked WHERE sample_rank <= 20) USING (column_name)""",
+    "input_fingerprint_python": f"{_RULES} SELECT record_id, {_PYTHON_HASH} AS input_record_hash FROM canon",
     "synth_records": _SYNTH,
     "prompt_registry": f"""SELECT concat('v', cast(doc_id AS varchar)) AS version, sha256(t) AS sha256,
         cast(length(t) AS int) AS n_chars FROM (SELECT doc_id,
@@ -320,6 +354,11 @@ _ORACLES = {
         SELECT model_id, i AS input_tokens, o AS output_tokens, cast(i * pin * 0.001 AS decimal(18,6)) AS input_cost_usd,
         cast(o * pout * 0.001 AS decimal(18,6)) AS output_cost_usd,
         cast(i * pin * 0.001 + o * pout * 0.001 AS decimal(18,6)) AS total_cost_usd, requests FROM t JOIN prices USING (model_id)""",
+    "stream_totals": f"""WITH {_USAGE}, {_ALL_PRICES}, t AS (SELECT model_id, cast(sum(input_tokens) AS bigint) AS i,
+        cast(sum(output_tokens) AS bigint) AS o, count(*) AS requests FROM usage GROUP BY model_id)
+        SELECT model_id, i AS input_tokens, o AS output_tokens, cast(i * pin * 0.001 AS decimal(18,6)) AS input_cost_usd,
+        cast(o * pout * 0.001 AS decimal(18,6)) AS output_cost_usd,
+        cast(i * pin * 0.001 + o * pout * 0.001 AS decimal(18,6)) AS total_cost_usd, requests FROM t JOIN prices USING (model_id)""",
     "cost_unknown_model": f"""WITH {_USAGE}, {_PRICES} SELECT DISTINCT model_id FROM usage
         WHERE model_id NOT IN (SELECT model_id FROM prices)""",
     "cost_per_row": f"""WITH {_USAGE}, {_PRICES}, p AS (SELECT doc_id, model_id, input_tokens, output_tokens,
@@ -412,6 +451,8 @@ _DECIMALS = {
     "reply_parse": ["score"],
     "classify_results": ["score"],
     "cost_summary": _SUMMED,
+    "cost_observed": _SUMMED,
+    "stream_totals": _SUMMED,
     "cost_custom_prices": _SUMMED,
     "cost_per_row": _COSTED,
     "cost_price_frame": _COSTED,

@@ -15,7 +15,7 @@ from docgate.errors import GateRejected
 from docgate.operators import admission, contract, cost, gate, replies, requests, scoring
 from docgate.operators.normalize import normalize
 from docgate.plans.batch import run_batch
-from docgate.plans.staging import Scoring, failures, results, stage
+from docgate.plans.staging import STAGING_SCHEMA, Scoring, failures, results, stage
 from docgate.schemas import DEFAULT_MODEL, PROMPTS, RESULT_SCHEMA
 from docgate.session import copy_file, matches, scratch_path
 from docgate.functions.text import clip, squeeze
@@ -25,8 +25,11 @@ from docgate.sources import ndjson
 from docgate.sources.payloads import decode_payloads
 from docgate.sources.prompts import prompt_table
 from docgate.sources.synthetic import synth_records
-from docgate.streaming.job import screen_batch, start_stream
+from docgate.sinks.tables import align
+from docgate.streaming.job import screen_batch, start_stream, without_copies
+from docgate.streaming.shards import append_shards, read_shards
 from docgate.streaming.source import read_line_stream
+from docgate.streaming.totals import billed_stream, running_cost, start_totals
 
 PROMPT = PROMPTS["compliance_v1"]
 RUN = "run-1"
@@ -269,6 +272,108 @@ def stream_resume(spark, sf_dir):
     )
 
 
+def _payloads(spark, sf_dir) -> DataFrame:
+    """Records as payloads of a log: the source is the shard, the document id the sequence."""
+    records = _plain(spark, sf_dir)
+    fields = [name for name in records.columns if name not in ("doc_id", "source_key")]
+    return records.select(
+        F.col("source_key").alias("shard"),
+        F.col("doc_id").alias("sequence"),
+        F.to_json(F.struct(*fields), dead_letter.RECORD_JSON).cast("binary").alias("data"),
+    )
+
+
+def _read_log(spark, root: str) -> DataFrame:
+    decoded = decode_payloads(spark.read.parquet(f"{root}/out"))
+    return decoded.select(
+        "shard",
+        "sequence",
+        F.try_variant_get("raw.record_id", "$", "string").alias("record_id"),
+        F.md5(F.try_variant_get("raw.document_text", "$", "string")).alias("text_md5"),
+    )
+
+
+def shard_ingest(spark, sf_dir):
+    """Every shard of a log from its first record; a shard with many is split at its files."""
+    root = scratch_path(v.utc(spark), "shards")
+    append_shards(_payloads(spark, sf_dir).repartition(8), f"{root}/log")
+    _drain(read_shards(spark, f"{root}/log", task_rows=500), root)
+    return _read_log(spark, root)
+
+
+def shard_resume(spark, sf_dir):
+    """The log grows after the query has stopped, twice; each start goes on after the last sequences."""
+    root = scratch_path(v.utc(spark), "shards")
+    payloads = _payloads(spark, sf_dir)
+    # A shard's sequences only grow: each part holds the ids after those of the part before.
+    top = payloads.agg(F.max("sequence")).head()[0] or 0
+    for part in range(3):
+        low, high = part * (top + 1) // 3, (part + 1) * (top + 1) // 3
+        append_shards(
+            payloads.where((F.col("sequence") >= low) & (F.col("sequence") < high)), f"{root}/log"
+        )
+        _drain(read_shards(spark, f"{root}/log"), root)
+    return (
+        _read_log(spark, root)
+        .groupBy("shard")
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.countDistinct("record_id").alias("distinct_records"),
+            F.max("sequence").alias("position"),
+        )
+    )
+
+
+def stream_unique(spark, sf_dir):
+    """Every record comes twice, a third of them again after a restart; each is let through once."""
+    root = scratch_path(v.utc(spark), "copies")
+    records = _plain(spark, sf_dir)
+    fields = [name for name in records.columns if name not in ("doc_id", "source_key")]
+    sent = records.select("doc_id", F.to_json(F.struct(*fields), dead_letter.RECORD_JSON).alias("value"))
+    for again in (sent.union(sent), sent.where(F.col("doc_id") % 3 == 0)):
+        again.select("value").write.mode("append").text(f"{root}/in")
+        _drain(without_copies(read_line_stream(spark, f"{root}/in"), "10 days"), root)
+    return (
+        _seen(_parsed(spark, spark.read.parquet(f"{root}/out")))
+        .groupBy("record_id")
+        .agg(F.count(F.lit(1)).alias("times"), F.max("text_md5").alias("text_md5"))
+    )
+
+
+def stream_totals(spark, sf_dir):
+    """Token totals over micro-batches that come in two lots, the second after a restart."""
+    root = scratch_path(v.utc(spark), "totals")
+    usage = _usage(spark, sf_dir).withColumns(
+        {name: F.col(name).cast("int") for name in ("input_tokens", "output_tokens")}
+    )
+    paid = usage.withColumn("billed", F.lit(True))
+    for lot in range(2):
+        share = align(paid.where(F.col("doc_id") % 2 == lot), STAGING_SCHEMA)
+        share.repartition(3).write.mode("append").parquet(f"{root}/staging")
+        query = start_totals(
+            billed_stream(spark, f"{root}/staging"), f"{root}/totals", f"{root}/state", every=None
+        )
+        query.awaitTermination()
+    return running_cost(spark, f"{root}/totals", ALL_PRICES)
+
+
+def cost_observed(spark, sf_dir):
+    """A run's cost as counted while it is staged, in three waves, without reading it again."""
+    root = scratch_path(v.utc(spark), "observed")
+    paid: list[dict] = []
+    records = _plain(spark, sf_dir)
+    fields = [name for name in records.columns if name not in ("doc_id", "source_key")]
+    located = records.select(
+        F.to_json(F.struct(*fields), dead_letter.RECORD_JSON).alias("value"),
+        F.lit("raw").alias("source_bucket"),
+        "source_key",
+        F.lit(0).cast("bigint").alias("source_block"),
+        F.lit(0).cast("bigint").alias("source_seq"),
+    )
+    stage(located, f"{root}/staging", RUN, Scoring(rule_scorer(), waves=3), paid)
+    return cost.cost_summary(cost.observed_totals(spark, DEFAULT_MODEL, paid)).drop("model_id")
+
+
 def synth(spark, sf_dir):
     made = synth_records(
         v.documents(spark, sf_dir).select("doc_id"), seed=42, as_of=AS_OF, id_column="doc_id"
@@ -401,6 +506,22 @@ def gate_large_set(spark, sf_dir):
     return gate.unexpected_outside(batch, "source_key", allowed)
 
 
+def gate_frame_set(spark, sf_dir):
+    """A set given as a frame beside listed rules: counts from one aggregate, and its first samples."""
+    batch = v.rec(spark, sf_dir)
+    allowed = v.documents(spark, sf_dir).where(F.col("doc_id") % 4 < 3).select("doc_id")
+    rules = [
+        gate.not_null("record_id"),
+        gate.in_frame("doc_id", allowed),
+        gate.in_set("agency", ["USCIS", "CBP"]),
+    ]
+    marked, rules = gate.with_marks(batch, rules)
+    counts = gate.gate_details(marked, rules)
+    return counts.join(gate.gate_samples(marked, rules), ["expectation", "column_name"], "left").select(
+        "total", "column_name", "unexpected_count", "failed", "sample_rank", "value"
+    )
+
+
 def _routed(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
     verdict = gate.gate_verdict(gate.gate_details(batch, gate.document_expectations()))
     return gate.route(batch, verdict)
@@ -824,6 +945,11 @@ def input_fingerprint(spark, sf_dir):
     return rows.select("record_id", audit.input_fingerprint().alias("input_record_hash"))
 
 
+def input_fingerprint_python(spark, sf_dir):
+    rows = _canonical(spark, sf_dir)
+    return rows.select("record_id", audit.python_fingerprint(rows).alias("input_record_hash"))
+
+
 def _letters(spark, sf_dir) -> tuple[str, str]:
     root = scratch_path(v.utc(spark), "letters")
     checked = contract.parse_contract(_parsed(spark, v.seeded(v.rec(spark, sf_dir))))
@@ -1032,6 +1158,13 @@ _QUERIES = {
     "payload_decode": payload_decode,
     "stream_ingest": stream_ingest,
     "stream_resume": stream_resume,
+    "shard_ingest": shard_ingest,
+    "shard_resume": shard_resume,
+    "stream_unique": stream_unique,
+    "stream_totals": stream_totals,
+    "cost_observed": cost_observed,
+    "gate_frame_set": gate_frame_set,
+    "input_fingerprint_python": input_fingerprint_python,
     "synth_records": synth,
     "prompt_registry": prompt_registry,
     "normalize_text": normalize_text,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgate.schemas import DEFAULT_PRICES
@@ -102,6 +102,14 @@ def run_cost(billed: DataFrame, model_id: str, prices=None) -> DataFrame:
     return cost_summary(totals, prices)
 
 
+def observed_totals(spark: SparkSession, model_id: str, counts: list[dict]) -> DataFrame:
+    """Totals of one model from what was counted while its rows were written, one dict per write."""
+    names = ("input_tokens", "output_tokens", "requests")
+    row = (model_id, *[sum(each[name] for each in counts) for name in names])
+    kinds = "model_id STRING, input_tokens BIGINT, output_tokens BIGINT, requests BIGINT"
+    return spark.createDataFrame([row], kinds)
+
+
 def unknown_models(rows: DataFrame, prices=None) -> DataFrame:
     """Models without a price, to be asked before anything is paid for."""
     models = rows.select("model_id").distinct()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,17 +22,26 @@ from docgate.schemas import (
     PRIORITY_TIERS,
     UNEXPECTED_SAMPLE,
 )
+from docgate.session import scratch_path
+
+#: So many distinct values, counted first, may be sent to every executor.
+BROADCAST_VALUES = 1_000_000
+SALTS = 16
 
 DETAIL_SCHEMA = "expectation STRING, column_name STRING, unexpected_count BIGINT, failed BOOLEAN"
 
 
 @dataclass(frozen=True)
 class Expectation:
-    """A named rule on one column. ``unexpected`` turns the column into "this value breaks it"."""
+    """A named rule on one column. ``unexpected`` turns the column into "this value breaks it".
+
+    ``allowed`` is for sets too large to list: a frame whose first column holds the values.
+    """
 
     kind: str
     column: str
     unexpected: Callable[[Column], Column]
+    allowed: DataFrame | None = None
 
 
 def not_null(column: str) -> Expectation:
@@ -43,6 +52,14 @@ def in_set(column: str, allowed: Sequence[str]) -> Expectation:
     return Expectation(IN_SET, column, lambda c: ~c.isin(list(allowed)))
 
 
+def in_frame(column: str, allowed: DataFrame) -> Expectation:
+    """Like :func:`in_set`, with the set in the first column of a frame of any size.
+
+    It shares the gate's one aggregate: :func:`with_marks` marks the rows first.
+    """
+    return Expectation(IN_SET, column, lambda c: c.isNotNull(), allowed)
+
+
 def at_least(column: str, minimum: int) -> Expectation:
     return Expectation(BETWEEN, column, lambda c: c < minimum)
 
@@ -92,6 +109,49 @@ def gate_view(parsed: DataFrame, normalize: bool = False) -> DataFrame:
     return parsed.select(*[c.alias(n) for n, c in view.items()])
 
 
+def with_marks(
+    batch: DataFrame, expectations: Sequence[Expectation], bound: int = BROADCAST_VALUES
+) -> tuple[DataFrame, list[Expectation]]:
+    """``batch`` with a mark for every expectation on a frame, and expectations that read the marks.
+
+    Up to ``bound`` distinct allowed values, counted first, are broadcast, and the rows stay where
+    they are. Beyond, the column is reduced to its distinct values, and those outside the set, which
+    are few in a sound batch, are written once and broadcast under the same bound, or joined with a
+    salt where they too are many, so that a hot value is no hot task. Repeated and null values of
+    ``allowed`` change nothing; null in the column breaks nothing; an empty set allows no value.
+    """
+    marked, plain = batch, []
+    for i, expectation in enumerate(expectations):
+        column = expectation.column
+        if expectation.allowed is None or column not in batch.columns:
+            plain.append(expectation)
+            continue
+        value, mark = f"_value_{i}", f"_mark_{i}"
+        first = F.col(f"`{expectation.allowed.columns[0]}`").cast(batch.schema[column].dataType)
+        wanted = expectation.allowed.select(first.alias(value)).where(F.col(value).isNotNull()).distinct()
+        listed = wanted.limit(bound + 1).count() <= bound
+        if not listed:
+            present = batch.select(F.col(column).alias(value)).where(F.col(value).isNotNull()).distinct()
+            outside = present.join(wanted, value, "left_anti")
+            path = scratch_path(batch.sparkSession, "outside")
+            outside.write.parquet(path)
+            wanted = batch.sparkSession.read.schema(outside.schema).parquet(path)
+        values = wanted.withColumn(mark, F.lit(True))
+        if listed or values.count() <= bound:
+            marked = marked.join(F.broadcast(values), F.col(column) == F.col(value), "left")
+        else:
+            salt = f"_salt_{i}"
+            salts = values.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            salted = marked.withColumn("_own_salt", (F.rand() * SALTS).cast("int"))
+            met = (F.col(column) == F.col(value)) & (F.col("_own_salt") == F.col(salt))
+            marked = salted.join(salts, met, "left").drop("_own_salt", salt)
+        found = F.col(mark).isNotNull()
+        broken = F.col(column).isNotNull() & (~found if listed else found)
+        marked = marked.withColumn(mark, broken).drop(value)
+        plain.append(replace(expectation, unexpected=lambda _, m=mark: F.col(m), allowed=None))
+    return marked, plain
+
+
 def gate_details(batch: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
     """One row per expectation: kind, column, unexpected count, failed.
 
@@ -99,6 +159,7 @@ def gate_details(batch: DataFrame, expectations: Sequence[Expectation]) -> DataF
     values which cannot be compared, fails its expectation with a count of 0. All expectations
     share one aggregate over one scan.
     """
+    batch, expectations = with_marks(batch, expectations)
     columns = set(batch.columns)
     counts, rows = [F.count(F.lit(1)).alias("total")], []
     for i, expectation in enumerate(expectations):
@@ -150,6 +211,7 @@ def gate_samples(
     One pass marks the broken (column, value) cells and explodes only those; the rank limit is
     applied inside each task before the shuffle, so a column broken in every row stays cheap.
     """
+    batch, expectations = with_marks(batch, expectations)
     known = [e for e in expectations if e.column in batch.columns]
     cells = F.filter(
         F.array(

@@ -11,15 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgate.errors import GateRejected
-from docgate.operators.cost import run_cost
+from docgate.operators.cost import cost_summary, observed_totals, run_cost
 from docgate.operators.gate import (
     Expectation,
     document_expectations,
     gate_details,
     gate_samples,
     gate_view,
+    with_marks,
 )
 from docgate.plans.staging import Scoring, dead_letter_failures, stage
+from docgate.session import path_exists
 from docgate.sinks.audit import (
     audit_rows,
     run_sources,
@@ -71,6 +73,7 @@ def run_gate(
     batch: DataFrame, expectations: Sequence[Expectation], order: Sequence[str] = ("record_id",)
 ) -> GateResult:
     """Evaluate the gate; one aggregate, and one more pass for samples only when it fails."""
+    batch, expectations = with_marks(batch, expectations)
     rows = gate_details(batch, expectations).collect()
     failing = [row for row in rows if row["failed"]]
     samples = {}
@@ -128,7 +131,9 @@ def run_batch(
     if not gate.passed and stop_on_reject:
         _reject(parse_lines(numbered), out, run_id, gate)
 
-    staged = stage(numbered, f"{out}/staging", run_id, scoring)
+    first = not path_exists(spark, run_dir(f"{out}/staging", run_id))
+    paid: list[dict] = []
+    staged = stage(numbered, f"{out}/staging", run_id, scoring, paid)
     good = reduce_run(staged, f"{out}/reduced", run_id)
     keep_bronze = gate.passed or bronze_on_reject
     bronze = write_bronze(good, out, run_id, SOURCE_ORDER, reduced=True) if keep_bronze else 0
@@ -136,8 +141,12 @@ def run_batch(
     sources = run_sources(staged, run_id).drop("pipeline_run_id")
     sources.write.mode("overwrite").parquet(run_dir(f"{out}/run_sources", run_id))
     audited = audit_reduced(good, out, run_id, scoring, gate.passed, prompt_hash)
-    billed = staged.where(F.col("billed"))
-    spent = run_cost(billed, scoring.model_id, scoring.prices).head().asDict()
+    if first:  # all of the run was counted while it was staged
+        usage = observed_totals(spark, scoring.model_id, paid)
+        spent = cost_summary(usage, scoring.prices).head().asDict()
+    else:
+        billed = staged.where(F.col("billed"))
+        spent = run_cost(billed, scoring.model_id, scoring.prices).head().asDict()
     logger.info("run %s cost %s", run_id, spent)
     return BatchReport(
         run_id=run_id,

@@ -7,10 +7,11 @@ gold, audit and dead letters all read staging. A restarted run scores only lines
 from __future__ import annotations
 
 import hashlib
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docgate.operators.admission import caller_budget
@@ -33,6 +34,8 @@ from docgate.sinks.dead_letter import raw_line_json, record_json, write_dead_let
 from docgate.sinks.tables import align, run_dir
 from docgate.sources.ndjson import parse_lines, row_key, well_formed
 
+logger = logging.getLogger(__name__)
+
 STAGING_SCHEMA = (
     "row_key STRING, source_bucket STRING, source_key STRING, source_block BIGINT, "
     "source_seq BIGINT, record_id STRING, submitted_at TIMESTAMP, input_record_hash STRING, "
@@ -171,13 +174,27 @@ def judge(parsed: DataFrame, scoring: Scoring) -> DataFrame:
     return staged
 
 
-def stage(lines: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFrame:
+def billed_metrics(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """``rows`` watched for what they cost: requests and tokens, known once they are written."""
+    seen = Observation()
+    paid = F.coalesce(F.col("billed"), F.lit(False))
+    sums = [
+        F.coalesce(F.sum(F.when(paid, F.col(name))), F.lit(0)).cast("bigint").alias(name)
+        for name in ("input_tokens", "output_tokens")
+    ]
+    return rows.observe(seen, F.count_if(paid).alias("requests"), *sums), seen
+
+
+def stage(
+    lines: DataFrame, path: str, run_id: str, scoring: Scoring, spent: list[dict] | None = None
+) -> DataFrame:
     """Score the lines that ``path`` lacks for the run, append them, and read the run back.
 
     Lines whose call failed (``RETRIED``) count as lacking: running again asks for them again, and
     their newest attempt replaces the earlier ones. ``lines`` may be parsed already; if not, those
     that are left are parsed here. Lines of :func:`store_lines` bring their ``row_key`` and ``wave``,
-    and each wave reads its own folder only.
+    and each wave reads its own folder only. ``spent`` takes one entry per write: the requests and
+    tokens it paid for, counted while it was written.
     """
     spark = lines.sparkSession
     check_price(spark, scoring)
@@ -200,9 +217,14 @@ def stage(lines: DataFrame, path: str, run_id: str, scoring: Scoring) -> DataFra
             share = well_formed(share, strict=True) if scoring.strict else share
         judged = judge(share, scoring).withColumn("pipeline_run_id", F.lit(run_id))
         rows = align(judged.withColumn("attempt", F.lit(attempt + wave)), STAGING_SCHEMA)
+        rows, seen = billed_metrics(rows)
         rows.drop("pipeline_run_id", "attempt").write.mode("overwrite").parquet(
             f"{run_dir(path, run_id)}/attempt={attempt + wave}"
         )
+        counts = seen.get
+        logger.info("run %s paid for %s", run_id, counts)
+        if spent is not None:
+            spent.append(counts)
     return staged_run(spark, path, run_id)
 
 

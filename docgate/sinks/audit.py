@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docgate.functions.text import fingerprint
+from docgate.functions.text import fingerprint, python_json
 from docgate.operators.cost import UNKNOWN_SOURCE, source_counts, with_row_cost
 from docgate.operators.ordering import first_per_key, last_per_key
 from docgate.schemas import AUDIT_NULLABLE, AUDIT_SCHEMA, RECORD_FIELDS, field_types
@@ -19,6 +19,11 @@ def input_fingerprint() -> Column:
     return fingerprint(RECORD_FIELDS)
 
 
+def python_fingerprint(records: DataFrame) -> Column:
+    """SHA-256 of a record's JSON as Python prints it, for tables whose hashes Python programs made."""
+    return F.sha2(python_json(records, RECORD_FIELDS), 256)
+
+
 def attach_inputs(results: DataFrame, inputs: DataFrame, order: Sequence[str]) -> DataFrame:
     """Add ``submitted_at`` and ``input_record_hash`` of each result's input record.
 

@@ -32,6 +32,11 @@ STORED = {
     "score_retry",
     "scoring_limits",
     "stream_gated",
+    "shard_ingest",
+    "shard_resume",
+    "stream_unique",
+    "stream_totals",
+    "cost_observed",
 }
 IN_PYTHON = {"score_deterministic", "score_chunked", "score_isolated"}
 
