@@ -7,7 +7,6 @@ gold, audit and dead letters all read staging. A restarted run scores only lines
 from __future__ import annotations
 
 import hashlib
-import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -34,8 +33,6 @@ from docgate.sinks.dead_letter import raw_line_json, record_json, write_dead_let
 from docgate.sinks.tables import align, run_dir
 from docgate.sources.ndjson import parse_lines, row_key, well_formed
 
-logger = logging.getLogger(__name__)
-
 STAGING_SCHEMA = (
     "row_key STRING, source_bucket STRING, source_key STRING, source_block BIGINT, "
     "source_seq BIGINT, record_id STRING, submitted_at TIMESTAMP, input_record_hash STRING, "
@@ -194,7 +191,8 @@ def stage(
     their newest attempt replaces the earlier ones. ``lines`` may be parsed already; if not, those
     that are left are parsed here. Lines of :func:`store_lines` bring their ``row_key`` and ``wave``,
     and each wave reads its own folder only. ``spent`` takes one entry per write: the requests and
-    tokens it paid for, counted while it was written.
+    tokens it paid for, counted while it was written; only for lines that are known not to be empty,
+    since an empty plan reports nothing and would be waited for.
     """
     spark = lines.sparkSession
     check_price(spark, scoring)
@@ -217,14 +215,14 @@ def stage(
             share = well_formed(share, strict=True) if scoring.strict else share
         judged = judge(share, scoring).withColumn("pipeline_run_id", F.lit(run_id))
         rows = align(judged.withColumn("attempt", F.lit(attempt + wave)), STAGING_SCHEMA)
-        rows, seen = billed_metrics(rows)
+        seen = None
+        if spent is not None:
+            rows, seen = billed_metrics(rows)
         rows.drop("pipeline_run_id", "attempt").write.mode("overwrite").parquet(
             f"{run_dir(path, run_id)}/attempt={attempt + wave}"
         )
-        counts = seen.get
-        logger.info("run %s paid for %s", run_id, counts)
-        if spent is not None:
-            spent.append(counts)
+        if seen is not None:
+            spent.append(seen.get)
     return staged_run(spark, path, run_id)
 
 
