@@ -192,7 +192,7 @@ def stage(
     that are left are parsed here. Lines of :func:`store_lines` bring their ``row_key`` and ``wave``,
     and each wave reads its own folder only. ``spent`` takes one entry per write: the requests and
     tokens it paid for, counted while it was written; only for lines that are known not to be empty,
-    since an empty plan reports nothing and would be waited for.
+    since a plan found empty might report nothing and be waited for.
     """
     spark = lines.sparkSession
     check_price(spark, scoring)
