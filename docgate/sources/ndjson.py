@@ -162,27 +162,63 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
     The last of several equal keys wins. Lines that are not one JSON object - bad syntax, trailing
     text, bytes that are no UTF-8, lists, bare numbers - are ``malformed``.
+
+    A line is parsed once, as the first member of a list whose second member proves that the parser
+    reached the end of the line. Only lines that cannot be read so are parsed again, by field: broken
+    ones, those with equal keys, and those that hold that member's text themselves.
     """
     text = F.col(value)
+    listed = F.try_parse_json(
+        F.when(
+            ~F.contains(text, F.lit(f'"{_END_KEY}"')),
+            F.concat(F.lit("["), text, F.lit(f',"{_END_KEY}"]')),
+        )
+    )
+    pair = F.try_variant_get("listed", "$", "array<variant>")
+    whole = (F.size("pair") == 2) & (
+        F.try_variant_get(F.col("pair")[1], "$", "string") == F.lit(_END_KEY)
+    )
+    fields = F.when(whole, F.try_variant_get(F.col("pair")[0], "$", "map<string,variant>"))
+    parsed = (
+        lines.withColumn("listed", listed).withColumn("pair", pair).withColumn("fields", fields)
+    )
+    once, again = F.col("fields").isNotNull(), _by_field(text)
+    members = [F.col("fields")[name].alias(name) for name in RECORD_FIELDS]
+    read = {
+        "raw": F.struct(*members, F.lit(None).cast("string").alias("_corrupt")),
+        "keys": F.map_keys("fields"),
+        "closed": F.lit(True),
+    }
+    parsed = parsed.withColumns(
+        {name: F.when(once, column).otherwise(again[name]) for name, column in read.items()}
+    )
+    return with_once(parsed, {"malformed": _malformed(text)}).drop(
+        "listed", "pair", "fields", "closed"
+    )
+
+
+def _by_field(text: Column) -> dict[str, Column]:
+    """``raw``, ``keys`` and ``closed`` of an object, which may have equal keys; nulls for the rest."""
+    keys = F.json_object_keys(text)
     # A second key after the line proves that the parser reached the end of the line.
     closed = F.json_object_keys(F.concat(F.lit('{"r":'), text, F.lit(f',"{_END_KEY}":0}}')))
-    parsed = lines.withColumns(
-        {
-            "raw": F.from_json(text, _RAW_SCHEMA, _RAW_OPTIONS),
-            "keys": F.json_object_keys(text),
-            "closed": closed,
-        }
-    )
-    malformed = (
+    return {
+        # Compiled, from_json fails on text without any token instead of giving null.
+        "raw": F.when(keys.isNotNull(), F.from_json(text, _RAW_SCHEMA, _RAW_OPTIONS)),
+        "keys": keys,
+        "closed": closed == F.array(F.lit("r"), F.lit(_END_KEY)),
+    }
+
+
+def _malformed(text: Column) -> Column:
+    broken = (
         F.col("raw").isNull()
         | F.col("raw._corrupt").isNotNull()
         | F.col("keys").isNull()
         | ~F.is_valid_utf8(text)
-        | ~F.coalesce(
-            F.col("closed") == F.array(F.lit("r"), F.lit(_END_KEY)), F.lit(False)
-        )
+        | ~F.coalesce("closed", F.lit(False))
     )
-    return with_once(parsed, {"malformed": F.coalesce(malformed, F.lit(True))}).drop("closed")
+    return F.coalesce(broken, F.lit(True))
 
 
 def well_formed(parsed: DataFrame, strict: bool = False) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from docgate.plans.batch import batch_view
+from docgate.schemas import RECORD_FIELDS
 from docgate.sinks.ndjson import write_ndjson
+from docgate.sources import ndjson
 from docgate.sources.ndjson import (
     malformed_lines,
     parse_lines,
@@ -124,6 +126,43 @@ def test_malformed_lines_are_told_apart(spark):
     assert well_formed(parsed).count() == len(GOOD)
 
 
+ODD = [
+    '{"pages":1,"agency":"a","agency":"b"}',
+    '{"record_id":{"a":1,"a":2}}',
+    '{"x":{"a":1,"a":2},"pages":3}',
+    '{"pages":1}]',
+    '{"pages":1},"#end"]',
+    '{"pages":1},"#end"] junk',
+    '{"#end":1,"pages":2}',
+    '{"pages":1e400}',
+    '{"pages":1234567890123456789012345678901234567890123}',
+    '{"pages":null,"agency":"\\ud83d\\ude00","":1,"$[0]":1,"a.b":2}',
+    '{"flags":["a",null,{"b":1}],"Pages":1,"_corrupt":1}',
+    '{"pages":' + "[" * 600 + "]" * 600 + "}",
+    '{"pages":1 /* */}',
+    '{"a":"b"}{',
+    "",
+    None,
+]
+
+
+def test_one_parse_reads_like_the_parse_by_field(spark):
+    rows = lines(spark, BAD + GOOD).select("value").union(
+        spark.createDataFrame([(text,) for text in ODD], "value string")
+    )
+    text = F.col("value")
+    by_field = rows.withColumns(ndjson._by_field(text)).withColumn("malformed", ndjson._malformed(text))
+
+    def seen(parsed):
+        fields = [F.to_json(F.col(f"raw.{name}")).alias(name) for name in RECORD_FIELDS]
+        row = F.when(~F.col("malformed"), F.struct(F.array_sort("keys").alias("keys"), *fields))
+        return {r["value"]: r["row"] for r in parsed.select("value", row.alias("row")).collect()}
+
+    got, want = seen(parse_lines(rows)), seen(by_field)
+    assert got == want
+    assert sum(row is not None for row in got.values()) > len(GOOD) + 4
+
+
 def test_bytes_that_are_no_text_are_malformed(spark, tmp_path):
     (tmp_path / "a.ndjson").write_bytes(b'{"agency":"\xff"}\n{"pages":1}\n')
     parsed = parse_lines(read_ndjson(spark, str(tmp_path)))
