@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docgate.functions.once import with_once
 from docgate.schemas import RECORD_FIELDS
 from docgate.session import (
+    bytes_setting,
     copy_file,
     hidden_files,
     matches,
@@ -36,6 +37,8 @@ _RAW_OPTIONS = {
 _END_KEY = "#end"
 #: So many splits, about 100 bytes each, may be sent to every executor: 128 TB in splits of 128 MB.
 BROADCAST_SPLITS = 1_000_000
+#: Splits smaller than this are stored several to a task.
+TASK_BYTES = 32 << 20
 
 
 def read_ndjson(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -107,13 +110,20 @@ def store_lines(lines: DataFrame, path: str | None = None, waves: int = 1) -> Da
     How a scan cuts files into splits depends on the executors there are at that moment, so
     ``source_block`` and ``source_seq`` of two scans need not agree. Here they are fixed as data, and
     all that follows reads the same values. Waves are folders: reading one leaves the others alone.
-    ``path`` is replaced; by default it is a fresh one in the shared folder.
+    ``path`` is replaced; by default it is a fresh one in the shared folder. Where the session cuts files
+    into splits of less than ``TASK_BYTES``, a task stores that much of them, so tasks and files
+    grow with the bytes, not with the splits; the splits, and so the positions, stay as they are.
     """
     spark = lines.sparkSession
     path = path or scratch_path(spark, "lines")
     keyed = lines.withColumn("row_key", row_key()).withColumn(
         "wave", F.pmod(F.xxhash64("row_key"), F.lit(waves)).cast("int")
     )
+    split = bytes_setting(spark, "spark.sql.files.maxPartitionBytes")
+    if split < TASK_BYTES:
+        splits = lines.rdd.getNumPartitions()
+        tasks = max(-(-splits * split // TASK_BYTES), spark.sparkContext.defaultParallelism)
+        keyed = keyed.coalesce(tasks) if tasks < splits else keyed
     keyed.write.mode("overwrite").option("compression", "zstd").partitionBy("wave").parquet(path)
     return spark.read.schema(keyed.schema).parquet(path)
 

@@ -98,6 +98,20 @@ def test_line_ordinals_across_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_small_splits_are_stored_in_few_files(spark, tmp_path):
+    """Splits of 2,000 bytes: each has its own position, but no task and no file of its own."""
+    write_lines(tmp_path / "r", "a.ndjson", [json.dumps({"n": i, "pad": "x" * 90}) for i in range(4_000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        stored = store_lines(read_ndjson(spark, str(tmp_path / "r")), str(tmp_path / "stored"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert stored.select("source_block").distinct().count() > 100
+    assert len(list((tmp_path / "stored").rglob("*.parquet"))) <= spark.sparkContext.defaultParallelism
+    right = F.get_json_object("value", "$.n").cast("int") + 1 == F.col("line_ordinal")
+    assert with_line_ordinal(stored, stored=True).where(right).count() == 4_000
+
+
 BAD = [
     "not json",
     "   ",
