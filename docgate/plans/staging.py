@@ -18,7 +18,7 @@ from docgate.operators.contract import parse_contract
 from docgate.operators.cost import unknown_models
 from docgate.operators.replies import classify
 from docgate.operators.requests import with_requests
-from docgate.operators.scoring import Client, score
+from docgate.operators.scoring import Client, score, small_batches
 from docgate.schemas import (
     CHUNK_ROWS,
     DEFAULT_MODEL,
@@ -218,9 +218,10 @@ def stage(
         seen = None
         if spent is not None:
             rows, seen = billed_metrics(rows)
-        rows.drop("pipeline_run_id", "attempt").write.mode("overwrite").parquet(
-            f"{run_dir(path, run_id)}/attempt={attempt + wave}"
-        )
+        with small_batches(spark):
+            rows.drop("pipeline_run_id", "attempt").write.mode("overwrite").parquet(
+                f"{run_dir(path, run_id)}/attempt={attempt + wave}"
+            )
         if seen is not None:
             spent.append(seen.get)
     return staged_run(spark, path, run_id)

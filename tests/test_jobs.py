@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from docgate.errors import GateRejected
 from docgate.plans.batch import new_run_id, run_batch
@@ -294,6 +295,31 @@ def test_a_model_that_was_down_is_asked_again(spark, tmp_path):
     assert (source["_source_bucket"], source["_source_key"], source["_source_line_number"]) == ("in", "a.ndjson", 6)
 
 
+def test_a_worker_holds_few_long_requests_at_once(spark, tmp_path):
+    """The requests of a task are 80 MB, in 8,000 rows; a worker must not grow by most of that."""
+    from docgate.plans.staging import results, stage
+    from tests.helpers import lines
+
+    def resident():
+        with open("/proc/self/statm") as own:
+            return int(own.read().split()[1]) * 4096
+
+    def make():
+        answer, before = reply_client()(), resident()
+
+        def client(bodies):
+            if resident() - before > 50 << 20:
+                raise MemoryError("too many requests at once")
+            return answer(bodies)
+
+        return client
+
+    one = lines(spark, [record(document_text="A long petition. " * 580)]).drop("source_seq")
+    some = spark.range(0, 8_000, 1, 1).withColumnRenamed("id", "source_seq").join(F.broadcast(one))
+    staged = stage(some.select(*lines(spark, []).columns), str(tmp_path / "staging"), "r", Scoring(make))
+    assert results(staged).count() == 8_000
+
+
 def test_oversize_requests_are_refused_without_a_call(spark, tmp_path):
     write_lines(tmp_path / "in", "a.ndjson", [record(), record(document_text="long " * 1_000)])
     out, log = str(tmp_path / "out"), tmp_path / "calls"
